@@ -173,7 +173,7 @@ def value_percentiles(
         F.col("lower").isNull() | F.col("upper").isNull(),
         F.raise_error(F.lit("percentile outside its bracket")).cast("double"),
     ).otherwise(between)
-    return exact.groupBy(by, F.col("n").alias("rows")).agg(
+    return exact.groupBy(by, F.col("n").alias("row_count")).agg(
         *[
             F.max(F.when(F.col("p") == float(p), checked)).alias(f"p{p:g}".replace(".", "_"))
             for p in ps

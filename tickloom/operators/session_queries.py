@@ -90,7 +90,7 @@ def windows_per_symbol(windows: DataFrame) -> DataFrame:
 
 
 def full_scan_count(windows: DataFrame) -> DataFrame:
-    return windows.agg(F.count(F.lit(1)).alias("rows"))
+    return windows.agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def symbol_filter(windows: DataFrame, symbol: str) -> DataFrame:

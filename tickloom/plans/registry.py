@@ -191,7 +191,7 @@ def _mirror(spark: SparkSession, folder: str) -> tuple[DataFrame, dict, str]:
 
 def _mirror_refresh(spark: SparkSession, folder: str) -> DataFrame:
     _, _, target = _mirror(spark, folder)
-    return mirror.mirror_log(spark, target).select("rows")
+    return mirror.mirror_log(spark, target).select("row_count")
 
 
 def _mirror_scan(spark: SparkSession, folder: str) -> DataFrame:
@@ -277,11 +277,9 @@ def registry() -> dict[str, Query]:
         "vwap_facts": _on_marts(lambda m: m.facts),
         "portfolio_summary": _on_marts(lambda m: m.summary.orderBy(F.desc("avg_volatility"))),
         "volatility_alerts": _on_marts(lambda m: models.alerts_in_order(m.alerts)),
-        "volatility_regime": _on_lake(
-            lambda w: w.select(
-                "symbol",
-                "window_start",
-                volatility_regime(F.col("volatility")).alias("volatility_regime"),
+        "volatility_regime": _on_marts(
+            lambda m: m.summary.select(
+                "symbol", volatility_regime(F.col("avg_volatility")).alias("volatility_regime")
             )
         ),
         # session queries
@@ -305,7 +303,9 @@ def registry() -> dict[str, Query]:
             )
         ),
         "value_percentiles": _on_ticks(
-            lambda t: dashboard.value_percentiles(t, "symbol", "price")
+            lambda t: dashboard.value_percentiles(t, "symbol", "price").select(
+                "symbol", "row_count", *[F.round(p, 6).alias(p) for p in ("p50", "p95", "p99")]
+            )
         ),
         # positions
         "position_pnl": lambda spark, folder: naive(_pnl(spark, folder).drop("price")),

@@ -17,7 +17,7 @@ _LOG = T.StructType(
     [
         T.StructField("committed_at", T.TimestampType()),
         T.StructField("version", T.StringType()),
-        T.StructField("rows", T.LongType()),
+        T.StructField("row_count", T.LongType()),
         T.StructField("files", T.LongType()),
     ]
 )
@@ -29,7 +29,7 @@ def _size(lake: DataFrame) -> DataFrame:
         lake.groupBy(F.col("_metadata.file_path").alias("file"))
         .agg(F.count(F.lit(1)).alias("n"))
         .agg(
-            F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("rows"),
+            F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("row_count"),
             F.count(F.lit(1)).alias("files"),
         )
     )
@@ -49,7 +49,7 @@ def mirror_refresh(lake: DataFrame, target: str, fmt: str = "parquet") -> dict:
     entry = spark.range(1).select(
         F.current_timestamp().alias("committed_at"),
         F.lit(version).alias("version"),
-        F.lit(size["rows"]).cast("bigint").alias("rows"),
+        F.lit(size["row_count"]).cast("bigint").alias("row_count"),
         F.lit(size["files"]).cast("bigint").alias("files"),
     )
     entry.coalesce(1).write.mode("append").parquet(f"{target}/log")
