@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.functions.risk import iso_utc
 from tickloom.schemas import PORTFOLIO_EVENT, TICK_WIRE
@@ -19,42 +20,47 @@ def _number(text: Column) -> Column:
     return F.when(finite, number)
 
 
+def _parsed(raw: DataFrame, value: str, schema: T.StructType, keep_text: bool) -> DataFrame:
+    """``raw`` with the JSON fields of ``value`` as columns, all null where it is no JSON object.
+
+    Unnesting through a generator parses each message once. A plain projection would let the
+    optimizer copy the parser into every filter on its fields.
+    """
+    text = F.col(value).cast("string")
+    others = [c for c in raw.columns if c != value]
+    kept = [text.alias("_text")] if keep_text else []
+    return raw.select(*others, *kept, F.inline(F.array(F.from_json(text, schema))))
+
+
 def decode_ticks(raw: DataFrame, value: str = "value") -> DataFrame:
     """Parse JSON tick messages; every message comes out, bad ones with ``reject_reason``.
 
     Works on batch and streaming input. ``split_ticks`` separates the two kinds.
     """
     others = [c for c in raw.columns if c != value]
-    parsed = raw.select(
-        *others,
-        F.col(value).cast("string").alias("raw"),
-        F.from_json(F.col(value).cast("string"), TICK_WIRE).alias("m"),
-    )
-    price, size = _number(F.col("m.price")), _number(F.col("m.size"))
-    ts = F.col("m.timestamp").try_cast("timestamp")
-    no_fields = F.coalesce(
-        F.col("m.symbol"), F.col("m.price"), F.col("m.size"), F.col("m.timestamp")
-    ).isNull()
+    price, size = _number(F.col("price")), _number(F.col("size"))
+    ts = F.col("timestamp").try_cast("timestamp")
+    no_fields = F.coalesce("symbol", "price", "size", "timestamp").isNull()
     reason = (
         F.when(no_fields, "not a tick")
-        .when(F.col("m.symbol").isNull(), "no symbol")
-        .when(F.col("m.price").isNull(), "no price")
-        .when(F.col("m.size").isNull(), "no size")
+        .when(F.col("symbol").isNull(), "no symbol")
+        .when(F.col("price").isNull(), "no price")
+        .when(F.col("size").isNull(), "no size")
         .when(price.isNull(), "bad price")
         .when(size.isNull(), "bad size")
         .when(ts.isNull(), "bad timestamp")
     )
-    return parsed.select(
+    return _parsed(raw, value, TICK_WIRE, keep_text=True).select(
         *others,
-        F.col("m.symbol").alias("symbol"),
+        "symbol",
         price.alias("price"),
         size.alias("size"),
         ts.alias("ts"),
-        F.col("m.source").alias("source"),
-        F.coalesce(F.col("m.exchange"), F.lit(UNKNOWN_EXCHANGE)).alias("exchange"),
-        F.coalesce(F.col("m.conditions"), F.array().cast("array<string>")).alias("conditions"),
+        "source",
+        F.coalesce("exchange", F.lit(UNKNOWN_EXCHANGE)).alias("exchange"),
+        F.coalesce("conditions", F.array().cast("array<string>")).alias("conditions"),
         reason.alias("reject_reason"),
-        F.when(reason.isNotNull(), F.col("raw")).alias("rejected_value"),
+        F.when(reason.isNotNull(), F.col("_text")).alias("rejected_value"),
     )
 
 
@@ -70,13 +76,9 @@ def split_ticks(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
 def decode_events(raw: DataFrame, value: str = "value") -> DataFrame:
     """Portfolio-event messages as flat columns, nested ``metadata`` included."""
     others = [c for c in raw.columns if c != value]
-    event = F.from_json(F.col(value).cast("string"), PORTFOLIO_EVENT)
     flat = [f.name for f in PORTFOLIO_EVENT if f.name not in ("timestamp", "metadata")]
-    return raw.select(*others, event.alias("e")).select(
-        *others,
-        *[F.col(f"e.{name}").alias(name) for name in flat],
-        F.col("e.timestamp").try_cast("timestamp").alias("ts"),
-        "e.metadata.*",
+    return _parsed(raw, value, PORTFOLIO_EVENT, keep_text=False).select(
+        *others, *flat, F.col("timestamp").try_cast("timestamp").alias("ts"), "metadata.*"
     )
 
 
