@@ -16,16 +16,13 @@ from pyspark.sql import functions as F
 def latest_per_key(df: DataFrame, keys: Sequence[str], newest: Sequence[str]) -> DataFrame:
     """The row with the greatest ``newest`` columns per key; ties go to the greatest rest.
 
-    A ``max`` over a struct merges on the map side, so a key with many copies leaves each
-    task as a single row before the shuffle.
+    Spark keeps one row per key in each task before the shuffle (a window group limit), so a
+    key with many copies stays small.
     """
-    first = [*keys, *newest]
-    rest = [c for c in df.columns if c not in first]
-    packed = F.struct(*newest, *rest)
-    picked = df.groupBy(*keys).agg(F.max(packed).alias("_newest"))
-    return picked.select(
-        *[F.col(c) if c in keys else F.col(f"_newest.{c}").alias(c) for c in df.columns]
-    )
+    rest = [c for c in df.columns if c not in keys and c not in newest]
+    order = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in (*newest, *rest)])
+    numbered = df.withColumn("_newest", F.row_number().over(order))
+    return numbered.filter(F.col("_newest") == 1).drop("_newest")
 
 
 def running_max(
@@ -62,13 +59,13 @@ def running_max(
     )
 
 
-def _rung(value: Column) -> Column:
+def _step(value: Column) -> Column:
     """A coarse, order-preserving step of a value: 16 steps per doubling, one for the rest."""
-    return (
-        F.when(F.isnan(value), F.lit(1 << 20))
-        .when(value > 0, F.floor(F.log2(value) * 16).cast("int"))
-        .otherwise(F.lit(-(1 << 20)))
+    lowest = F.lit(-(1 << 20))
+    step = F.when(F.isnan(value), F.lit(1 << 20)).when(
+        value > 0, F.floor(F.log2(value) * 16).cast("int")
     )
+    return F.coalesce(step, lowest)
 
 
 def rank_desc(df: DataFrame, group: str, value: str, out: str) -> DataFrame:
@@ -76,13 +73,14 @@ def rank_desc(df: DataFrame, group: str, value: str, out: str) -> DataFrame:
 
     Ties are counted before anything is ordered, so the ordered table has one row per
     distinct value. It is ordered in steps of the value range, and each step starts from
-    the count of all higher steps. The input must be stored or otherwise repeatable.
+    the count of all higher steps. ``df`` is read twice and must be stored, so that both
+    reads see the same values.
     """
     keyed = df.withColumn("_value", F.coalesce(F.col(value), F.lit(-1.0)))
     tallies = (
         keyed.groupBy(group, "_value")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_step", _rung(F.col("_value")))
+        .withColumn("_step", _step(F.col("_value")))
     )
     steps_down = Window.partitionBy(group).orderBy(F.desc("_step"))
     above = (

@@ -14,11 +14,18 @@ from tickloom.operators.models import (
     vwap_facts,
 )
 from tickloom.operators.quality import enforce, require_unique
-from tickloom.schemas import ALERT_CONTRACT, FACT_CONTRACT, SUMMARY_CONTRACT, Contract
+from tickloom.schemas import (
+    ALERT_CONTRACT,
+    FACT_CONTRACT,
+    STAGING_CONTRACT,
+    SUMMARY_CONTRACT,
+    Contract,
+)
 
 
 @dataclass(frozen=True)
 class Marts:
+    staged: DataFrame
     facts: DataFrame
     summary: DataFrame
     alerts: DataFrame
@@ -47,27 +54,26 @@ def publish_table(df: DataFrame, contract: Contract, database: str) -> DataFrame
 def build_marts(lake: DataFrame, root: str) -> Marts:
     """Facts, summary and alerts from the lake, stored under ``root``.
 
-    Staging stays a view over the lake. Facts are stored once, because both marts and the
-    documents read them.
+    Staged windows are stored too: the fact model reads them in several branches, each with
+    its own few columns, and the de-duplication must not run once per branch.
     """
-    facts = publish_files(vwap_facts(stg_windows(lake)), FACT_CONTRACT, f"{root}/vwap_facts")
+    staged = publish_files(stg_windows(lake), STAGING_CONTRACT, f"{root}/stg_windows")
+    facts = publish_files(vwap_facts(staged), FACT_CONTRACT, f"{root}/vwap_facts")
     summary = publish_files(
         portfolio_summary(facts), SUMMARY_CONTRACT, f"{root}/portfolio_summary"
     )
     alerts = publish_files(volatility_alerts(facts), ALERT_CONTRACT, f"{root}/volatility_alerts")
-    return Marts(facts, summary, alerts)
+    return Marts(staged, facts, summary, alerts)
 
 
 def build_mart_tables(lake: DataFrame, database: str = "marts") -> Marts:
-    """The same relations as catalog tables, with staging as a temporary view."""
-    spark = lake.sparkSession
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    staged = stg_windows(lake)
-    staged.createOrReplaceTempView("stg_windows")
+    """The same relations as catalog tables."""
+    lake.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    staged = publish_table(stg_windows(lake), STAGING_CONTRACT, database)
     facts = publish_table(vwap_facts(staged), FACT_CONTRACT, database)
     summary = publish_table(portfolio_summary(facts), SUMMARY_CONTRACT, database)
     alerts = publish_table(volatility_alerts(facts), ALERT_CONTRACT, database)
-    return Marts(facts, summary, alerts)
+    return Marts(staged, facts, summary, alerts)
 
 
 def read_marts(spark: SparkSession, database: str = "marts") -> Marts:
@@ -75,7 +81,7 @@ def read_marts(spark: SparkSession, database: str = "marts") -> Marts:
     return Marts(
         *[
             spark.table(f"{database}.{contract.name}")
-            for contract in (FACT_CONTRACT, SUMMARY_CONTRACT, ALERT_CONTRACT)
+            for contract in (STAGING_CONTRACT, FACT_CONTRACT, SUMMARY_CONTRACT, ALERT_CONTRACT)
         ]
     )
 

@@ -159,10 +159,9 @@ def _portfolio_value(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _relations(spark: SparkSession, folder: str):
-    work = Workspace(spark, folder)
-    marts = work.marts()
+    marts = Workspace(spark, folder).marts()
     return (
-        (models.stg_windows(work.lake()), STAGING_CONTRACT),
+        (marts.staged, STAGING_CONTRACT),
         (marts.facts, FACT_CONTRACT),
         (marts.summary, SUMMARY_CONTRACT),
         (marts.alerts, ALERT_CONTRACT),
