@@ -1,0 +1,126 @@
+"""Skew-safe operators against plain window functions and brute force."""
+
+import random
+from datetime import datetime, timedelta
+
+import numpy as np
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from tickloom.operators.dashboard import value_percentiles
+from tickloom.operators.ordered import latest_per_key, newest_n_per_key, rank_desc, running_max
+
+START = datetime(2026, 1, 1)
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    """Windows over 40 days; one symbol and one window start hold a large share of the rows."""
+    rng = random.Random(7)
+    rows = []
+    for i in range(1500):
+        at = START + timedelta(minutes=35 * i)
+        rows.append(("HOT", at, rng.choice([0.0, None, round(rng.random(), 6)]), rng.random() * 100))
+    for i in range(1200):
+        rows.append((f"S{i}", START, rng.choice([0.0, 0.5, round(rng.random() * 50, 6)]), rng.random()))
+    for i in range(600):
+        at = START + timedelta(minutes=5 * rng.randrange(9000))
+        rows.append((f"T{i % 5}-{i}", at, round(rng.random(), 2), None))
+    return spark.createDataFrame(
+        rows, "symbol string, window_start timestamp, volatility double, max_price double"
+    ).repartition(7)
+
+
+def test_running_max_equals_plain_window(skewed):
+    plain = Window.partitionBy("symbol").orderBy("window_start")
+    want = skewed.withColumn(
+        "high", F.max("max_price").over(plain.rowsBetween(Window.unboundedPreceding, 0))
+    )
+    got = running_max(skewed, "symbol", "window_start", "max_price", out="high")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_rank_equals_plain_rank(skewed):
+    plain = Window.partitionBy("window_start").orderBy(F.desc_nulls_last("volatility"))
+    want = skewed.withColumn("rank", F.rank().over(plain).cast("bigint"))
+    got = rank_desc(skewed, "window_start", "volatility", out="rank")
+    assert got.schema["rank"].dataType.simpleString() == "bigint"
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_rank_orders_nan_first_like_spark(spark):
+    df = spark.createDataFrame(
+        [(1, float("nan")), (1, 5.0), (1, 0.0), (1, None), (1, 5.0), (1, 1e-9)],
+        "g int, v double",
+    )
+    plain = Window.partitionBy("g").orderBy(F.desc_nulls_last("v"))
+    want = sorted(r.r for r in df.select(F.rank().over(plain).alias("r")).collect())
+    got = sorted(r.r for r in rank_desc(df, "g", "v", out="r").collect())
+    assert got == want
+
+
+def test_no_window_runs_over_a_bare_symbol_or_start(skewed):
+    """The row-level windows are split by day, or work on per-value counts."""
+    highs = running_max(skewed, "symbol", "window_start", "max_price", out="high")
+    plan = highs._jdf.queryExecution().optimizedPlan().toString()
+    row_level = [line for line in plan.splitlines() if "Window [" in line and "_inside" in line]
+    assert row_level and all("_block" in line for line in row_level)
+
+
+def test_latest_per_key_breaks_ties_on_the_rest(spark):
+    df = spark.createDataFrame([("a", 1, 5.0), ("a", 1, 7.0), ("b", 2, 1.0)], "k string, t int, v double")
+    rows = {r.k: r.v for r in latest_per_key(df, ["k"], ["t"]).collect()}
+    assert rows == {"a": 7.0, "b": 1.0}
+
+
+def test_latest_per_key_cuts_before_the_shuffle(skewed):
+    plan = latest_per_key(skewed, ["symbol"], ["window_start"])
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in text[text.index("Exchange") :]
+
+
+def test_newest_n(skewed):
+    rows = newest_n_per_key(skewed, "symbol", ["window_start"], 12, out="age").filter("symbol = 'HOT'")
+    ages = sorted((r.age, r.window_start) for r in rows.collect())
+    assert [a for a, _ in ages] == list(range(1, 13))
+    assert ages[0][1] == START + timedelta(minutes=35 * 1499)
+
+
+def percentile_of(values, p):
+    """Linear interpolation between the two nearest ranks."""
+    ordered = sorted(values)
+    at = (len(ordered) - 1) * p / 100
+    low = int(at)
+    high = min(low + 1, len(ordered) - 1)
+    return ordered[low] + (ordered[high] - ordered[low]) * (at - low)
+
+
+@pytest.mark.parametrize("accuracy", [50, 1000, 100_000])
+def test_percentiles_are_exact(spark, accuracy):
+    """A coarse sketch still gives exact results; only its brackets are wider."""
+    rng = np.random.default_rng(3)
+    groups = {
+        "hot": rng.lognormal(0, 2, 30_000),
+        "ties": np.repeat([1.0, 2.0, 3.0], 700),
+        "one": np.array([4.0]),
+        "two": np.array([1.0, 10.0]),
+        "three": np.array([1.0, 2.0, 10.0]),
+    }
+    rows = [(g, float(v)) for g, values in groups.items() for v in values]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(8)
+    got = {
+        r.g: r
+        for r in value_percentiles(df, "g", "v", (50, 95, 99, 0, 100), accuracy=accuracy).collect()
+    }
+    for g, values in groups.items():
+        assert got[g].row_count == len(values)
+        for p in (50, 95, 99, 0, 100):
+            assert got[g][f"p{p}"] == pytest.approx(percentile_of(values, p), rel=1e-12)
+    assert got["three"]["p95"] == pytest.approx(9.2)
+
+
+def test_percentiles_skip_nulls(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", None), ("a", 3.0)], "g string, v double")
+    row = value_percentiles(df, "g", "v", (50,)).first()
+    assert (row.row_count, row.p50) == (2, 2.0)

@@ -1,0 +1,73 @@
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from tickloom.operators.windows import vwap_windows, window_open_close
+
+START = datetime(2026, 5, 10, 5, 10)
+
+
+def ticks(spark, pairs, symbol="X", start=START):
+    rows = [(symbol, float(p), float(s), start + timedelta(seconds=i)) for i, (p, s) in enumerate(pairs)]
+    return spark.createDataFrame(rows, "symbol string, price double, size double, ts timestamp")
+
+
+@pytest.mark.parametrize(
+    ("pairs", "vwap", "volatility", "low", "high", "spread", "volume"),
+    [
+        ([(100, 10), (102, 10), (98, 10), (101, 10)], 100.25, 1.47902, 98, 102, 4, 40),
+        ([(100, 10), (200, 1000)], 199.0099, 50.0, 100, 200, 100, 1010),
+        ([(820, 100), (819.8, 200), (820.1, 150), (819.9, 50)], 819.94, 0.111803, 819.8, 820.1, 0.3, 500),
+        ([(100, 1), (102, 1), (98, 1), (101, 1), (99, 1)], 100.0, 1.414214, 98, 102, 4, 5),
+        ([(100, 0), (101, 0)], 0.0, 0.5, 100, 101, 1, 0),
+        ([(50, 5)], 50.0, 0.0, 50, 50, 0, 5),
+    ],
+)
+def test_window_arithmetic(spark, pairs, vwap, volatility, low, high, spread, volume):
+    row = vwap_windows(ticks(spark, pairs)).first()
+    assert row.vwap == vwap
+    assert row.volatility == volatility
+    assert (row.min_price, row.max_price, row.price_range) == (low, high, spread)
+    assert (row.trade_count, row.total_volume) == (len(pairs), volume)
+    assert (row.window_start, row.window_end) == (START, START + timedelta(minutes=5))
+
+
+def test_boundary_tick_opens_the_next_window(spark):
+    late = ticks(spark, [(1, 1)], start=START + timedelta(minutes=5))
+    rows = vwap_windows(ticks(spark, [(2, 1)]).unionByName(late)).orderBy("window_start").collect()
+    assert [r.vwap for r in rows] == [2.0, 1.0]
+
+
+def test_sliding_windows_count_a_tick_once_per_slide(spark):
+    rows = vwap_windows(ticks(spark, [(2, 1)]), "10 minutes", "5 minutes").collect()
+    assert len(rows) == 2 and all(r.trade_count == 1 for r in rows)
+
+
+def test_open_close_and_direction(spark):
+    row = window_open_close(ticks(spark, [(5, 1), (9, 1), (4, 1)])).first()
+    assert (row.open_price, row.close_price, row.direction) == (5.0, 4.0, "DOWN")
+    flat = window_open_close(ticks(spark, [(5, 1)])).first()
+    assert flat.direction == "UP"
+
+
+def test_open_close_does_not_depend_on_partitioning(spark):
+    same_time = spark.createDataFrame(
+        [("X", p, 1.0, START) for p in (3.0, 1.0, 2.0)],
+        "symbol string, price double, size double, ts timestamp",
+    )
+    for n in (1, 3):
+        row = window_open_close(same_time.repartition(n)).first()
+        assert (row.open_price, row.close_price) == (1.0, 3.0)
+
+
+def test_hot_symbol_is_reduced_before_the_shuffle(spark):
+    many = spark.range(20000).select(
+        F.lit("HOT").alias("symbol"),
+        (F.col("id") % 7).cast("double").alias("price"),
+        F.lit(1.0).alias("size"),
+        F.lit(START).cast("timestamp").alias("ts"),
+    )
+    plan = vwap_windows(many)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("partial_sum") > plan.index("Exchange")  # printed top down: below it
+    assert vwap_windows(many).first().trade_count == 20000

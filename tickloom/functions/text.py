@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 
 def fixed(value: Column, dp: int) -> Column:
-    """``dp`` decimals, rounded half up on the decimal value."""
-    return F.format_string(f"%.{dp}f", F.round(value, dp))
+    """``dp`` decimals, rounded half up on the decimal value; null stays null."""
+    return F.when(value.isNotNull(), F.format_string(f"%.{dp}f", F.round(value, dp)))
 
 
 def shortest(value: Column, dp: int = 2) -> Column:
@@ -17,7 +17,7 @@ def shortest(value: Column, dp: int = 2) -> Column:
 
 
 def thousands(value: Column) -> Column:
-    return F.format_string("%,d", value.cast("bigint"))
+    return F.when(value.isNotNull(), F.format_string("%,d", value.cast("bigint")))
 
 
 def wall_clock(ts: Column) -> Column:

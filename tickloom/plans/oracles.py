@@ -134,7 +134,7 @@ _CTES = {
     "decoded": """
         SELECT event_id, symbol,
                CASE WHEN isfinite(price) THEN price END AS price, size, ts, exchange,
-               CASE WHEN NOT valid THEN 'not a tick'
+               CASE WHEN NOT valid THEN 'not json'
                     WHEN price_text IS NULL THEN 'no price'
                     WHEN size IS NULL THEN 'no size'
                     WHEN price IS NULL OR NOT isfinite(price) THEN 'bad price'

@@ -24,7 +24,8 @@ TICK = _struct(
 )
 
 # Price, size and timestamp are read as text, so that a number sent as a string is accepted
-# and a bad one can be told apart from a missing one.
+# and a bad one can be told apart from a missing one. Text that is no JSON object, or only the
+# start of one, lands in the last column.
 TICK_WIRE = _struct(
     ("symbol", _STR),
     ("price", _STR),
@@ -33,6 +34,7 @@ TICK_WIRE = _struct(
     ("source", _STR),
     ("exchange", _STR),
     ("conditions", T.ArrayType(_STR)),
+    ("_corrupt_record", _STR),
 )
 
 PORTFOLIO_EVENT = _struct(

@@ -40,9 +40,8 @@ def decode_ticks(raw: DataFrame, value: str = "value") -> DataFrame:
     others = [c for c in raw.columns if c != value]
     price, size = _number(F.col("price")), _number(F.col("size"))
     ts = F.col("timestamp").try_cast("timestamp")
-    no_fields = F.coalesce("symbol", "price", "size", "timestamp").isNull()
     reason = (
-        F.when(no_fields, "not a tick")
+        F.when(F.col("_corrupt_record").isNotNull(), "not json")
         .when(F.col("symbol").isNull(), "no symbol")
         .when(F.col("price").isNull(), "no price")
         .when(F.col("size").isNull(), "no size")
