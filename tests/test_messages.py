@@ -110,7 +110,7 @@ def test_normalize(spark):
 
 @pytest.fixture(scope="module")
 def positions(spark):
-    # Part of the demo portfolio.
+    # Part of the demo portfolio.
     rows = [("AAPL", 500, 172.50), ("NVDA", 150, 820.00), ("SPY", 400, 510.00)]
     return spark.createDataFrame(rows, "symbol string, total_shares bigint, avg_cost double")
 

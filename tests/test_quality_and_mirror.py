@@ -11,7 +11,6 @@ from tickloom.operators.quality import (
     dq_report,
     enforce,
     require_unique,
-    value_checks,
 )
 from tickloom.schemas import FACT_CONTRACT, STAGING_CONTRACT, SUMMARY_CONTRACT
 from tickloom.session import scratch_path, shared_root
@@ -41,10 +40,15 @@ def test_data_tests_count_failures(facts):
     broken = facts.withColumn("symbol", F.when(F.col("symbol") != "AAPL", F.col("symbol"))).withColumn(
         "vwap", -F.col("vwap")
     )
-    nulls = {r.column_name: r.failures for r in contract_tests(broken, FACT_CONTRACT).collect()}
-    assert nulls == {"symbol": 1, "vwap": 0, "session_high": 0}
-    rules = {r.check: r.failures for r in value_checks(broken, "f").collect()}
-    assert rules == {"vwap_positive": 3, "volatility_not_negative": 0, "drawdown_not_negative": 0}
+    got = {(r.check, r.column_name): r.failures for r in contract_tests(broken, FACT_CONTRACT).collect()}
+    assert got == {
+        ("not_null", "symbol"): 1,
+        ("not_null", "vwap"): 0,
+        ("not_null", "session_high"): 0,
+        ("vwap_positive", "vwap"): 3,
+        ("volatility_not_negative", "volatility"): 0,
+        ("drawdown_not_negative", "drawdown_pct"): 0,
+    }
 
 
 def test_repeated_key_is_found(facts):

@@ -51,6 +51,8 @@ TOKEN_PATTERN = (
     r"(\$[\d,.]+|\d+\.\d+%?|#\d+"
     r"|\bHIGH\b|\bMEDIUM\b|\bLOW\b|\bHIGHEST_VOL\b|\bWATCH\b|\bDRAWDOWN\b)"
 )
+# What a token can begin with; checked first, it spares most positions of a text the choice.
+TOKEN_START = r"(?=[$#\dHMLWD])"
 TOKEN_WORDS = {
     "red": ("HIGH", "HIGHEST_VOL", "DRAWDOWN"),
     "amber": ("WATCH", "MEDIUM"),
@@ -130,9 +132,9 @@ def tag_risk_tokens(texts: DataFrame, id_column: str, text_column: str = "text")
     """Money, number, rank and risk-word tokens of each text, in order of appearance."""
     tokens = texts.select(
         id_column,
-        F.posexplode(F.regexp_extract_all(text_column, F.lit(TOKEN_PATTERN), F.lit(1))).alias(
-            "position", "token"
-        ),
+        F.posexplode(
+            F.regexp_extract_all(text_column, F.lit(TOKEN_START + TOKEN_PATTERN), F.lit(1))
+        ).alias("position", "token"),
     )
     token = F.col("token")
     kind = F.when(token.startswith("$"), "money").when(token.startswith("#"), "rank")

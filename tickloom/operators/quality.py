@@ -41,23 +41,20 @@ def _one_pass(df: DataFrame, relation: str, counters: dict[tuple[str, str], Colu
     return wide.select(F.lit(relation).alias("relation"), F.inline(rows))
 
 
-def null_checks(df: DataFrame, relation: str, columns: Iterable[str]) -> DataFrame:
-    return _one_pass(
-        df, relation, {("not_null", c): F.count_if(F.col(c).isNull()) for c in columns}
-    )
+def row_checks(
+    df: DataFrame, relation: str, not_null: Iterable[str], rules: Iterable[str] = ()
+) -> DataFrame:
+    """Rows with a null where none may be, and rows that break a value rule; one scan for all."""
+    counters = {("not_null", c): F.count_if(F.col(c).isNull()) for c in not_null}
+    for rule in rules:
+        column, passes = VALUE_RULES[rule]
+        counters[(rule, column)] = F.count_if(~passes(F.col(column)))
+    return _one_pass(df, relation, counters)
 
 
-def value_checks(df: DataFrame, relation: str) -> DataFrame:
-    """Rows that break a value rule; only rules whose column the relation has."""
-    return _one_pass(
-        df,
-        relation,
-        {
-            (rule, column): F.count_if(~passes(F.col(column)))
-            for rule, (column, passes) in VALUE_RULES.items()
-            if column in df.columns
-        },
-    )
+def rules_for(df: DataFrame) -> list[str]:
+    """The value rules whose column the relation has."""
+    return [rule for rule, (column, _) in VALUE_RULES.items() if column in df.columns]
 
 
 def unique_check(df: DataFrame, relation: str, key: Iterable[str]) -> DataFrame:
@@ -73,20 +70,17 @@ def unique_check(df: DataFrame, relation: str, key: Iterable[str]) -> DataFrame:
 
 
 def contract_tests(df: DataFrame, contract: Contract) -> DataFrame:
-    """The data tests that a contract lists."""
-    parts = [null_checks(df, contract.name, contract.tested_not_null)]
+    """The data tests that a contract lists, and the value rules that apply."""
+    checks = row_checks(df, contract.name, contract.tested_not_null, rules_for(df))
     if contract.key:
-        parts.append(unique_check(df, contract.name, contract.key))
-    return reduce(DataFrame.unionByName, parts)
+        return checks.unionByName(unique_check(df, contract.name, contract.key))
+    return checks
 
 
 def dq_report(relations: Iterable[tuple[DataFrame, Contract]], ticks: DataFrame) -> DataFrame:
     """Failures of every data test, value rule and required tick field."""
-    parts = [null_checks(ticks, "ticks", TICK_FIELDS)]
-    for df, contract in relations:
-        parts.append(contract_tests(df, contract))
-        if any(column in df.columns for column, _ in VALUE_RULES.values()):
-            parts.append(value_checks(df, contract.name))
+    parts = [row_checks(ticks, "ticks", TICK_FIELDS)]
+    parts += [contract_tests(df, contract) for df, contract in relations]
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -8,7 +8,8 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,14 +65,12 @@ def ingest_docs(docs: DataFrame, path: str) -> PipelineModel:
 
 
 def centroids(vectors: DataFrame, label: str, vector: str = "embedding") -> DataFrame:
-    """Mean vector per label, averaged per dimension so that labels of any size stay cheap."""
+    """Mean vector per label; each task sends one partial mean per label."""
+    mean = Summarizer.mean(array_to_vector(F.col(vector).cast("array<double>")))
     return (
-        vectors.select(label, F.posexplode(vector).alias("dim", "x"))
-        .groupBy(label, "dim")
-        .agg(F.avg(F.col("x").cast("double")).alias("x"))
-        .groupBy(label)
-        .agg(F.sort_array(F.collect_list(F.struct("dim", "x"))).alias("dims"))
-        .select(label, F.col("dims.x").alias("embedding"))
+        vectors.groupBy(label)
+        .agg(mean.alias("_mean"))
+        .select(label, vector_to_array("_mean").alias("embedding"))
     )
 
 
@@ -175,7 +174,9 @@ def _blockwise_candidates(
     return q.groupBy("_q", "_d").cogroup(d.groupBy("_q", "_d")).applyInPandas(score, out)
 
 
-def build_prompts(questions: DataFrame, hits: DataFrame, docs: DataFrame) -> DataFrame:
+def build_prompts(
+    questions: DataFrame, hits: DataFrame, docs: DataFrame, system_text: str = SYSTEM_TEXT
+) -> DataFrame:
     """One prompt per non-empty question: system text, retrieved context, question.
 
     ``questions`` has (query_id, question), ``hits`` (query_id, doc_id, rank), ``docs``
@@ -198,7 +199,7 @@ def build_prompts(questions: DataFrame, hits: DataFrame, docs: DataFrame) -> Dat
     return asked.join(context, "query_id", "left").select(
         "query_id",
         "question",
-        F.when(F.col("context").isNotNull(), F.lit(SYSTEM_TEXT)).alias("system_text"),
+        F.when(F.col("context").isNotNull(), F.lit(system_text)).alias("system_text"),
         user.alias("user_text"),
         F.when(F.col("context").isNull(), F.lit(NO_DATA_TEXT)).alias("fallback"),
     )

@@ -56,7 +56,9 @@ PORTFOLIO_EVENT = _struct(
     ),
 )
 
-POSITION = _struct(("symbol", _STR), ("shares", _LONG), ("avg_cost", _DBL), ("volatility", _DBL))
+POSITION = _struct(
+    ("symbol", _STR), ("total_shares", _LONG), ("avg_cost", _DBL), ("volatility", _DBL)
+)
 
 _METRICS = (
     ("vwap", _DBL),
