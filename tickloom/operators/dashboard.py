@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add, or_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.operators.ordered import newest_n_per_key
@@ -26,7 +28,7 @@ def kpi_totals(summary: DataFrame, alerts: DataFrame) -> DataFrame:
     from_alerts = alerts.select(F.lit(1).alias("active_alerts"))
     parts = from_summary.unionByName(from_alerts, allowMissingColumns=True)
 
-    def total(name: str):
+    def total(name: str) -> Column:
         return F.coalesce(F.sum(name), F.lit(0))
 
     return parts.agg(
@@ -51,6 +53,33 @@ def ticker_strip(summary: DataFrame) -> DataFrame:
     )
 
 
+def portfolio_table(summary: DataFrame) -> DataFrame:
+    """The summary as listed: prices to 2 decimals, volatility to 4."""
+    return summary.select(
+        "symbol",
+        F.round("avg_vwap", 2).alias("vwap"),
+        F.round("session_low", 2).alias("session_low"),
+        F.round("session_high", 2).alias("session_high"),
+        F.round("avg_volatility", 4).alias("volatility"),
+        "volatility_regime",
+        F.round("max_drawdown_pct", 2).alias("drawdown_pct"),
+        "total_trades",
+    )
+
+
+def alerts_feed(alerts: DataFrame) -> DataFrame:
+    """Alerts as listed, with a readable label and colour."""
+    return alerts.select(
+        "symbol",
+        F.replace("alert_type", F.lit("_"), F.lit(" ")).alias("label"),
+        F.when(F.col("alert_type") == "WATCH", "amber").otherwise("red").alias("colour"),
+        F.round("current_vwap", 2).alias("vwap"),
+        F.round("volatility", 4).alias("volatility"),
+        "volatility_rank",
+        F.round("drawdown_pct", 2).alias("drawdown_pct"),
+    )
+
+
 def midpoint_series(facts: DataFrame, summary: DataFrame, n: int = SERIES_POINTS) -> DataFrame:
     """The last ``n`` windows of each symbol as percent from the middle of its session range.
 
@@ -96,34 +125,28 @@ def value_percentiles(
 
     A first pass sketches each group and brackets every percentile between two values. The
     sketch's error bound says how wide a bracket must be, so the wanted rows are surely in
-    it. The second pass counts the rows below each bracket and the distinct values inside
-    it. Only the inside, a few parts in ``accuracy`` of a large group, is ever ordered.
+    it. The second pass counts the rows between brackets, and the distinct values inside
+    them. Only the inside, a few parts in ``accuracy`` of a large group, is ever ordered.
     """
     known = df.select(by, F.col(value).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    margins = [4.0 / accuracy, 1e-3, 1e-2, 0.1]
-    margins = sorted({m for m in margins if m >= 4.0 / accuracy})
-
+    margins = sorted({m for m in (4.0 / accuracy, 1e-3, 1e-2, 0.1) if m >= 4.0 / accuracy})
     points = sorted(
-        {
-            min(max(p / 100.0 + sign * m, 0.0), 1.0)
-            for p in ps
-            for m in margins
-            for sign in (-1, 1)
-        }
+        {p / 100.0 + sign * m for p in ps for m in margins for sign in (-1, 1)}
     )
+    points = [point for point in points if 0.0 < point < 1.0]
     sketch = known.groupBy(by).agg(
         F.count(F.lit(1)).alias("n"),
         F.min("v").alias("low"),
         F.max("v").alias("high"),
-        F.percentile_approx("v", points, accuracy).alias("s"),
+        F.percentile_approx("v", points or [0.5], accuracy).alias("s"),
     )
 
-    def cut(p: float, sign: int):
+    def cut(p: float, sign: int) -> Column:
         """The bracket end of one percentile: the tightest that the error bound vouches for."""
         end = F.col("low") if sign < 0 else F.col("high")
-        for m in sorted(margins, reverse=True):
+        for m in reversed(margins):
             at = p / 100.0 + sign * m
-            if 0.0 < at < 1.0:
+            if at in points:
                 safe = F.col("n") * (m - 1.0 / accuracy) >= 3
                 end = F.when(safe, F.col("s")[points.index(at)]).otherwise(end)
         return end
@@ -131,51 +154,46 @@ def value_percentiles(
     brackets = sketch.select(
         by,
         "n",
-        F.array(
-            *[
-                F.struct(
-                    F.lit(float(p)).alias("p"),
-                    cut(p, -1).alias("from"),
-                    cut(p, 1).alias("to"),
-                )
-                for p in ps
-            ]
-        ).alias("brackets"),
-    )
-    marked = (
+        *[cut(p, -1).alias(f"from{i}") for i, p in enumerate(ps)],
+        *[cut(p, 1).alias(f"to{i}") for i, p in enumerate(ps)],
+    )
+    # The bracket ends cut a group into cells that lie wholly inside or outside a bracket.
+    v = F.col("v")
+    ends = range(len(ps))
+    cell = reduce(
+        add,
+        [(v >= F.col(f"from{i}")).cast("int") + (v > F.col(f"to{i}")).cast("int") for i in ends],
+    )
+    inside = reduce(or_, [v.between(F.col(f"from{i}"), F.col(f"to{i}")) for i in ends])
+    tallies = (
         known.join(brackets, by)
-        .select(by, "n", "v", F.explode("brackets").alias("b"))
-        .filter(F.col("v") <= F.col("b.to"))
-        .select(
-            by,
-            "n",
-            F.col("b.p").alias("p"),
-            F.when(F.col("v") >= F.col("b.from"), F.col("v")).alias("inside"),
-        )
-    )
-    tallies = marked.groupBy(by, "n", "p", "inside").agg(F.count(F.lit(1)).alias("c"))
-    # Rows below the bracket share the null value, which sorts first and so opens the count.
-    upward = Window.partitionBy(by, "p").orderBy(F.asc_nulls_first("inside"))
-    position = F.col("p") / 100.0 * (F.col("n") - 1)
+        .select(by, "n", cell.alias("cell"), F.when(inside, v).alias("v"))
+        .groupBy(by, "n", "cell", "v")
+        .agg(F.count(F.lit(1)).alias("c"))
+    )
+    upward = Window.partitionBy(by).orderBy("cell", "v")
     ranked = tallies.withColumn(
         "upto", F.sum("c").over(upward.rowsBetween(Window.unboundedPreceding, 0))
     )
 
-    def value_at(index):
-        held = (F.col("upto") > index) & (F.col("upto") - F.col("c") <= index)
-        return F.max(F.when(held, F.col("inside")))
+    def held(index: Column) -> Column:
+        """The value at a zero-based position of the ordered group."""
+        here = (F.col("upto") > index) & (F.col("upto") - F.col("c") <= index)
+        return F.max(F.when(here, F.col("v")))
 
-    exact = ranked.groupBy(by, "n", "p").agg(
-        value_at(F.floor(position)).alias("lower"), value_at(F.ceil(position)).alias("upper")
+    positions = [F.lit(p / 100.0) * (F.col("n") - 1) for p in ps]
+    found = ranked.groupBy(by, "n").agg(
+        *[held(F.floor(at)).alias(f"lower{i}") for i, at in enumerate(positions)],
+        *[held(F.ceil(at)).alias(f"upper{i}") for i, at in enumerate(positions)],
     )
-    between = F.col("lower") + (F.col("upper") - F.col("lower")) * (position - F.floor(position))
-    checked = F.when(
-        F.col("lower").isNull() | F.col("upper").isNull(),
-        F.raise_error(F.lit("percentile outside its bracket")).cast("double"),
-    ).otherwise(between)
-    return exact.groupBy(by, F.col("n").alias("row_count")).agg(
-        *[
-            F.max(F.when(F.col("p") == float(p), checked)).alias(f"p{p:g}".replace(".", "_"))
-            for p in ps
-        ]
+
+    def between(i: int) -> Column:
+        lower, upper = F.col(f"lower{i}"), F.col(f"upper{i}")
+        missed = F.raise_error(F.lit("percentile outside its bracket")).cast("double")
+        exact = lower + (upper - lower) * (positions[i] - F.floor(positions[i]))
+        return F.when(lower.isNull() | upper.isNull(), missed).otherwise(exact)
+
+    names = [f"p{p:g}".replace(".", "_") for p in ps]
+    return found.select(
+        by, F.col("n").alias("row_count"), *[between(i).alias(name) for i, name in enumerate(names)]
     )

@@ -30,6 +30,21 @@ def _windows_of(ticks: str, width: str) -> str:
         FROM {ticks} GROUP BY ALL"""
 
 
+def _facts_of(windows: str) -> str:
+    return f"""
+        SELECT *,
+               {_r("(session_high - vwap) / nullif(session_high, 0) * 100", 4)} AS drawdown_pct
+        FROM (
+            SELECT w.*,
+                   max(max_price) OVER earlier AS session_high,
+                   rank() OVER (PARTITION BY window_start ORDER BY volatility DESC NULLS LAST)
+                       AS volatility_rank
+            FROM {windows} w
+            WINDOW earlier AS (PARTITION BY symbol ORDER BY window_start
+                               ROWS UNBOUNDED PRECEDING)
+        )"""
+
+
 _CTES = {
     "ticks": """
         SELECT event_id, event_type AS symbol, value AS price,
@@ -37,24 +52,19 @@ _CTES = {
         FROM events""",
     "windows": _windows_of("ticks", "5 MINUTES"),
     "hourly": _windows_of("ticks", "1 HOUR"),
+    "lines": """
+        SELECT CAST(l_suppkey AS VARCHAR) AS symbol, l_shipdate AS ts, l_quantity AS size,
+               l_extendedprice AS price
+        FROM lineitem""",
+    "daily": _windows_of("lines", "1 DAY"),
     "fragments": """
         SELECT * FROM windows
         UNION ALL
         SELECT * REPLACE (window_end - INTERVAL 1 MINUTE AS window_end,
                           trade_count - 1 AS trade_count)
         FROM windows WHERE trade_count > 1""",
-    "facts": f"""
-        SELECT *,
-               {_r("(session_high - vwap) / nullif(session_high, 0) * 100", 4)} AS drawdown_pct
-        FROM (
-            SELECT w.*,
-                   max(max_price) OVER earlier AS session_high,
-                   rank() OVER (PARTITION BY window_start ORDER BY volatility DESC NULLS LAST)
-                       AS volatility_rank
-            FROM windows w
-            WINDOW earlier AS (PARTITION BY symbol ORDER BY window_start
-                               ROWS UNBOUNDED PRECEDING)
-        )""",
+    "facts": _facts_of("windows"),
+    "daily_facts": _facts_of("daily"),
     "summary": f"""
         SELECT *, CASE WHEN avg_volatility > 0.05 THEN 'HIGH'
                        WHEN avg_volatility > 0.015 THEN 'MEDIUM' ELSE 'LOW' END
@@ -199,6 +209,8 @@ _CTES = {
 _NEEDS = {
     "windows": ("ticks",),
     "hourly": ("ticks",),
+    "daily": ("lines",),
+    "daily_facts": ("daily",),
     "fragments": ("windows",),
     "facts": ("windows",),
     "summary": ("facts",),
@@ -409,6 +421,11 @@ def oracles() -> dict[str, str]:
         "vwap_facts": _with(
             f"SELECT {w}, session_high, drawdown_pct, volatility_rank FROM facts", "facts"
         ),
+        "supplier_windows": _with(f"SELECT {w} FROM daily", "daily"),
+        "supplier_facts": _with(
+            f"SELECT {w}, session_high, drawdown_pct, volatility_rank FROM daily_facts",
+            "daily_facts",
+        ),
         "portfolio_summary": _with("SELECT * FROM summary", "summary"),
         "volatility_alerts": _with("SELECT * FROM alerts", "alerts"),
         "volatility_regime": _with("SELECT symbol, volatility_regime FROM summary", "summary"),
@@ -459,6 +476,19 @@ def oracles() -> dict[str, str]:
                 FROM summary""",
             "summary",
         ),
+        "portfolio_table": _with(
+            f"""SELECT symbol, avg_vwap AS vwap, session_low, session_high,
+                       {_r("avg_volatility", 4)} AS volatility, volatility_regime,
+                       max_drawdown_pct AS drawdown_pct, total_trades FROM summary""",
+            "summary",
+        ),
+        "alerts_feed": _with(
+            f"""SELECT symbol, replace(alert_type, '_', ' ') AS label,
+                       CASE alert_type WHEN 'WATCH' THEN 'amber' ELSE 'red' END AS colour,
+                       {_r("current_vwap", 2)} AS vwap, {_r("volatility", 4)} AS volatility,
+                       volatility_rank, drawdown_pct FROM alerts""",
+            "alerts",
+        ),
         "midpoint_series": _with("SELECT * FROM series", "series"),
         "midpoint_wide": _with(
             "SELECT point, "

@@ -22,7 +22,7 @@ from tickloom.schemas import (
     SUMMARY_CONTRACT,
     WINDOW,
 )
-from tickloom.session import prepare, scratch_path
+from tickloom.session import prepare, scratch_path, store
 from tickloom.sources import inputs, lake, mirror, ticks
 from tickloom.streaming.drawdown import stream_drawdown
 from tickloom.streaming.sinks import replay
@@ -91,6 +91,19 @@ def _scanned(windows: DataFrame) -> DataFrame:
     return windows.select(*WINDOW.fieldNames(), F.date_format("date", "yyyy-MM-dd").alias("date"))
 
 
+# --- suppliers: many symbols, daily windows over years ----------------------------------
+
+
+def _supplier_windows(spark: SparkSession, folder: str) -> DataFrame:
+    ticks_in = inputs.lineitem_ticks(prepare(spark), folder)
+    return naive(vwap_windows(ticks_in, "1 day"))
+
+
+def _supplier_facts(spark: SparkSession, folder: str) -> DataFrame:
+    windows = vwap_windows(inputs.lineitem_ticks(prepare(spark), folder), "1 day")
+    return naive(models.vwap_facts(store(windows, "supplier-windows")))
+
+
 # --- messages ---------------------------------------------------------------------------
 
 
@@ -274,6 +287,8 @@ def registry() -> dict[str, Query]:
         # models
         "stg_windows": _on_lake(lambda w: models.stg_windows(_late_fragments(w.drop("date")))),
         "vwap_facts": _on_marts(lambda m: m.facts),
+        "supplier_windows": _supplier_windows,
+        "supplier_facts": _supplier_facts,
         "portfolio_summary": _on_marts(lambda m: m.summary.orderBy(F.desc("avg_volatility"))),
         "volatility_alerts": _on_marts(lambda m: models.alerts_in_order(m.alerts)),
         "volatility_regime": _on_marts(
@@ -295,6 +310,8 @@ def registry() -> dict[str, Query]:
         # dashboard
         "kpi_totals": _on_marts(lambda m: dashboard.kpi_totals(m.summary, m.alerts)),
         "ticker_strip": _on_marts(lambda m: dashboard.ticker_strip(m.summary)),
+        "portfolio_table": _on_marts(lambda m: dashboard.portfolio_table(m.summary)),
+        "alerts_feed": _on_marts(lambda m: dashboard.alerts_feed(m.alerts)),
         "midpoint_series": _on_marts(lambda m: dashboard.midpoint_series(m.facts, m.summary)),
         "midpoint_wide": _on_marts(
             lambda m: dashboard.midpoint_wide(

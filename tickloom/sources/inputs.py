@@ -37,10 +37,10 @@ def event_tick_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def lineitem_ticks(spark: SparkSession, folder: str) -> DataFrame:
-    """Ticks out of ``lineitem``: supplier as symbol, unit price, quantity, ship date."""
+    """Ticks out of ``lineitem``: supplier as symbol, line price, quantity, ship date."""
     return table(spark, folder, "lineitem").select(
         F.col("l_suppkey").cast("string").alias("symbol"),
-        (F.col("l_extendedprice") / F.nullif("l_quantity", F.lit(0.0))).alias("price"),
+        F.col("l_extendedprice").alias("price"),
         F.col("l_quantity").alias("size"),
         F.col("l_shipdate").cast("timestamp").alias("ts"),
         F.lit("lineitem").alias("source"),
