@@ -13,7 +13,13 @@ from tickloom.operators.models import (
     volatility_alerts,
     vwap_facts,
 )
-from tickloom.plans.marts import build_mart_tables, build_marts, read_marts, serve_portfolio
+from tickloom.plans.marts import (
+    build_mart_tables,
+    build_marts,
+    current_marts,
+    read_marts,
+    serve_portfolio,
+)
 from tickloom.schemas import FACT_CONTRACT, WINDOW, WINDOW_TEXT
 from tickloom.session import scratch_path
 from tickloom.sources.lake import lake_scan, write_lake
@@ -185,6 +191,13 @@ def test_marts_are_stored_under_their_contracts(marts):
     assert (marts.facts.count(), marts.summary.count(), marts.alerts.count()) == (3, 3, 3)
 
 
+def test_marts_can_be_rebuilt_from_their_own_lake(spark, five_rows):
+    root = scratch_path(spark, "marts")
+    build_marts(five_rows, root)
+    build_marts(five_rows.filter("symbol = 'TSLA'"), root)
+    assert [r.symbol for r in current_marts(spark, root).summary.collect()] == ["TSLA"]
+
+
 def test_mart_tables(spark, five_rows):
     build_mart_tables(five_rows, "marts_test")
     build_mart_tables(five_rows, "marts_test")  # a rebuild replaces

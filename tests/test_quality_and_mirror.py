@@ -15,6 +15,7 @@ from tickloom.operators.quality import (
 from tickloom.schemas import FACT_CONTRACT, STAGING_CONTRACT, SUMMARY_CONTRACT
 from tickloom.session import scratch_path, shared_root
 from tickloom.sources.lake import lake_scan, lake_union, load_lake, write_lake
+from tickloom.sources import versioned
 from tickloom.sources.mirror import mirror_log, mirror_parity, mirror_refresh, mirror_scan
 
 
@@ -112,6 +113,28 @@ def test_refresh_replaces_and_may_read_the_mirror(spark):
     assert mirror_log(spark, target).count() == 3
 
 
+def test_a_refused_refresh_keeps_the_old_version(spark):
+    target = scratch_path(spark, "versioned")
+    one = spark.createDataFrame([("A", 1.0, 1)], MIRROR)
+
+    def refuse(stored):
+        assert stored.count() == 2
+        raise ContractError("refused")
+
+    versioned.publish(one, target)
+    with pytest.raises(ContractError):
+        versioned.publish(one.unionByName(one), target, check=refuse)
+    assert versioned.current(spark, target, one.schema).count() == 1
+    versioned.publish(one.unionByName(one), target)
+    assert versioned.current(spark, target, one.schema).count() == 2
+    assert [r.version for r in versioned.history(spark, target).orderBy("version").collect()] == [1, 2]
+
+
+def test_nothing_published_yet(spark):
+    with pytest.raises(FileNotFoundError):
+        versioned.current(spark, scratch_path(spark, "none"), spark.range(1).schema)
+
+
 def test_parity_counts_copies(spark):
     one = spark.createDataFrame([("A", 1.0, 1)] * 3 + [("B", 1.0, 1)], MIRROR)
     two = spark.createDataFrame([("A", 1.0, 1)] * 2 + [("C", None, 1)], MIRROR)

@@ -11,7 +11,7 @@ from tickloom.operators.models import stream_highs
 from tickloom.operators.windows import vwap_windows
 from tickloom.session import scratch_path
 from tickloom.sources.inputs import event_tick_stream, event_ticks
-from tickloom.sources.lake import lake_scan
+from tickloom.sources.lake import lake_scan, lake_stream
 from tickloom.sources.ticks import alert_messages, decode_ticks, split_ticks
 from tickloom.streaming.drawdown import stream_drawdown
 from tickloom.streaming.sinks import file_writer, lake_writer, replay, start
@@ -116,6 +116,14 @@ def test_lake_sink_appends_once_across_restarts(spark):
     assert {str(r.date) for r in rows} == {"2026-05-10", "2026-05-11"}
 
 
+def test_alerts_can_follow_the_lake(spark, tick_files):
+    lake, checkpoint = scratch_path(spark, "lake"), scratch_path(spark, "checkpoint")
+    writer = lake_writer(stream_windows(file_stream(spark, tick_files)), lake, checkpoint)
+    assert start(writer, once=True).awaitTermination(300)
+    got = replay(stream_drawdown(lake_stream(spark, lake)), "alerts")
+    assert same(got, stream_highs(lake_scan(spark, lake).drop("date")))
+
+
 def test_quarantine_and_windows_from_messages(spark):
     path = scratch_path(spark, "messages")
 

@@ -19,7 +19,7 @@ from tickloom.operators.retrieval import build_prompts, ingest_docs, topk_cosine
 from tickloom.plans.marts import build_mart_tables, read_marts, serve_portfolio
 from tickloom.session import build_session
 from tickloom.sources.kafka import ALERT_TOPIC, TICK_TOPIC, topic_stream, topic_writer
-from tickloom.sources.lake import lake_scan, load_lake
+from tickloom.sources.lake import lake_scan, lake_stream, load_lake
 from tickloom.sources.mirror import mirror_refresh
 from tickloom.sources.ticks import alert_messages, decode_ticks, split_ticks
 from tickloom.streaming.drawdown import stream_drawdown
@@ -28,15 +28,18 @@ from tickloom.streaming.windows import DEFAULT_DELAY, DEFAULT_WIDTH, stream_wind
 
 
 def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Ticks from a topic into the lake, the alert topic and the quarantine."""
+    """Ticks from a topic into the lake and the quarantine, and the lake into the alert topic.
+
+    Alerts follow the lake, so that ticks are windowed once.
+    """
     messages = topic_stream(spark, args.servers, args.topic)
     good, bad = split_ticks(decode_ticks(messages.select("value")))
     windows = stream_windows(good, args.width, args.delay)
     state = args.checkpoints
     start(lake_writer(windows, args.lake, f"{state}/lake"))
-    alerts = alert_messages(stream_drawdown(windows))
-    start(topic_writer(alerts, args.servers, f"{state}/alerts", args.alert_topic))
     start(file_writer(bad, args.quarantine, f"{state}/quarantine"))
+    alerts = alert_messages(stream_drawdown(lake_stream(spark, args.lake)))
+    start(topic_writer(alerts, args.servers, f"{state}/alerts", args.alert_topic))
     spark.streams.awaitAnyTermination()
 
 
@@ -87,6 +90,7 @@ def parser() -> argparse.ArgumentParser:
         sub = jobs.add_parser(name, help=run.__doc__)
         for flag, settings in options:
             sub.add_argument(flag, **settings)
+        sub.add_argument("--shuffle-partitions", type=int, help="about shuffled bytes / 200 MB")
         sub.set_defaults(run=run)
 
     needed: dict = {"required": True}
@@ -123,7 +127,10 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
-    args.run(build_session(f"tickloom-{args.job}"), args)
+    settings = {}
+    if args.shuffle_partitions:
+        settings["spark.sql.shuffle.partitions"] = str(args.shuffle_partitions)
+    args.run(build_session(f"tickloom-{args.job}", **settings), args)
 
 
 if __name__ == "__main__":

@@ -146,12 +146,13 @@ def _blockwise_candidates(
 ) -> DataFrame:
     """Per-block candidates for a query set too large to send to every task.
 
-    Blocks come from hashes, so no key can make one large; every (query, document) pair is
-    scored in exactly one block pair, and each pair of blocks emits ``k`` rows per query.
+    Blocks come from hashes of the ids, which are unique, so all blocks are of a size; every
+    query meets every document in exactly one pair of blocks, and each pair emits ``k`` rows
+    per query.
     """
     n_queries, n_docs = queries.count(), docs.count()
     query_blocks = -(-n_queries // block)
-    doc_blocks = max(1, -(-n_docs // (16 * block)))
+    doc_blocks = max(1, -(-n_docs // (4 * block)))
     q = queries.withColumn(
         "_q", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks))
     ).withColumn("_d", F.explode(F.sequence(F.lit(0), F.lit(doc_blocks - 1))))

@@ -21,6 +21,7 @@ from tickloom.schemas import (
     SUMMARY_CONTRACT,
     Contract,
 )
+from tickloom.sources import versioned
 
 
 @dataclass(frozen=True)
@@ -32,14 +33,16 @@ class Marts:
 
 
 def publish_files(df: DataFrame, contract: Contract, path: str) -> DataFrame:
-    """Write a relation under its contract as Parquet files and return the stored one.
+    """Write a relation under its contract as versioned Parquet and return the stored one.
 
-    The rebalance step sizes the files, also where the result is tiny or skewed.
+    The rebalance step sizes the files, also where the result is tiny or skewed. A repeated
+    key keeps the previous version current.
     """
-    enforce(df, contract).hint("rebalance").write.mode("overwrite").parquet(path)
-    stored = df.sparkSession.read.schema(contract.schema).parquet(path)
-    require_unique(stored, contract)
-    return stored
+    return versioned.publish(
+        enforce(df, contract).hint("rebalance"),
+        path,
+        check=lambda stored: require_unique(stored, contract),
+    )
 
 
 def publish_table(df: DataFrame, contract: Contract, database: str) -> DataFrame:
@@ -57,12 +60,12 @@ def build_marts(lake: DataFrame, root: str) -> Marts:
     Staged windows are stored too: the fact model reads them in several branches, each with
     its own few columns, and the de-duplication must not run once per branch.
     """
-    staged = publish_files(stg_windows(lake), STAGING_CONTRACT, f"{root}/stg_windows")
-    facts = publish_files(vwap_facts(staged), FACT_CONTRACT, f"{root}/vwap_facts")
+    staged = publish_files(stg_windows(lake), STAGING_CONTRACT, f"{root}/{STAGING_CONTRACT.name}")
+    facts = publish_files(vwap_facts(staged), FACT_CONTRACT, f"{root}/{FACT_CONTRACT.name}")
     summary = publish_files(
-        portfolio_summary(facts), SUMMARY_CONTRACT, f"{root}/portfolio_summary"
+        portfolio_summary(facts), SUMMARY_CONTRACT, f"{root}/{SUMMARY_CONTRACT.name}"
     )
-    alerts = publish_files(volatility_alerts(facts), ALERT_CONTRACT, f"{root}/volatility_alerts")
+    alerts = publish_files(volatility_alerts(facts), ALERT_CONTRACT, f"{root}/{ALERT_CONTRACT.name}")
     return Marts(staged, facts, summary, alerts)
 
 
@@ -76,13 +79,18 @@ def build_mart_tables(lake: DataFrame, database: str = "marts") -> Marts:
     return Marts(staged, facts, summary, alerts)
 
 
+_CONTRACTS = (STAGING_CONTRACT, FACT_CONTRACT, SUMMARY_CONTRACT, ALERT_CONTRACT)
+
+
 def read_marts(spark: SparkSession, database: str = "marts") -> Marts:
     """The published tables, read by qualified name."""
+    return Marts(*[spark.table(f"{database}.{contract.name}") for contract in _CONTRACTS])
+
+
+def current_marts(spark: SparkSession, root: str) -> Marts:
+    """The current versions of the relations under ``root``."""
     return Marts(
-        *[
-            spark.table(f"{database}.{contract.name}")
-            for contract in (STAGING_CONTRACT, FACT_CONTRACT, SUMMARY_CONTRACT, ALERT_CONTRACT)
-        ]
+        *[versioned.current(spark, f"{root}/{c.name}", c.schema) for c in _CONTRACTS]
     )
 
 

@@ -11,7 +11,11 @@ _LOCAL_ROOTS: dict[str, str] = {}
 
 
 def build_session(app_name: str = "tickloom", **conf: str) -> SparkSession:
-    """A session with the settings the library expects; ``conf`` overrides any of them."""
+    """A session with the settings the library expects; ``conf`` overrides any of them.
+
+    On a cluster, pass ``spark.sql.shuffle.partitions`` of about shuffled bytes / 200 MB;
+    adaptive execution merges what turns out too small and splits skewed joins.
+    """
     settings = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
@@ -21,7 +25,7 @@ def build_session(app_name: str = "tickloom", **conf: str) -> SparkSession:
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
         ),
     }
-    settings.update({key.replace("__", "."): value for key, value in conf.items()})
+    settings.update(conf)
     builder = SparkSession.builder.appName(app_name)
     for key, value in settings.items():
         builder = builder.config(key, value)

@@ -29,6 +29,12 @@ def lake_scan(
     return lake
 
 
+def lake_stream(spark: SparkSession, path: str, schema: T.StructType = WINDOW) -> DataFrame:
+    """Windows as they arrive in a lake that a stream writes; each is read exactly once."""
+    with_date = T.StructType([*schema.fields, T.StructField("date", T.DateType())])
+    return spark.readStream.schema(with_date).parquet(path).select(*schema.fieldNames())
+
+
 def load_lake(spark: SparkSession, fmt: str, source: str) -> DataFrame:
     """The lake behind one name, whatever stores it: Parquet files or a catalog table."""
     if fmt == "parquet":

@@ -1,26 +1,12 @@
-"""A mirror of the lake that is replaced as a whole and read at its current version.
-
-Parquet mirrors keep each refresh in a folder of its own and append one log row once the
-data is complete, so readers never see half a refresh and a refresh may read the previous
-one. Table formats bring their own snapshots and are written through the catalog.
-"""
+"""A mirror of the lake that is replaced as a whole and read at its current version."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_LOG = T.StructType(
-    [
-        T.StructField("committed_at", T.TimestampType()),
-        T.StructField("version", T.StringType()),
-        T.StructField("row_count", T.LongType()),
-        T.StructField("files", T.LongType()),
-    ]
-)
+from tickloom.sources import versioned
 
 
 def _size(lake: DataFrame) -> DataFrame:
@@ -36,39 +22,30 @@ def _size(lake: DataFrame) -> DataFrame:
 
 
 def mirror_refresh(lake: DataFrame, target: str, fmt: str = "parquet") -> dict:
-    """Replace the mirror by the rows of ``lake``; returns row and source-file counts."""
+    """Replace the mirror by the rows of ``lake``; returns row and source-file counts.
+
+    Parquet mirrors live at a path and are versioned there. Table formats bring their own
+    snapshots and are written through the catalog, with ``target`` as the table name.
+    """
     size = _size(lake).first().asDict()
     if size["files"] == 0:
         raise FileNotFoundError("the lake has no files to mirror")
-    if fmt != "parquet":
+    if fmt == "parquet":
+        versioned.publish(lake, target, **size)
+    else:
         lake.writeTo(target).using(fmt).createOrReplace()
-        return {**size, "version": target}
-    version = uuid.uuid4().hex
-    lake.write.mode("errorifexists").parquet(f"{target}/versions/{version}")
-    spark = lake.sparkSession
-    entry = spark.range(1).select(
-        F.current_timestamp().alias("committed_at"),
-        F.lit(version).alias("version"),
-        F.lit(size["row_count"]).cast("bigint").alias("row_count"),
-        F.lit(size["files"]).cast("bigint").alias("files"),
-    )
-    entry.coalesce(1).write.mode("append").parquet(f"{target}/log")
-    return {**size, "version": version}
+    return size
 
 
 def mirror_log(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.schema(_LOG).parquet(f"{target}/log")
+    return versioned.history(spark, target)
 
 
 def mirror_scan(
     spark: SparkSession, target: str, schema: T.StructType, fmt: str = "parquet"
 ) -> DataFrame:
     """The current version of the mirror."""
-    if fmt != "parquet":
-        return spark.table(target)
-    newest = F.max(F.struct("committed_at", "version")).alias("newest")
-    current = mirror_log(spark, target).agg(newest).select("newest.version").first()["version"]
-    return spark.read.schema(schema).parquet(f"{target}/versions/{current}")
+    return versioned.current(spark, target, schema) if fmt == "parquet" else spark.table(target)
 
 
 def mirror_parity(lake: DataFrame, mirror: DataFrame) -> DataFrame:

@@ -10,12 +10,20 @@ from tickloom.sources.lake import with_date
 
 # How often windows are flushed when the caller sets no trigger.
 FLUSH_INTERVAL = "5 minutes"
+# Tasks, and so files per date, of one flush.
+FLUSH_FILES = 8
 
 
-def lake_writer(windows: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
-    """Closed windows into the date-partitioned lake, exactly once per checkpoint."""
+def lake_writer(
+    windows: DataFrame, path: str, checkpoint: str, files: int = FLUSH_FILES
+) -> DataStreamWriter:
+    """Closed windows into the date-partitioned lake, exactly once per checkpoint.
+
+    A flush holds a window per symbol, so its rows are gathered into a few files first.
+    """
     rows = windows.drop("closed_at") if "closed_at" in windows.columns else windows
-    return file_writer(with_date(rows), path, checkpoint).partitionBy("date")
+    gathered = with_date(rows).repartition(files)
+    return file_writer(gathered, path, checkpoint).partitionBy("date")
 
 
 def file_writer(stream: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
