@@ -120,7 +120,8 @@ def test_percentiles_are_exact(spark, accuracy):
     assert got["three"]["p95"] == pytest.approx(9.2)
 
 
-def test_percentiles_skip_nulls(spark):
-    df = spark.createDataFrame([("a", 1.0), ("a", None), ("a", 3.0)], "g string, v double")
-    row = value_percentiles(df, "g", "v", (50,)).first()
-    assert (row.row_count, row.p50) == (2, 2.0)
+def test_percentiles_skip_null_values_and_keep_the_null_group(spark):
+    rows = [("a", 1.0), ("a", None), ("a", 3.0), (None, 5.0), (None, 7.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: (r.row_count, r.p50) for r in value_percentiles(df, "g", "v", (50,)).collect()}
+    assert got == {"a": (2, 2.0), None: (2, 6.0)}

@@ -152,7 +152,7 @@ def value_percentiles(
         return end
 
     brackets = sketch.select(
-        by,
+        F.col(by).alias("_group"),
         "n",
         *[cut(p, -1).alias(f"from{i}") for i, p in enumerate(ps)],
         *[cut(p, 1).alias(f"to{i}") for i, p in enumerate(ps)],
@@ -165,13 +165,15 @@ def value_percentiles(
         [(v >= F.col(f"from{i}")).cast("int") + (v > F.col(f"to{i}")).cast("int") for i in ends],
     )
     inside = reduce(or_, [v.between(F.col(f"from{i}"), F.col(f"to{i}")) for i in ends])
+    # Grouping by the bracket's own key puts a shuffle between join and aggregation, without
+    # which Spark could not split a group that holds most of the rows.
     tallies = (
-        known.join(brackets, by)
-        .select(by, "n", cell.alias("cell"), F.when(inside, v).alias("v"))
-        .groupBy(by, "n", "cell", "v")
+        known.join(brackets, F.col(by).eqNullSafe(F.col("_group")), "left")
+        .select("_group", "n", cell.alias("cell"), F.when(inside, v).alias("v"))
+        .groupBy("_group", "n", "cell", "v")
         .agg(F.count(F.lit(1)).alias("c"))
     )
-    upward = Window.partitionBy(by).orderBy("cell", "v")
+    upward = Window.partitionBy("_group").orderBy("cell", "v")
     ranked = tallies.withColumn(
         "upto", F.sum("c").over(upward.rowsBetween(Window.unboundedPreceding, 0))
     )
@@ -182,7 +184,7 @@ def value_percentiles(
         return F.max(F.when(here, F.col("v")))
 
     positions = [F.lit(p / 100.0) * (F.col("n") - 1) for p in ps]
-    found = ranked.groupBy(by, "n").agg(
+    found = ranked.groupBy("_group", "n").agg(
         *[held(F.floor(at)).alias(f"lower{i}") for i, at in enumerate(positions)],
         *[held(F.ceil(at)).alias(f"upper{i}") for i, at in enumerate(positions)],
     )
@@ -195,5 +197,7 @@ def value_percentiles(
 
     names = [f"p{p:g}".replace(".", "_") for p in ps]
     return found.select(
-        by, F.col("n").alias("row_count"), *[between(i).alias(name) for i, name in enumerate(names)]
+        F.col("_group").alias(by),
+        F.col("n").alias("row_count"),
+        *[between(i).alias(name) for i, name in enumerate(names)],
     )
