@@ -545,8 +545,29 @@ def oracles() -> dict[str, str]:
         "contract_check": _with(_contract_rows(), "summary", "alerts"),
         "mirror_refresh": _with("SELECT count(*) AS row_count FROM windows", "windows"),
         "mirror_scan": _with(_scan_summary(), "windows"),
-        "mirror_parity": "SELECT CAST(0 AS BIGINT) AS only_in_lake, CAST(0 AS BIGINT) AS only_in_mirror",
+        "mirror_parity": _with(
+            """SELECT 'mirrored' AS lake, 0 AS only_in_lake, 0 AS only_in_mirror
+               UNION ALL
+               SELECT 'grown', (SELECT count(*) FROM (FROM fragments EXCEPT ALL FROM windows)),
+                      (SELECT count(*) FROM (FROM windows EXCEPT ALL FROM fragments))""",
+            "fragments",
+        ),
         "render_docs": _with("SELECT * FROM docs", "docs"),
+        "ingest_docs": _with(
+            "SELECT *, 384 AS dimensions, CAST(1 AS DOUBLE) AS norm FROM docs", "docs"
+        ),
+        "serve_portfolio": _with(
+            """SELECT 'portfolio' AS section,
+                      * REPLACE (CAST(total_windows AS DOUBLE) AS total_windows,
+                                 CAST(total_trades AS DOUBLE) AS total_trades)
+               FROM summary
+               UNION ALL BY NAME
+               SELECT 'alerts' AS section,
+                      * REPLACE (CAST(volatility_rank AS DOUBLE) AS volatility_rank)
+               FROM alerts""",
+            "summary",
+            "alerts",
+        ),
         "topk_cosine": _with(
             """SELECT query_id, doc_id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank
                FROM (
@@ -563,6 +584,11 @@ def oracles() -> dict[str, str]:
         ),
         "tag_risk_tokens": _TOKENS.format(id="doc_id", source="documents"),
         "tag_document_tokens": _with(_TOKENS.format(id="id", source="docs"), "docs"),
+        "stream_quarantine": _with(
+            """SELECT reject_reason, count(*) AS messages FROM decoded
+               WHERE reject_reason IS NOT NULL GROUP BY reject_reason""",
+            "decoded",
+        ),
         "stream_windows": _with(f"SELECT {w} FROM closed", "closed"),
         "stream_alerts": _with(
             f"SELECT {w}, alert_type, session_high, drawdown_pct FROM closed", "closed"

@@ -158,7 +158,7 @@ def _pnl(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _decode_events(spark: SparkSession, folder: str) -> DataFrame:
-    decoded = ticks.decode_events(inputs.trade_messages(_pnl(spark, folder)))
+    decoded = ticks.decode_events(ticks.encode_events(_pnl(spark, folder)))
     return naive(decoded.drop("price"))
 
 
@@ -212,8 +212,13 @@ def _mirror_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _mirror_parity(spark: SparkSession, folder: str) -> DataFrame:
+    """The lake against its mirror, and against it again once late fragments have come in."""
     windows, _, target = _mirror(spark, folder)
-    return mirror.mirror_parity(windows, mirror.mirror_scan(spark, target, windows.schema))
+    windows = windows.drop("date")
+    copy = mirror.mirror_scan(spark, target, Workspace(spark, folder).lake().schema).drop("date")
+    fresh = mirror.mirror_parity(windows, copy).withColumn("lake", F.lit("mirrored"))
+    grown = mirror.mirror_parity(_late_fragments(windows), copy)
+    return fresh.unionByName(grown.withColumn("lake", F.lit("grown")))
 
 
 # --- documents and retrieval ------------------------------------------------------------
@@ -231,7 +236,15 @@ def _ingested(spark: SparkSession, folder: str):
 
 
 def _ingest_docs(spark: SparkSession, folder: str) -> DataFrame:
-    return _ingested(spark, folder)[1]
+    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda total, x: total + x * x))
+    return _ingested(spark, folder)[1].select(
+        "id",
+        "text",
+        F.col("metadata")["symbol"].alias("symbol"),
+        F.col("metadata")["type"].alias("type"),
+        F.size("embedding").alias("dimensions"),
+        F.round(norm, 4).alias("norm"),
+    )
 
 
 def _build_prompts(spark: SparkSession, folder: str) -> DataFrame:
@@ -259,6 +272,17 @@ def _tag_document_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return documents.tag_risk_tokens(_docs(spark, folder), "id")
 
 
+def _serve_portfolio(spark: SparkSession, folder: str) -> DataFrame:
+    """The served JSON records, read back; each list leaves the other's fields empty."""
+    marts = Workspace(spark, folder).marts()
+    fields = {f.name: f for f in (*SUMMARY_CONTRACT.schema, *ALERT_CONTRACT.schema)}
+    record = F.from_json("record", T.StructType(list(fields.values())))
+    served = serve_portfolio(marts.summary, marts.alerts)
+    read_back = served.select("section", record.alias("r")).select("section", "r.*")
+    whole = [f.name for f in fields.values() if isinstance(f.dataType, T.LongType)]
+    return naive(read_back.withColumns({name: F.col(name).cast("double") for name in whole}))
+
+
 # --- streams ----------------------------------------------------------------------------
 
 
@@ -267,6 +291,13 @@ def _stream_windows(spark: SparkSession, folder: str) -> DataFrame:
     return naive(replay(stream.drop("closed_at"), "stream-windows"))
 
 
+def _stream_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    messages = inputs.messages_of_events(inputs.event_stream(prepare(spark), folder))
+    _, bad = ticks.split_ticks(ticks.decode_ticks(messages))
+    stored = replay(bad, "stream-quarantine")
+    return stored.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("messages"))
+
+
 def _stream_alerts(spark: SparkSession, folder: str) -> DataFrame:
     stream = stream_windows(inputs.event_tick_stream(prepare(spark), folder))
     return naive(replay(stream_drawdown(stream), "stream-alerts"))
@@ -347,8 +378,9 @@ def registry() -> dict[str, Query]:
         "build_prompts": _build_prompts,
         "tag_risk_tokens": _tag_risk_tokens,
         "tag_document_tokens": _tag_document_tokens,
-        "serve_portfolio": _on_marts(lambda m: serve_portfolio(m.summary, m.alerts)),
+        "serve_portfolio": _serve_portfolio,
         # streams
         "stream_windows": _stream_windows,
         "stream_alerts": _stream_alerts,
+        "stream_quarantine": _stream_quarantine,
     }

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.sources.ticks import encode_events, keyed_json
-
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -27,13 +25,17 @@ def event_ticks(spark: SparkSession, folder: str) -> DataFrame:
     return ticks_of_events(table(spark, folder, "events"))
 
 
-def event_tick_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The same ticks as a file stream."""
+def event_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The ``events`` table as a file stream."""
     schema = table(spark, folder, "events").schema
-    events = (
+    return (
         spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
     )
-    return ticks_of_events(events)
+
+
+def event_tick_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The same ticks as a file stream."""
+    return ticks_of_events(event_stream(spark, folder))
 
 
 def lineitem_ticks(spark: SparkSession, folder: str) -> DataFrame:
@@ -69,12 +71,15 @@ def lineitem_trades(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def event_messages(spark: SparkSession, folder: str) -> DataFrame:
+    return messages_of_events(table(spark, folder, "events"))
+
+
+def messages_of_events(events: DataFrame) -> DataFrame:
     """Every event as a tick message; the last digit of its id decides how it is damaged.
 
     0 price as text (still a tick), 1 no size, 2 text price, 3 no JSON at all, 4 null price,
     5 not-a-number price, 6 no timestamp; the rest are sound.
     """
-    e = table(spark, folder, "events")
     kind = F.col("event_id") % 10
     price = F.col("value").cast("string")
     text = F.format_string(
@@ -96,23 +101,4 @@ def event_messages(spark: SparkSession, folder: str) -> DataFrame:
             )
         ),
     )
-    return e.select("event_id", F.when(kind == 3, "not json").otherwise(text).alias("value"))
-
-
-def trade_messages(enriched: DataFrame) -> DataFrame:
-    """Enriched trades as portfolio-event messages."""
-    return encode_events(enriched)
-
-
-__all__ = [
-    "event_messages",
-    "event_tick_stream",
-    "event_ticks",
-    "keyed_json",
-    "lineitem_ticks",
-    "lineitem_trades",
-    "part_positions",
-    "table",
-    "ticks_of_events",
-    "trade_messages",
-]
+    return events.select("event_id", F.when(kind == 3, "not json").otherwise(text).alias("value"))
