@@ -2,9 +2,12 @@ import json
 
 import pytest
 
+from pyspark.errors import AnalysisException
+
 from tickloom import jobs
 from tickloom.operators.positions import portfolio_value
 from tickloom.session import scratch_path
+from tickloom.sources import kafka
 from tickloom.sources.lake import write_lake
 from tickloom.sources.positions import demo_positions, load_positions
 
@@ -62,3 +65,10 @@ def test_positions(spark):
     row = portfolio_value(ticks, load_positions(spark, path)).first()
     cost = sum(s * c for s, c in [(500, 172.5), (300, 415), (150, 820), (200, 170), (180, 490), (100, 195), (250, 440)])
     assert (row.positions, row.market_value) == (8, cost + 400 * 500.0)
+
+
+def test_topics_pass_their_options_on(spark):
+    messages = spark.readStream.format("rate").load().selectExpr("'k' as key", "'v' as value")
+    kafka.topic_writer(messages, "host:9092", scratch_path(spark, "checkpoint"))  # not started
+    with pytest.raises(AnalysisException, match="kafka"):  # the package is not installed here
+        kafka.topic_stream(spark, "host:9092")

@@ -1,3 +1,6 @@
+import random
+import statistics
+from collections import defaultdict
 from datetime import datetime, timedelta
 
 import pytest
@@ -71,3 +74,31 @@ def test_hot_symbol_is_reduced_before_the_shuffle(spark):
     plan = vwap_windows(many)._jdf.queryExecution().executedPlan().toString()
     assert plan.index("partial_sum") > plan.index("Exchange")  # printed top down: below it
     assert vwap_windows(many).first().trade_count == 20000
+
+
+def test_random_ticks_against_plain_python(spark):
+    rng = random.Random(11)
+    rows = [
+        (
+            rng.choice("ABC"),
+            round(rng.uniform(1, 500), 2),
+            float(rng.choice([0, 0, 1, 7, 250])),
+            START + timedelta(seconds=rng.randrange(6 * 3600)),
+        )
+        for _ in range(4000)
+    ]
+    df = spark.createDataFrame(rows, "symbol string, price double, size double, ts timestamp")
+    groups = defaultdict(list)
+    for symbol, price, size, ts in rows:
+        start = ts - timedelta(minutes=ts.minute % 5, seconds=ts.second)
+        groups[symbol, start].append((price, size))
+    got = vwap_windows(df.repartition(6)).collect()
+    assert len(got) == len(groups)
+    for row in got:
+        prices, sizes = zip(*groups[row.symbol, row.window_start])
+        traded = sum(sizes)
+        vwap = sum(p * s for p, s in zip(prices, sizes)) / traded if traded else 0.0
+        assert row.vwap == pytest.approx(vwap, abs=5.1e-5)
+        assert row.volatility == pytest.approx(statistics.pstdev(prices), abs=5.1e-7)
+        assert (row.min_price, row.max_price) == (min(prices), max(prices))
+        assert (row.trade_count, row.total_volume) == (len(prices), traded)

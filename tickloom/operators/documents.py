@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from string import Formatter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,46 +12,38 @@ from tickloom.functions.text import fixed, shortest, thousands, wall_clock
 from tickloom.operators.ordered import latest_per_key
 from tickloom.schemas import DOCUMENT
 
-# Document templates as (text, field) in order; a field of None is plain text.
-SUMMARY_TEMPLATE = (
-    ("Symbol: ", "symbol"),
-    ("\nVolatility Regime: ", "volatility_regime"),
-    ("\nAverage VWAP: $", "avg_vwap"),
-    ("\nSession Low: $", "session_low"),
-    (" | Session High: $", "session_high"),
-    ("\nSession Range: $", "session_range"),
-    ("\nAverage Volatility: ", "avg_volatility"),
-    ("\nPeak Volatility: ", "peak_volatility"),
-    ("\nMax Drawdown: ", "max_drawdown_pct"),
-    ("%\nTotal Trades: ", "total_trades"),
-    ("\nTotal Volume: $", "total_volume"),
-    ("\nSession Start: ", "session_start"),
-    ("\nLast Updated: ", "last_updated"),
-)
-ALERT_TEMPLATE = (
-    ("ALERT — Symbol: ", "symbol"),
-    ("\nAlert Type: ", "alert_type"),
-    ("\nCurrent VWAP: $", "current_vwap"),
-    ("\nSession High: $", "session_high"),
-    ("\nDrawdown: ", "drawdown_pct"),
-    ("%\nVolatility: ", "volatility"),
-    ("\nVolatility Rank: #", "volatility_rank"),
-    (" across portfolio\nAlert Time: ", "alert_time"),
-)
-LATEST_TEMPLATE = (
-    ("Latest 5-min Window — Symbol: ", "symbol"),
-    ("\nVWAP: $", "vwap"),
-    ("\nVolatility: ", "volatility"),
-    ("\nDrawdown from session high: ", "drawdown_pct"),
-    ("%\nSession High: $", "session_high"),
-    ("\nWindow: ", "window_start"),
-    (" → ", "window_end"),
-)
+# Document texts; a field in braces is replaced by its formatted value.
+SUMMARY_TEXT = """\
+Symbol: {symbol}
+Volatility Regime: {volatility_regime}
+Average VWAP: ${avg_vwap}
+Session Low: ${session_low} | Session High: ${session_high}
+Session Range: ${session_range}
+Average Volatility: {avg_volatility}
+Peak Volatility: {peak_volatility}
+Max Drawdown: {max_drawdown_pct}%
+Total Trades: {total_trades}
+Total Volume: ${total_volume}
+Session Start: {session_start}
+Last Updated: {last_updated}"""
+ALERT_TEXT = """\
+ALERT — Symbol: {symbol}
+Alert Type: {alert_type}
+Current VWAP: ${current_vwap}
+Session High: ${session_high}
+Drawdown: {drawdown_pct}%
+Volatility: {volatility}
+Volatility Rank: #{volatility_rank} across portfolio
+Alert Time: {alert_time}"""
+LATEST_TEXT = """\
+Latest 5-min Window — Symbol: {symbol}
+VWAP: ${vwap}
+Volatility: {volatility}
+Drawdown from session high: {drawdown_pct}%
+Session High: ${session_high}
+Window: {window_start} → {window_end}"""
 # Token pattern and the colour class of each risk word.
-TOKEN_PATTERN = (
-    r"(\$[\d,.]+|\d+\.\d+%?|#\d+"
-    r"|\bHIGH\b|\bMEDIUM\b|\bLOW\b|\bHIGHEST_VOL\b|\bWATCH\b|\bDRAWDOWN\b)"
-)
+TOKEN_PATTERN = r"(\$[\d,.]+|\d+\.\d+%?|#\d+|\bHIGH\b|\bMEDIUM\b|\bLOW\b|\bHIGHEST_VOL\b|\bWATCH\b|\bDRAWDOWN\b)"
 # What a token can begin with; checked first, it spares most positions of a text the choice.
 TOKEN_START = r"(?=[$#\dHMLWD])"
 TOKEN_WORDS = {
@@ -60,10 +53,13 @@ TOKEN_WORDS = {
 }
 
 
-def _filled(template: tuple[tuple[str, str], ...], fields: dict[str, Column]) -> Column:
+def _filled(text: str, fields: dict[str, Column]) -> Column:
+    """``text`` with its fields replaced; an unknown number reads ``nan``."""
     parts: list[Column] = []
-    for text, name in template:
-        parts += [F.lit(text), F.coalesce(fields[name].cast("string"), F.lit("nan"))]
+    for literal, name, _, _ in Formatter().parse(text):
+        parts.append(F.lit(literal))
+        if name:
+            parts.append(F.coalesce(fields[name].cast("string"), F.lit("nan")))
     return F.concat(*parts)
 
 
@@ -85,7 +81,7 @@ def summary_documents(summary: DataFrame) -> DataFrame:
     c["total_volume"] = thousands(c["total_volume"])
     for name in ("session_start", "last_updated"):
         c[name] = wall_clock(c[name])
-    return _documents(summary, "portfolio_summary", "summary_", _filled(SUMMARY_TEMPLATE, c))
+    return _documents(summary, "portfolio_summary", "summary_", _filled(SUMMARY_TEXT, c))
 
 
 def alert_documents(alerts: DataFrame) -> DataFrame:
@@ -95,7 +91,7 @@ def alert_documents(alerts: DataFrame) -> DataFrame:
     c["drawdown_pct"] = shortest(c["drawdown_pct"])
     c["volatility"] = fixed(c["volatility"], 6)
     c["alert_time"] = wall_clock(c["alert_time"])
-    return _documents(alerts, "volatility_alert", "alert_", _filled(ALERT_TEMPLATE, c))
+    return _documents(alerts, "volatility_alert", "alert_", _filled(ALERT_TEXT, c))
 
 
 def latest_documents(facts: DataFrame) -> DataFrame:
@@ -119,7 +115,7 @@ def latest_documents(facts: DataFrame) -> DataFrame:
     c["session_high"] = fixed(c["session_high"], 2)
     c["window_start"] = wall_clock(c["window_start"])
     c["window_end"] = wall_clock(c["window_end"])
-    return _documents(latest, "latest_window", "latest_", _filled(LATEST_TEMPLATE, c))
+    return _documents(latest, "latest_window", "latest_", _filled(LATEST_TEXT, c))
 
 
 def render_docs(summary: DataFrame, alerts: DataFrame, facts: DataFrame) -> DataFrame:
