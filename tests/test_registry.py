@@ -1,5 +1,7 @@
 """Every registered query against its SQL on the smallest tables."""
 
+import subprocess
+import sys
 from pathlib import Path
 
 import duckdb
@@ -52,3 +54,19 @@ def test_query_without_sql_has_rows(spark, name):
 def test_entry(spark):
     df = contract.entry(spark)
     assert df.count() == 5 and "alert_type" in df.columns
+
+
+def test_python_workers_need_no_installed_package():
+    """The package is found by the driver only, as where it is not shipped to executors."""
+    program = f"""
+import sys
+sys.path.insert(0, {str(Path(contract.__file__).parent)!r})
+from pyspark.sql import SparkSession
+import __spark_entry__ as contract
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+print("hits", contract.queries()["topk_cosine"](spark, {SMALL!r}).count())
+"""
+    done = subprocess.run(
+        [sys.executable, "-c", program], cwd="/", capture_output=True, text=True, timeout=300
+    )
+    assert "hits 50" in done.stdout, done.stderr[-2000:]

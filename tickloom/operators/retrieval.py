@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -13,6 +14,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Vector width, hits per question, prompt texts.
 DIMENSIONS = 384
@@ -74,75 +76,79 @@ def centroids(vectors: DataFrame, label: str, vector: str = "embedding") -> Data
     )
 
 
-def _unit_rows(vectors: pd.Series) -> np.ndarray:
-    matrix = np.asarray(vectors.to_list(), dtype="float64")
+def _unit_rows(vectors: pa.ListArray) -> np.ndarray:
+    """Vectors of one length as the unit rows of a matrix; a zero vector stays zero."""
+    flat = vectors.flatten().to_numpy(zero_copy_only=False)
+    matrix = flat.astype("float64").reshape(len(vectors), -1)
     norms = np.linalg.norm(matrix, axis=1, keepdims=True)
     return np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
 
 
 def _best_of_batch(
-    query_ids: list, queries: np.ndarray, doc_ids: np.ndarray, docs: np.ndarray, k: int
-) -> Iterator[pd.DataFrame]:
+    query_ids: pa.Array, queries: np.ndarray, batch: pa.RecordBatch, k: int, out: pa.Schema
+) -> Iterator[pa.RecordBatch]:
     """The ``k`` best documents of one batch for each query, ties to the smaller id."""
-    order = np.argsort(doc_ids, kind="stable")
-    doc_ids, docs = doc_ids[order], docs[order]
+    batch = batch.take(pc.sort_indices(batch.column("doc_id")))
+    docs, doc_ids = _unit_rows(batch.column("embedding")), batch.column("doc_id")
     for start in range(0, len(queries), QUERY_SLICE):
-        part = queries[start : start + QUERY_SLICE]
         # Rounding first makes ties, and so the ranking, independent of the batch layout.
-        scores = np.round(part @ docs.T, 9)
+        scores = np.round(queries[start : start + QUERY_SLICE] @ docs.T, 9)
         best = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-        ids = query_ids[start : start + QUERY_SLICE]
-        yield pd.DataFrame(
-            {
-                "query_id": [i for i in ids for _ in range(best.shape[1])],
-                "doc_id": doc_ids[best.ravel()],
-                "score": np.take_along_axis(scores, best, axis=1).ravel(),
-            }
+        asked = start + np.repeat(np.arange(len(best)), best.shape[1])
+        found = np.take_along_axis(scores, best, axis=1).ravel()
+        yield pa.RecordBatch.from_arrays(
+            [query_ids.take(pa.array(asked)), doc_ids.take(pa.array(best.ravel())), pa.array(found)],
+            schema=out,
         )
 
 
+def _one_batch(table: pa.Table) -> pa.RecordBatch:
+    return table.combine_chunks().to_batches()[0]
+
+
 def topk_cosine(
     queries: DataFrame, docs: DataFrame, k: int = HITS, max_shipped: int = MAX_SHIPPED_QUERIES
 ) -> DataFrame:
     """The ``k`` nearest documents by cosine for each query, exactly.
 
-    ``queries`` has (query_id, embedding), ``docs`` has (doc_id, embedding). Every batch of
-    documents keeps only its own ``k`` best per query; a small window picks the final ones.
-    A bounded set of queries is sent to all tasks. A larger one is cut into blocks, and each
-    block of queries meets each block of documents in one task.
+    ``queries`` has (query_id, embedding), ``docs`` has (doc_id, embedding) with unique ids;
+    rows without a vector cannot be found. Every batch of documents keeps only its own ``k``
+    best per query; a small window picks the final ones. A bounded set of queries is sent to
+    all tasks. A larger one is cut into blocks, and each block of queries meets each block of
+    documents in one task.
     """
-    out = T.StructType(
+    has_vector = F.size(F.coalesce("embedding", F.array())) > 0
+    docs = docs.select("doc_id", "embedding").filter(has_vector)
+    queries = queries.select("query_id", "embedding").filter(has_vector)
+    hit = T.StructType(
         [
             T.StructField("query_id", queries.schema["query_id"].dataType),
             T.StructField("doc_id", docs.schema["doc_id"].dataType),
             T.StructField("score", T.DoubleType()),
         ]
     )
-    docs = docs.select("doc_id", "embedding")
-    queries = queries.select("query_id", "embedding")
-    shipped = queries.limit(max_shipped + 1).toPandas()
-    if len(shipped) > max_shipped:
-        candidates = _blockwise_candidates(queries, docs, k, max_shipped, out)
-    elif len(shipped) == 0:
-        candidates = docs.sparkSession.createDataFrame([], out)
+    out = to_arrow_schema(hit)
+    shipped = queries.limit(max_shipped + 1).toArrow()
+    if shipped.num_rows > max_shipped:
+        candidates = _blockwise_candidates(queries, docs, k, max_shipped, hit)
+    elif shipped.num_rows == 0:
+        candidates = docs.sparkSession.createDataFrame([], hit)
     else:
-        query_ids = shipped["query_id"].tolist()
-        query_rows = _unit_rows(shipped["embedding"])
+        asked = _one_batch(shipped)
+        query_ids, query_rows = asked.column("query_id"), _unit_rows(asked.column("embedding"))
 
-        def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                if len(batch):
-                    rows = _unit_rows(batch["embedding"])
-                    ids = batch["doc_id"].to_numpy()
-                    yield from _best_of_batch(query_ids, query_rows, ids, rows, k)
+                if batch.num_rows:
+                    yield from _best_of_batch(query_ids, query_rows, batch, k, out)
 
-        candidates = docs.mapInPandas(score, out)
+        candidates = docs.mapInArrow(score, hit)
     ranking = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
     return candidates.withColumn("rank", F.row_number().over(ranking)).filter(F.col("rank") <= k)
 
 
 def _blockwise_candidates(
-    queries: DataFrame, docs: DataFrame, k: int, block: int, out: T.StructType
+    queries: DataFrame, docs: DataFrame, k: int, block: int, hit: T.StructType
 ) -> DataFrame:
     """Per-block candidates for a query set too large to send to every task.
 
@@ -153,6 +159,7 @@ def _blockwise_candidates(
     n_queries, n_docs = queries.count(), docs.count()
     query_blocks = -(-n_queries // block)
     doc_blocks = max(1, -(-n_docs // (4 * block)))
+    out = to_arrow_schema(hit)
     q = queries.withColumn(
         "_q", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks))
     ).withColumn("_d", F.explode(F.sequence(F.lit(0), F.lit(doc_blocks - 1))))
@@ -160,19 +167,16 @@ def _blockwise_candidates(
         "_q", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))
     )
 
-    def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({name: [] for name in out.fieldNames()})
-        found = _best_of_batch(
-            left["query_id"].tolist(),
-            _unit_rows(left["embedding"]),
-            right["doc_id"].to_numpy(),
-            _unit_rows(right["embedding"]),
-            k,
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return out.empty_table()
+        asked, batch = _one_batch(left), _one_batch(right)
+        rows = _unit_rows(asked.column("embedding"))
+        return pa.Table.from_batches(
+            list(_best_of_batch(asked.column("query_id"), rows, batch, k, out))
         )
-        return pd.concat(found, ignore_index=True)
 
-    return q.groupBy("_q", "_d").cogroup(d.groupBy("_q", "_d")).applyInPandas(score, out)
+    return q.groupBy("_q", "_d").cogroup(d.groupBy("_q", "_d")).applyInArrow(score, hit)
 
 
 def build_prompts(

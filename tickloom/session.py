@@ -49,10 +49,10 @@ def shared_root(spark: SparkSession) -> str:
     temporary folder. A cluster session without the setting is an error, because a
     machine-local folder would be lost with its executor.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     app = context.applicationId
