@@ -93,11 +93,21 @@ def _best_of_batch(
     for start in range(0, len(queries), QUERY_SLICE):
         # Rounding first makes ties, and so the ranking, independent of the batch layout.
         scores = np.round(queries[start : start + QUERY_SLICE] @ docs.T, 9)
-        best = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-        asked = start + np.repeat(np.arange(len(best)), best.shape[1])
-        found = np.take_along_axis(scores, best, axis=1).ravel()
+        kept = min(k, scores.shape[1])
+        least = np.partition(scores, -kept, axis=1)[:, -kept]
+        asked, found, values = [], [], []
+        for row, (line, floor) in enumerate(zip(scores, least)):
+            near = np.flatnonzero(line >= floor)
+            near = near[np.argsort(-line[near], kind="stable")][:kept]
+            asked.append(np.full(kept, start + row))
+            found.append(near)
+            values.append(line[near])
         yield pa.RecordBatch.from_arrays(
-            [query_ids.take(pa.array(asked)), doc_ids.take(pa.array(best.ravel())), pa.array(found)],
+            [
+                query_ids.take(pa.array(np.concatenate(asked))),
+                doc_ids.take(pa.array(np.concatenate(found))),
+                pa.array(np.concatenate(values)),
+            ],
             schema=out,
         )
 
