@@ -1,7 +1,8 @@
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
-from conftest import as_dicts
+from conftest import LAKE_ROWS, as_dicts
 from pyspark.sql import functions as F
 
 from tickloom.operators import session_queries as asked
@@ -220,3 +221,20 @@ def test_lake_prunes_days_and_keeps_the_partition_date(spark, five_rows):
     one_day = lake_scan(spark, path, first_day="2026-05-11", last_day="2026-05-11")
     assert one_day.count() == 5
     assert "PartitionFilters: [isnotnull(date" in one_day._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lake_written_elsewhere(spark, tmp_path):
+    """Text bounds, and ``date`` both in the files and in the folder name."""
+    day = tmp_path / "risk" / "date=2026-05-10"
+    day.mkdir(parents=True)
+    names = [c for c in WINDOW_TEXT.fieldNames() if not c.startswith("window")]
+    rows = pd.DataFrame(LAKE_ROWS, columns=names)
+    rows.insert(1, "window_start", "2026-05-10T05:10:00+00:00")
+    rows.insert(2, "window_end", "2026-05-10T05:15:00+00:00")
+    rows.assign(date="2026-05-10").to_parquet(day / "data.parquet")
+    lake = lake_scan(spark, str(tmp_path / "risk"), schema=WINDOW_TEXT)
+    assert lake.count() == 5
+    staged = stg_windows(lake)
+    assert staged.schema.fieldNames() == WINDOW.fieldNames()
+    assert {(r.symbol, r.window_start) for r in staged.collect()} == {(s, T0) for s in ("AAPL", "NVDA", "TSLA")}
+    assert asked.session_summary(lake).count() == 3

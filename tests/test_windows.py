@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickloom.operators.windows import vwap_windows, window_open_close
+from tickloom.sources.inputs import event_ticks
 
 START = datetime(2026, 5, 10, 5, 10)
 
@@ -102,3 +103,9 @@ def test_random_ticks_against_plain_python(spark):
         assert row.volatility == pytest.approx(statistics.pstdev(prices), abs=5.1e-7)
         assert (row.min_price, row.max_price) == (min(prices), max(prices))
         assert (row.trade_count, row.total_volume) == (len(prices), traded)
+
+
+def test_only_the_needed_columns_are_read(spark, folder):
+    plan = vwap_windows(event_ticks(spark, folder))._jdf.queryExecution().executedPlan().toString()
+    read = plan[plan.index("ReadSchema") :]
+    assert all(c in read for c in ("ts", "event_type", "value", "props")) and "user_id" not in read

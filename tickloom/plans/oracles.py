@@ -140,7 +140,8 @@ _CTES = {
                                 ELSE ',"timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')
                                      || '"' END
                    || '}' END AS body
-        FROM (SELECT *, event_id % 10 AS kind FROM events)""",
+        FROM (SELECT *, CAST(floor(CAST(json_extract_string(props, '$.k') AS DOUBLE) / 10)
+                             AS INTEGER) AS kind FROM events)""",
     "decoded": """
         SELECT event_id, symbol,
                CASE WHEN isfinite(price) THEN price END AS price, size, ts, exchange,

@@ -75,12 +75,12 @@ def event_messages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def messages_of_events(events: DataFrame) -> DataFrame:
-    """Every event as a tick message; the last digit of its id decides how it is damaged.
+    """Every event as a tick message; the tens of its size decide how it is damaged.
 
     0 price as text (still a tick), 1 no size, 2 text price, 3 no JSON at all, 4 null price,
-    5 not-a-number price, 6 no timestamp; the rest are sound.
+    5 not-a-number price, 6 no timestamp; larger sizes are sound.
     """
-    kind = F.col("event_id") % 10
+    kind = F.floor(F.get_json_object("props", "$.k").cast("double") / 10)
     price = F.col("value").cast("string")
     text = F.format_string(
         '{"symbol":"%s","price":%s%s%s,"source":"events"}',

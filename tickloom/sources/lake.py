@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,7 +23,8 @@ def lake_scan(
     The partition value is authoritative for ``date``, also where files repeat the column.
     """
     with_date = T.StructType([*schema.fields, T.StructField("date", T.DateType())])
-    lake = spark.read.schema(with_date).parquet(*paths)
+    roots = [spark.read.schema(with_date).parquet(path) for path in paths]
+    lake = reduce(DataFrame.unionByName, roots)
     if first_day:
         lake = lake.filter(F.col("date") >= F.lit(first_day).cast("date"))
     if last_day:
