@@ -29,7 +29,7 @@ from tickloom.streaming.windows import stream_windows
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS, WARM_RUNS, WARMUP = 3, 15, 3
+RUNS, WARM_RUNS, WARMUP = 3, 30, 10
 
 
 def median_seconds(action: Callable[[], object], runs: int, warmup: int) -> float:
@@ -101,15 +101,15 @@ def main() -> None:
     for name, query in {
         "mart_portfolio_summary": lambda: marts.summary.select("*"),
         "mart_volatility_alerts": lambda: marts.alerts.select("*"),
-        "mart_latest_window": lambda: asked.latest_window(marts.facts),
+        "mart_latest_window_per_symbol": lambda: asked.latest_facts(marts.facts),
         "mart_kpi_totals": lambda: dashboard.kpi_totals(marts.summary, marts.alerts),
         "lake_full_scan_count": lambda: asked.full_scan_count(lake),
         "lake_session_summary": lambda: asked.scan_summary(lake),
-        "lake_latest_window": lambda: asked.latest_window(lake),
+        "lake_latest_per_symbol": lambda: asked.latest_scan(lake),
         "lake_drawdown": lambda: asked.drawdown_vs_session(lake),
         "mirror_full_scan_count": lambda: asked.full_scan_count(current),
         "mirror_session_summary": lambda: asked.scan_summary(current),
-        "mirror_latest_window": lambda: asked.latest_window(current),
+        "mirror_latest_per_symbol": lambda: asked.latest_scan(current),
     }.items():
         timed(name, lambda query=query: query().collect(), WARM_RUNS, WARMUP)
     timed("vwap_facts", lambda: to_nowhere(models.vwap_facts(marts.staged)), RUNS, 1)

@@ -5,6 +5,7 @@ import pytest
 
 from tickloom.operators.models import stream_highs
 from tickloom.operators.positions import portfolio_value, position_pnl
+from tickloom.schemas import TICK as TICK_SCHEMA
 from tickloom.sources.ticks import (
     alert_messages,
     decode_events,
@@ -103,7 +104,9 @@ def test_normalize(spark):
     trades = spark.createDataFrame(
         [("A", "1.5", 2, "2026-05-10T07:10:00+02:00")], "symbol string, price string, size int, timestamp string"
     )
-    row = normalize_ticks(trades, "feed").first()
+    normal = normalize_ticks(trades, "feed")
+    assert [(f.name, f.dataType) for f in normal.schema] == [(f.name, f.dataType) for f in TICK_SCHEMA]
+    row = normal.first()
     assert row.ts == datetime(2026, 5, 10, 5, 10)
     assert (row.price, row.size, row.source, row.exchange, row.conditions) == (1.5, 2.0, "feed", "unknown", [])
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.text import fixed, shortest, thousands, wall_clock
-from tickloom.operators.ordered import latest_per_key
+from tickloom.operators.session_queries import latest_facts
 from tickloom.schemas import DOCUMENT
 
 # Document texts; a field in braces is replaced by its formatted value.
@@ -95,19 +95,7 @@ def alert_documents(alerts: DataFrame) -> DataFrame:
 
 
 def latest_documents(facts: DataFrame) -> DataFrame:
-    latest = latest_per_key(
-        facts.select(
-            "symbol",
-            "window_start",
-            "window_end",
-            "vwap",
-            "volatility",
-            "drawdown_pct",
-            "session_high",
-        ),
-        ["symbol"],
-        ["window_end", "window_start"],
-    )
+    latest = latest_facts(facts)
     c = {name: F.col(name) for name in latest.columns}
     c["vwap"] = fixed(c["vwap"], 4)
     c["volatility"] = fixed(c["volatility"], 6)

@@ -52,6 +52,26 @@ def latest_window(windows: DataFrame) -> DataFrame:
     )
 
 
+def latest_facts(facts: DataFrame) -> DataFrame:
+    """The most recent fact of each symbol, as the serving layer reads it."""
+    served = facts.select(
+        "symbol",
+        "window_start",
+        "window_end",
+        "vwap",
+        "volatility",
+        "drawdown_pct",
+        "session_high",
+    )
+    return latest_per_key(served, ["symbol"], ["window_end", "window_start"])
+
+
+def latest_scan(windows: DataFrame) -> DataFrame:
+    """The three-column form of the latest window used to compare lake formats."""
+    narrow = windows.select("symbol", "window_end", "vwap", "volatility")
+    return latest_per_key(narrow, ["symbol"], ["window_end"]).drop("window_end")
+
+
 def drawdown_vs_session(windows: DataFrame, threshold: float | None = DRAWDOWN_RATIO) -> DataFrame:
     """Latest VWAP of each symbol against the high of the whole session.
 

@@ -439,6 +439,17 @@ def oracles() -> dict[str, str]:
                 FROM windows QUALIFY window_end = max(window_end) OVER (PARTITION BY symbol)""",
             "windows",
         ),
+        "latest_facts": _with(
+            """SELECT symbol, window_start, window_end, vwap, volatility, drawdown_pct, session_high
+               FROM latest""",
+            "latest",
+        ),
+        "latest_scan": _with(
+            """SELECT symbol, arg_max(vwap, window_end) AS vwap,
+                      arg_max(volatility, window_end) AS volatility
+               FROM windows GROUP BY symbol""",
+            "windows",
+        ),
         "drawdown_vs_session": _with(
             f"""SELECT symbol, {_r("vwap", 2)} AS current_vwap, {_r("high", 2)} AS session_high,
                        {_r("(high - vwap) / high * 100", 2)} AS drawdown_pct, window_end

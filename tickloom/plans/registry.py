@@ -333,6 +333,8 @@ def registry() -> dict[str, Query]:
         ),
         "scan_summary": _on_lake(asked.scan_summary),
         "latest_window": _on_lake(lambda w: asked.latest_window(w).orderBy(F.desc("volatility"))),
+        "latest_facts": _on_marts(lambda m: asked.latest_facts(m.facts)),
+        "latest_scan": _on_lake(asked.latest_scan),
         "drawdown_vs_session": _on_lake(
             lambda w: asked.drawdown_vs_session(w).orderBy(F.desc("drawdown_pct"))
         ),

@@ -56,7 +56,9 @@ def write_lake(windows: DataFrame, path: str, mode: str = "append") -> None:
     """Append windows to the lake.
 
     Rows are rebalanced by date first, so a date costs a few well-sized files and a date
-    that holds most of the rows is split over several tasks.
+    that holds most of the rows is split over several tasks. A lake that a stream writes only
+    shows what the stream committed, so batches belong in a root of their own; ``lake_scan``
+    reads both.
     """
     (
         with_date(windows)
