@@ -138,6 +138,11 @@ def test_position_pnl(trades, positions):
     assert (nvda.notional, nvda.unrealized_pnl, nvda.pnl_pct) == (2385.0, -3750.0, -3.05)
 
 
+def test_trade_without_a_position_is_kept(trades, positions):
+    rows = position_pnl(trades, positions.filter("symbol = 'NVDA'")).filter("symbol = 'AAPL'").collect()
+    assert [(r.notional, r.avg_cost, r.unrealized_pnl, r.pnl_pct) for r in rows] == [(1800.04, None, None, None)]
+
+
 def test_event_round_trip(trades, positions):
     enriched = position_pnl(trades, positions)
     messages = encode_events(enriched)

@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 def position_pnl(trades: DataFrame, positions: DataFrame) -> DataFrame:
     """Trades with notional, unrealised profit and profit percent of the position they touch.
 
-    Amounts use the unrounded trade price. The join carries no hint: Spark broadcasts the
-    positions when their size allows it, and otherwise sort-merges with skewed symbols split.
+    Amounts use the unrounded trade price. A trade without a position keeps its notional and
+    has no profit. The join carries no hint: Spark broadcasts the positions when their size
+    allows it, and otherwise sort-merges with skewed symbols split.
     """
     price, cost = F.col("price"), F.col("avg_cost")
     held = positions.select("symbol", "avg_cost", "total_shares")
-    return trades.join(held, "symbol", "inner").select(
+    return trades.join(held, "symbol", "left").select(
         *[c for c in trades.columns if c != "price"],
         F.round(price, 2).alias("price"),
         F.round(F.col("shares") * price, 2).alias("notional"),

@@ -45,6 +45,22 @@ def _facts_of(windows: str) -> str:
         )"""
 
 
+def _latest_of(facts: str) -> str:
+    return f"""
+        SELECT * FROM {facts} f
+        WHERE window_start = (SELECT max(g.window_start) FROM {facts} g WHERE g.symbol = f.symbol)"""
+
+
+def _alerts_of(latest: str, threshold: float) -> str:
+    return f"""
+        SELECT symbol, window_end AS alert_time, vwap AS current_vwap, session_high,
+               {_r("drawdown_pct", 2)} AS drawdown_pct, {_r("volatility", 6)} AS volatility,
+               volatility_rank,
+               CASE WHEN drawdown_pct > {threshold} THEN 'DRAWDOWN'
+                    WHEN volatility_rank = 1 THEN 'HIGHEST_VOL' ELSE 'WATCH' END AS alert_type
+        FROM {latest} WHERE drawdown_pct > {threshold} OR volatility_rank <= 3"""
+
+
 _CTES = {
     "ticks": """
         SELECT event_id, event_type AS symbol, value AS price,
@@ -83,16 +99,10 @@ _CTES = {
                    min(window_start) AS session_start, max(window_end) AS last_updated
             FROM facts GROUP BY symbol
         )""",
-    "latest": """
-        SELECT * FROM facts f
-        WHERE window_start = (SELECT max(g.window_start) FROM facts g WHERE g.symbol = f.symbol)""",
-    "alerts": f"""
-        SELECT symbol, window_end AS alert_time, vwap AS current_vwap, session_high,
-               {_r("drawdown_pct", 2)} AS drawdown_pct, {_r("volatility", 6)} AS volatility,
-               volatility_rank,
-               CASE WHEN drawdown_pct > 3 THEN 'DRAWDOWN'
-                    WHEN volatility_rank = 1 THEN 'HIGHEST_VOL' ELSE 'WATCH' END AS alert_type
-        FROM latest WHERE drawdown_pct > 3 OR volatility_rank <= 3""",
+    "latest": _latest_of("facts"),
+    "daily_latest": _latest_of("daily_facts"),
+    "alerts": _alerts_of("latest", 3),
+    "daily_alerts": _alerts_of("daily_latest", 90),
     "tracked": f"""
         SELECT * EXCLUDE (high),
                CASE WHEN (high - vwap) / high > 0.03 THEN 'DRAWDOWN' END AS alert_type,
@@ -127,7 +137,7 @@ _CTES = {
                p_retailprice AS avg_cost, CAST(p_size AS BIGINT) AS total_shares,
                {_r("(unit - p_retailprice) * p_size", 2)} AS unrealized_pnl,
                {_r("(unit / nullif(p_retailprice, 0) - 1) * 100", 2)} AS pnl_pct
-        FROM trades JOIN part ON p_partkey = symbol""",
+        FROM trades LEFT JOIN part ON p_partkey = symbol""",
     "messages": """
         SELECT event_id,
                CASE WHEN kind = 3 THEN 'not json' ELSE
@@ -212,6 +222,8 @@ _NEEDS = {
     "hourly": ("ticks",),
     "daily": ("lines",),
     "daily_facts": ("daily",),
+    "daily_latest": ("daily_facts",),
+    "daily_alerts": ("daily_latest",),
     "fragments": ("windows",),
     "facts": ("windows",),
     "summary": ("facts",),
@@ -427,6 +439,7 @@ def oracles() -> dict[str, str]:
             f"SELECT {w}, session_high, drawdown_pct, volatility_rank FROM daily_facts",
             "daily_facts",
         ),
+        "supplier_alerts": _with("SELECT * FROM daily_alerts", "daily_alerts"),
         "portfolio_summary": _with("SELECT * FROM summary", "summary"),
         "volatility_alerts": _with("SELECT * FROM alerts", "alerts"),
         "volatility_regime": _with("SELECT symbol, volatility_regime FROM summary", "summary"),

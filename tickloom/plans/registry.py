@@ -99,9 +99,17 @@ def _supplier_windows(spark: SparkSession, folder: str) -> DataFrame:
     return naive(vwap_windows(ticks_in, "1 day"))
 
 
-def _supplier_facts(spark: SparkSession, folder: str) -> DataFrame:
+def _enriched_suppliers(spark: SparkSession, folder: str) -> DataFrame:
     windows = vwap_windows(inputs.lineitem_ticks(prepare(spark), folder), "1 day")
-    return naive(models.vwap_facts(store(windows, "supplier-windows")))
+    return models.vwap_facts(store(windows, "supplier-windows"))
+
+
+def _supplier_facts(spark: SparkSession, folder: str) -> DataFrame:
+    return naive(_enriched_suppliers(spark, folder))
+
+
+def _supplier_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    return naive(models.volatility_alerts(_enriched_suppliers(spark, folder), threshold=90.0))
 
 
 # --- messages ---------------------------------------------------------------------------
@@ -320,6 +328,7 @@ def registry() -> dict[str, Query]:
         "vwap_facts": _on_marts(lambda m: m.facts),
         "supplier_windows": _supplier_windows,
         "supplier_facts": _supplier_facts,
+        "supplier_alerts": _supplier_alerts,
         "portfolio_summary": _on_marts(lambda m: m.summary.orderBy(F.desc("avg_volatility"))),
         "volatility_alerts": _on_marts(lambda m: models.alerts_in_order(m.alerts)),
         "volatility_regime": _on_marts(
