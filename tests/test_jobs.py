@@ -1,4 +1,5 @@
 import json
+import time
 
 import pytest
 
@@ -8,8 +9,9 @@ from tickloom import jobs
 from tickloom.operators.positions import portfolio_value
 from tickloom.session import scratch_path
 from tickloom.sources import kafka
-from tickloom.sources.lake import write_lake
+from tickloom.sources.lake import lake_scan, write_lake
 from tickloom.sources.positions import demo_positions, load_positions
+from tickloom.streaming.sinks import file_writer
 
 
 @pytest.fixture(scope="module")
@@ -72,3 +74,45 @@ def test_topics_pass_their_options_on(spark):
     kafka.topic_writer(messages, "host:9092", scratch_path(spark, "checkpoint"))  # not started
     with pytest.raises(AnalysisException, match="kafka"):  # the package is not installed here
         kafka.topic_stream(spark, "host:9092")
+
+
+def test_streams_run_together(spark):
+    """Lake, quarantine and alerts at once, over messages that arrive while they run."""
+    raw, lake, quarantine, state, sent = (
+        scratch_path(spark, n) for n in ("raw", "lake", "quarantine", "state", "sent")
+    )
+
+    def arrive(*prices):
+        rows = [
+            (json.dumps({"symbol": "A", "price": p, "size": 1, "timestamp": f"2026-05-10T{hour:02}:00:00+00:00"}),)
+            for hour, p in prices
+        ]
+        spark.createDataFrame(rows, "value string").coalesce(1).write.mode("append").text(raw)
+
+    arrive((1, 100.0), (2, 100.0), (2, "bad"))
+    streams = jobs.start_streams(
+        spark.readStream.text(raw),
+        lake,
+        quarantine,
+        state,
+        lambda alerts, checkpoint: file_writer(alerts, sent, checkpoint),
+        every="1 second",
+    )
+    try:
+        for stream in streams:
+            stream.processAllAvailable()
+        arrive((3, 90.0), (4, 99.0), (5, 99.0))
+        for stream in streams[:2]:
+            stream.processAllAvailable()
+        deadline = time.time() + 120
+        while lake_scan(spark, lake).count() < 4 and time.time() < deadline:
+            time.sleep(1)
+        streams[2].processAllAvailable()
+    finally:
+        for stream in streams:
+            stream.stop()
+    assert lake_scan(spark, lake).count() == 4  # the fifth window is still open
+    alerts = [json.loads(r.value) for r in spark.read.parquet(sent).collect()]
+    marked = {a["window_start"][11:13]: a.get("drawdown_pct") for a in alerts}
+    assert marked == {"01": None, "02": None, "03": 10.0, "04": None}
+    assert [r.reject_reason for r in spark.read.parquet(quarantine).collect()] == ["bad price"]

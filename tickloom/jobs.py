@@ -8,14 +8,17 @@ configuration.
 from __future__ import annotations
 
 import argparse
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tickloom.operators import session_queries as asked
 from tickloom.operators.documents import render_docs
 from tickloom.operators.models import alerts_in_order
 from tickloom.operators.retrieval import build_prompts, ingest_docs, topk_cosine, vectorize
+from tickloom.operators.windows import DEFAULT_WIDTH
 from tickloom.plans.marts import build_mart_tables, read_marts, serve_portfolio
 from tickloom.session import build_session
 from tickloom.sources.kafka import ALERT_TOPIC, TICK_TOPIC, topic_stream, topic_writer
@@ -23,23 +26,45 @@ from tickloom.sources.lake import lake_scan, lake_stream, load_lake
 from tickloom.sources.mirror import mirror_refresh
 from tickloom.sources.ticks import alert_messages, decode_ticks, split_ticks
 from tickloom.streaming.drawdown import stream_drawdown
-from tickloom.streaming.sinks import file_writer, lake_writer, start
-from tickloom.streaming.windows import DEFAULT_DELAY, DEFAULT_WIDTH, stream_windows
+from tickloom.streaming.sinks import FLUSH_INTERVAL, file_writer, lake_writer, start
+from tickloom.streaming.windows import DEFAULT_DELAY, stream_windows
+
+
+def start_streams(
+    messages: DataFrame,
+    lake: str,
+    quarantine: str,
+    checkpoints: str,
+    alert_writer: Callable[[DataFrame, str], DataStreamWriter],
+    width: str = DEFAULT_WIDTH,
+    delay: str = DEFAULT_DELAY,
+    every: str = FLUSH_INTERVAL,
+) -> list[StreamingQuery]:
+    """Tick messages into the lake and the quarantine, and the lake into the alert sink.
+
+    Alerts follow the lake, so that ticks are windowed once. ``alert_writer`` turns alert
+    messages and a checkpoint folder into a writer.
+    """
+    good, bad = split_ticks(decode_ticks(messages.select("value")))
+    windows = stream_windows(good, width, delay)
+    to_lake = start(lake_writer(windows, lake, f"{checkpoints}/lake"), every=every)
+    to_quarantine = start(file_writer(bad, quarantine, f"{checkpoints}/quarantine"), every=every)
+    alerts = alert_messages(stream_drawdown(lake_stream(messages.sparkSession, lake)))
+    to_alerts = start(alert_writer(alerts, f"{checkpoints}/alerts"), every=every)
+    return [to_lake, to_quarantine, to_alerts]
 
 
 def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Ticks from a topic into the lake and the quarantine, and the lake into the alert topic.
-
-    Alerts follow the lake, so that ticks are windowed once.
-    """
-    messages = topic_stream(spark, args.servers, args.topic)
-    good, bad = split_ticks(decode_ticks(messages.select("value")))
-    windows = stream_windows(good, args.width, args.delay)
-    state = args.checkpoints
-    start(lake_writer(windows, args.lake, f"{state}/lake"))
-    start(file_writer(bad, args.quarantine, f"{state}/quarantine"))
-    alerts = alert_messages(stream_drawdown(lake_stream(spark, args.lake)))
-    start(topic_writer(alerts, args.servers, f"{state}/alerts", args.alert_topic))
+    """Ticks from a topic into the lake, the alert topic and the quarantine."""
+    start_streams(
+        topic_stream(spark, args.servers, args.topic),
+        args.lake,
+        args.quarantine,
+        args.checkpoints,
+        lambda alerts, state: topic_writer(alerts, args.servers, state, args.alert_topic),
+        args.width,
+        args.delay,
+    )
     spark.streams.awaitAnyTermination()
 
 

@@ -35,9 +35,11 @@ def file_writer(stream: DataFrame, path: str, checkpoint: str) -> DataStreamWrit
     )
 
 
-def start(writer: DataStreamWriter, once: bool = False) -> StreamingQuery:
-    """Run continuously on the flush interval, or work off what has arrived and stop."""
-    trigger = {"availableNow": True} if once else {"processingTime": FLUSH_INTERVAL}
+def start(
+    writer: DataStreamWriter, once: bool = False, every: str = FLUSH_INTERVAL
+) -> StreamingQuery:
+    """Run on an interval until stopped, or work off what has arrived and stop."""
+    trigger = {"availableNow": True} if once else {"processingTime": every}
     return writer.trigger(**trigger).start()
 
 
