@@ -100,6 +100,12 @@ def test_tokens(spark):
     ]
 
 
+def test_word_ends_are_ascii(spark):
+    texts = spark.createDataFrame([(1, "éHIGH LOWé xLOW HIGH_ HIGHEST_VOL2 WATCH. DRAWDOWN")], "id int, text string")
+    rows = tag_risk_tokens(texts, "id").orderBy("position").collect()
+    assert [r.token for r in rows] == ["HIGH", "LOW", "WATCH", "DRAWDOWN"]
+
+
 @pytest.fixture(scope="module")
 def vectors(spark):
     rng = np.random.default_rng(5)

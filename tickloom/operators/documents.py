@@ -42,8 +42,11 @@ Volatility: {volatility}
 Drawdown from session high: {drawdown_pct}%
 Session High: ${session_high}
 Window: {window_start} → {window_end}"""
-# Token pattern and the colour class of each risk word.
-TOKEN_PATTERN = r"(\$[\d,.]+|\d+\.\d+%?|#\d+|\bHIGH\b|\bMEDIUM\b|\bLOW\b|\bHIGHEST_VOL\b|\bWATCH\b|\bDRAWDOWN\b)"
+# Token pattern and the colour class of each risk word. A word ends at anything
+# but an ASCII letter, digit or underscore; the looks around it say so for any Java version.
+TOKEN_PATTERN = (
+    r"(\$[\d,.]+|\d+\.\d+%?|#\d+|(?<!\w)(?:HIGH|MEDIUM|LOW|HIGHEST_VOL|WATCH|DRAWDOWN)(?!\w))"
+)
 # What a token can begin with; checked first, it spares most positions of a text the choice.
 TOKEN_START = r"(?=[$#\dHMLWD])"
 TOKEN_WORDS = {
