@@ -7,19 +7,48 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.llm.chunk_dedup import repeated_spans
 from tickloom.llm.common import table
 from tickloom.llm.decontamination import find_contamination
+from tickloom.llm.language_id import held_out, identify_languages, learn_languages, training_sample
 from tickloom.llm.mixing import mix_sources
+from tickloom.llm.ngram_join import similar_documents
+from tickloom.llm.token_counts import count_tokens, read_vocabulary
 from tickloom.llm.url_filter import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# A public byte-level vocabulary; installed beside the interpreter, not part of this library.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
+
+
+def op3_token_counts(spark: SparkSession, folder: str, vocabulary: str = VOCABULARY) -> DataFrame:
+    counted = count_tokens(table(spark, folder, "documents"), read_vocabulary(vocabulary), ["doc_id"])
+    return counted.select("doc.doc_id", "n_words", "n_tokens")
+
+
+def op4_chunk_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_spans(table(spark, folder, "documents"))
+
+
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = learn_languages(training_sample(docs))
+    found = identify_languages(docs, model, ["doc_id"])
+    return found.select(
+        "doc.doc_id", held_out(F.col("doc.doc_id")).alias("held_out"), "lang_pred", "score", "positions"
+    )
+
 
 def op6_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     return mix_sources(docs, labels).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return similar_documents(table(spark, folder, "documents"))
+
+
 def op9_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return judge_urls(table(spark, folder, "pages")).select(
         "page_id", "host", "path", "rule", "verdict"
@@ -37,7 +66,11 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 def registry() -> dict[str, Query]:
     return {
+        "op3_token_counts": op3_token_counts,
+        "op4_chunk_dedup": op4_chunk_dedup,
+        "op5_language_id": op5_language_id,
         "op6_mix_sources": op6_mix_sources,
+        "op8_ngram_join": op8_ngram_join,
         "op9_url_filter": op9_url_filter,
         "op10_decontamination": op10_decontamination,
     }
