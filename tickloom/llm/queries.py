@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tickloom.llm.chunk_dedup import repeated_spans
 from tickloom.llm.common import table
 from tickloom.llm.decontamination import find_contamination
+from tickloom.llm.fingerprints import fingerprint_edits
 from tickloom.llm.language_id import held_out, identify_languages, learn_languages, training_sample
 from tickloom.llm.mixing import mix_sources
 from tickloom.llm.ngram_join import similar_documents
@@ -22,6 +23,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 
 
+def op2_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprint_edits(table(spark, folder, "documents")).drop("edited_text")
+
+
 def op3_token_counts(spark: SparkSession, folder: str, vocabulary: str = VOCABULARY) -> DataFrame:
     counted = count_tokens(table(spark, folder, "documents"), read_vocabulary(vocabulary), ["doc_id"])
     return counted.select("doc.doc_id", "n_words", "n_tokens")
@@ -66,6 +71,7 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 def registry() -> dict[str, Query]:
     return {
+        "op2_fingerprints": op2_fingerprints,
         "op3_token_counts": op3_token_counts,
         "op4_chunk_dedup": op4_chunk_dedup,
         "op5_language_id": op5_language_id,
