@@ -14,6 +14,7 @@ from tickloom.llm.fingerprints import fingerprint_edits
 from tickloom.llm.language_id import held_out, identify_languages, learn_languages, training_sample
 from tickloom.llm.mixing import mix_sources
 from tickloom.llm.ngram_join import similar_documents
+from tickloom.llm.pii import KINDS, count_of, find_pii, learn_pii, written
 from tickloom.llm.token_counts import count_tokens, read_vocabulary
 from tickloom.llm.url_filter import judge_urls
 
@@ -50,6 +51,15 @@ def op6_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mix_sources(docs, labels).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = find_pii(docs, learn_pii(docs))
+    return found.select(
+        "doc.doc_id", *[count_of(F.col("base"), kind).alias(f"n_{kind}") for kind in KINDS],
+        F.sha2(written(F.col("base")), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"),
+    )
+
+
 def op8_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return similar_documents(table(spark, folder, "documents"))
 
@@ -76,6 +86,7 @@ def registry() -> dict[str, Query]:
         "op4_chunk_dedup": op4_chunk_dedup,
         "op5_language_id": op5_language_id,
         "op6_mix_sources": op6_mix_sources,
+        "op7_pii": op7_pii,
         "op8_ngram_join": op8_ngram_join,
         "op9_url_filter": op9_url_filter,
         "op10_decontamination": op10_decontamination,
