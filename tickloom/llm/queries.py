@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.llm.chat import format_conversations
 from tickloom.llm.chunk_dedup import repeated_spans
 from tickloom.llm.common import table
 from tickloom.llm.decontamination import find_contamination
@@ -24,6 +25,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 
 
+def op1_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    return format_conversations(table(spark, folder, "conversations"))
+
+
 def op2_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint_edits(table(spark, folder, "documents")).drop("edited_text")
 
@@ -81,6 +86,7 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 def registry() -> dict[str, Query]:
     return {
+        "op1_chat_format": op1_chat_format,
         "op2_fingerprints": op2_fingerprints,
         "op3_token_counts": op3_token_counts,
         "op4_chunk_dedup": op4_chunk_dedup,
