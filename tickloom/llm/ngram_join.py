@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import xxhash
@@ -20,6 +21,8 @@ DIFFERENT = 19
 BAND = 1.5
 # Distinct words whose hashes a worker remembers before it starts anew.
 REMEMBERED = 300_000
+# Bits of the map that keeps unneeded texts from being shuffled.
+MAP_BITS = 1 << 23
 
 _U = np.uint64
 _ONE = _U(1)
@@ -54,36 +57,51 @@ def shingle_set(text: bytes | None, hash_of, size: int = SHINGLE_WORDS) -> np.nd
     return np.unique(total)
 
 
-def _bands() -> list[tuple[int, int]]:
-    """First sizes of the bands, with the blocks of a sketch for sets of that band and below.
+class Band(NamedTuple):
+    """Set sizes from ``first`` up to the next band, and how sketches of such sets are cut."""
 
-    The larger set of an alike pair lies in the band, so the sets differ in at most
-    ``2 * largest / 19`` shingles; with one block more, some block is the same in both.
-    """
+    first: int
+    different: int  # shingles in which an alike pair may differ if its larger set lies here
+    spare: int  # blocks more than needed for one to be the same in both sets
+
+    @property
+    def blocks(self) -> int:
+        return self.different + 1 + self.spare
+
+
+def _bands() -> list[Band]:
     first, out = 1, []
     while first < 1 << 40:
         following = max(first + 1, int(first * BAND))
-        out.append((first, 2 * (following - 1) // DIFFERENT + 1))
+        different = 2 * (following - 1) // DIFFERENT
+        out.append(Band(first, different, 2 + different // 50))
         first = following
     return out
 
 
 BANDS = _bands()
-_FIRST = np.array([b[0] for b in BANDS])
+_FIRST = np.array([b.first for b in BANDS])
+
 
+def _block_keys(shingles: np.ndarray, number: int) -> np.ndarray:
+    """A key per block of the parity sketch: equal keys mean equal band, block and parities.
 
-def _block_keys(shingles: np.ndarray, band: int) -> np.ndarray:
-    """A key per block of the parity sketch: equal keys mean equal band, block and parities."""
-    n_blocks = BANDS[band][1]
-    block = ((shingles >> _U(6)) % _U(n_blocks)).astype(np.int64)
-    bit = _ONE << (shingles & _U(63))
+    A shingle toggles one of 2**58 bits of its block, so the parities of a block are the few odd
+    bits, written as the XOR of their hashes. Of alike sets, more blocks are the same than are
+    spare: a set with no more empty blocks than that need not give the empty ones.
+    """
+    band = BANDS[number]
+    if not band.different:
+        return np.empty(0, np.uint64)  # alike sets are equal there
+    block = (shingles % _U(band.blocks)).astype(np.int64)
     by_block = np.argsort(block, kind="stable")
     block = block[by_block]
     starts = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))
-    parity = np.zeros(n_blocks, np.uint64)
-    parity[block[starts]] = np.bitwise_xor.reduceat(bit[by_block], starts)
-    place = _mixed(np.arange(n_blocks, dtype=np.uint64) + _U(band << 40))
-    return _mixed(place ^ _mixed(parity + _U(0x9E3779B97F4A7C15)))
+    parity = np.zeros(band.blocks, np.uint64)
+    parity[block[starts]] = np.bitwise_xor.reduceat(_mixed(shingles[by_block] + _ONE), starts)
+    place = _mixed(np.arange(band.blocks, dtype=np.uint64) + _U(number << 40))
+    keys = _mixed(place ^ _mixed(parity + _U(0x9E3779B97F4A7C15)))
+    return keys[block[starts]] if band.blocks - len(starts) <= band.spare else keys
 
 
 def block_keys(shingles: np.ndarray) -> np.ndarray:
@@ -93,11 +111,19 @@ def block_keys(shingles: np.ndarray) -> np.ndarray:
         return np.empty(0, np.uint64)
     band = int(np.searchsorted(_FIRST, n, "right")) - 1
     own = _block_keys(shingles, band)
-    if ALIKE[1] * n >= ALIKE[0] * BANDS[band + 1][0]:
+    if ALIKE[1] * n >= ALIKE[0] * BANDS[band + 1].first:
         return np.concatenate((own, _block_keys(shingles, band + 1)))
     return own
 
 
+def set_id(shingles: np.ndarray) -> int:
+    """A 64-bit hash of the whole set."""
+    both = _mixed(shingles.sum(dtype=np.uint64, keepdims=True)) ^ np.bitwise_xor.reduce(
+        _mixed(shingles + _ONE), keepdims=True
+    )
+    return int(_mixed(both + _U(len(shingles))).view(np.int64)[0])
+
+
 def _parity_256(shingles: np.ndarray) -> np.ndarray:
     odd = np.bincount(((shingles >> _U(40)) & _U(255)).astype(np.int64), minlength=256) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
@@ -108,16 +134,10 @@ def _sketcher():
         hash_of = _WordHashes().__getitem__
         with np.errstate(over="ignore"):
             for texts in batches:
-                columns: list[list] = [[], [], [], [], []]
+                columns: list[list] = [[], [], [], []]
                 for text in texts:
                     s = shingle_set(text, hash_of)
-                    row = (
-                        len(s),
-                        int(s.sum(dtype=np.uint64).view(np.int64)),
-                        int(np.bitwise_xor.reduce(_mixed(s + _ONE), initial=_U(0)).view(np.int64)),
-                        _parity_256(s),
-                        block_keys(s).view(np.int64),
-                    )
+                    row = (len(s), set_id(s), _parity_256(s), block_keys(s).view(np.int64))
                     for column, value in zip(columns, row, strict=True):
                         column.append(value)
                 yield columns
@@ -128,8 +148,10 @@ def _sketcher():
 def _setter():
     def work(batches: Iterator[list[bytes | None]]) -> Iterator[list[list]]:
         hash_of = _WordHashes().__getitem__
-        for texts in batches:
-            yield [[shingle_set(t, hash_of).view(np.int64) for t in texts]]
+        with np.errstate(over="ignore"):
+            for texts in batches:
+                sets = [shingle_set(t, hash_of) for t in texts]
+                yield [[set_id(s) for s in sets], [s.view(np.int64) for s in sets]]
 
     return work
 
@@ -154,63 +176,71 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(shared * ALIKE[1] >= either * ALIKE[0]).select("a", "b")
 
 
+def _may_hold(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """``docs`` without most rows whose ``doc_id`` is not among ``ids`` (column ``id``); all others stay.
+
+    The ids set bits of a map of fixed size (``MAP_BITS``, 1 MB), which goes to all tasks, so
+    that the texts that an equi-join would drop are dropped before they are shuffled.
+    """
+    def place(column: str) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(MAP_BITS))
+
+    bits = ids.select(place("id").alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")
+    )
+    at = F.bitmap_bit_position(place("doc_id")).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col("bits"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10)
+    marked = docs.join(F.broadcast(bits), F.bitmap_bucket_number(place("doc_id")) == F.col("part"))
+    return marked.where(F.getbit(byte.cast("bigint"), at % 8) == 1).select(*docs.columns)
+
+
 def similar_documents(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_shingles, component_id)``, one row per row of ``docs`` (``doc_id, text``).
 
     Texts are compared as sets of 3-word shingles (A-Z lower-cased, words split at ASCII white
     space; fewer words are one shingle). Two documents link when 10 times the shared shingles
     reach 9 times the united ones. ``component_id`` is the smallest doc_id that links reach.
+    Shingles and sets are told apart by 64-bit hashes.
 
     Null and empty texts have no shingles, link with nothing, and are their own component.
     Rows with a null doc_id link with nothing and have a null component. Repeated rows are
-    given back each; rows with one doc_id and different texts are one node, linked by either
-    text. Other columns are left out. No document, no row.
+    given back each; rows with one doc_id and different texts each go with their own text.
+    Other columns are left out. No document, no row.
 
-    1. One pass over the texts: each document gives its size, a 128-bit set hash, a parity
+    1. One pass over the texts: each document gives its size, a hash of its set, a parity
        sketch, and a key per block of a larger parity sketch. Shingles toggle bits, so the
-       Hamming distance of two sketches is at most the number of shingles that differ; with a
-       block more than may differ (per size band), alike sets agree in some block.
-    2. Equal sets are one class, held by its smallest doc_id, before any key is emitted.
+       Hamming distance of two sketches is at most the number of shingles that differ; with
+       more blocks than may differ (per size band), alike sets agree in some block.
+    2. Documents with equal sets are one class from here on.
     3. Keys meet in one aggregation (merged in the tasks first) and an equi-join, so that a
-       hot key is no group in memory. Each key's smallest and largest holders are compared with
+       hot key is no group in memory. Each key's first and last holders are compared with
        the others; what is linked by then needs no more comparing. Only holders of one key
        that are still in different components meet pairwise, and only pairs that size and
        sketch allow leave that join.
     4. Candidate pairs are verified on exact shingle sets; components come from distributed
        star contraction.
     """
-    kind = "n long, sum_hash long, xor_hash long, sketch array<long>, keys array<long>"
+    kind = "n long, id long, sketch array<long>, keys array<long>"
     sketched = store(
         map_texts(docs.select("doc_id", "text"), kind, _sketcher(), ["doc_id"]).select("doc.doc_id", "*").drop("doc"),
         "join-sketches",
     )
     held = sketched.where("n > 0 and doc_id is not null")
-    identity = ["n", "sum_hash", "xor_hash"]
-    classes = store(
-        held.groupBy(identity).agg(F.min("doc_id").alias("id")), "join-classes"
-    )
-    holders = held.join(classes.select("id", *[F.col(c).alias(f"of_{c}") for c in identity]), (
-        (F.col("doc_id") == F.col("id"))
-        & (F.col("n") == F.col("of_n")) & (F.col("sum_hash") == F.col("of_sum_hash"))
-        & (F.col("xor_hash") == F.col("of_xor_hash"))
-    ))
-    keys = holders.select("id", F.explode("keys").alias("key"))
-    shared = keys.groupBy("key").agg(
-        F.min("id").alias("low"), F.max("id").alias("high")
-    ).where("low < high")
-    met = store(keys.join(shared, "key"), "join-keys")
-
-    ids = met.select("id").distinct()
+    classes = held.groupBy("id").agg(F.min("doc_id").alias("first_doc"))
+    keys = held.select("id", F.explode("keys").alias("key"))
+    shared = keys.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
+    met = store(keys.join(shared, "key").distinct(), "join-keys")
+
+    ids = store(met.select("id").distinct(), "join-ids")
     facts = store(
-        sketched.join(ids, F.col("doc_id") == F.col("id"), "left_semi")
-        .select(F.col("doc_id").alias("id"), "n", "sketch").dropDuplicates(["id", "n"]),
-        "join-facts",
+        held.select("id", "n", "sketch").join(ids, "id", "left_semi").dropDuplicates(["id"]), "join-facts"
     )
-    with_text = docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("id"), "left_semi")
+    readers = store(classes.join(ids, "id", "left_semi"), "join-readers")
+    texts = _may_hold(readers.select(F.col("first_doc").alias("id")), docs.select("doc_id", "text"))
+    with_text = texts.join(readers, F.col("doc_id") == F.col("first_doc")).select("id", "text")
+    sets = map_texts(with_text, "own_id long, shingles array<long>", _setter(), ["id"])
     sets = store(
-        map_texts(with_text, "shingles array<long>", _setter(), ["doc_id"])
-        .select(F.col("doc.doc_id").alias("id"), "shingles").where(F.size("shingles") > 0),
-        "join-sets",
+        sets.where("doc.id = own_id").select("doc.id", "shingles").dropDuplicates(["id"]), "join-sets"
     )
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -220,7 +250,7 @@ def similar_documents(docs: DataFrame) -> DataFrame:
         a, b = facts.alias("fa"), facts.alias("fb")
         return (
             pairs.distinct().join(a, F.col("a") == F.col("fa.id")).join(b, F.col("b") == F.col("fb.id"))
-            .where(_may_be_alike("fa", "fb")).select("a", "b").distinct()
+            .where(_may_be_alike("fa", "fb")).select("a", "b")
         )
 
     links = verified(allowed(met.where("id > low").select(F.col("low").alias("a"), F.col("id").alias("b"))))
@@ -241,7 +271,7 @@ def similar_documents(docs: DataFrame) -> DataFrame:
             ).where("id < high")
             new = verified(allowed(pairs.select(F.col("id").alias("a"), F.col("high").alias("b"))))
         else:
-            left = left.join(facts.withColumnRenamed("id", "fid"), F.col("id") == F.col("fid"))
+            left = left.join(facts, "id")
             x, y = left.alias("x"), left.alias("y")
             pairs = x.join(y, (
                 (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id"))
@@ -251,16 +281,15 @@ def similar_documents(docs: DataFrame) -> DataFrame:
             new = verified(pairs.distinct())
         links = store(links.union(new), "join-links")
 
-    groups = components(links)
-    member = classes.join(groups, F.col("id") == F.col("node"), "left").select(
-        *[F.col(c).alias(f"of_{c}") for c in identity], F.coalesce("component", "id").alias("component")
+    groups = classes.join(components(links), F.col("id") == F.col("node"), "left").select(
+        F.col("id").alias("class"), "first_doc", F.coalesce("component", "id").alias("component")
     )
-    found = sketched.select("doc_id", *identity).join(
-        member,
-        (F.col("n") == F.col("of_n")) & (F.col("sum_hash") == F.col("of_sum_hash"))
-        & (F.col("xor_hash") == F.col("of_xor_hash")) & F.col("doc_id").isNotNull(),
-        "left",
+    groups = store(groups, "join-members")
+    least = groups.groupBy("component").agg(F.min("first_doc").alias("component_id"))
+    member = groups.join(least, "component").select("class", "component_id")
+    found = sketched.select("doc_id", "n", "id").join(
+        member, (F.col("id") == F.col("class")) & (F.col("n") > 0) & F.col("doc_id").isNotNull(), "left"
     )
     return found.select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
