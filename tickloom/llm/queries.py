@@ -26,7 +26,8 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 
 
 def op1_chat_format(spark: SparkSession, folder: str) -> DataFrame:
-    return format_conversations(table(spark, folder, "conversations"))
+    events = format_conversations(table(spark, folder, "conversations"))
+    return events.withColumn("errors", F.array_join("errors", ", "))
 
 
 def op2_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
