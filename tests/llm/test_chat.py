@@ -1,0 +1,91 @@
+import json
+
+import pytest
+
+from tickloom.llm.chat import Argument, Tool, canonical_json, format_conversations, format_tool_calls
+
+MESSAGE = "conv_id long, turn long, role string, text string"
+CALL = "conv_id long, turn long, call_id string, tool string, arguments string"
+RESULT = "conv_id long, turn long, call_id string, content string"
+TOOLS = [
+    Tool("add", (Argument("a", "integer"), Argument("b", "number"), Argument("note", "string", required=False))),
+    Tool("ping", ()),
+]
+
+
+@pytest.fixture(scope="module")
+def frames(spark):
+    def make(messages=(), calls=(), results=()):
+        return tuple(
+            spark.createDataFrame(list(rows), kind).selectExpr("*", "1 AS step", "2 AS level", "3 AS status")
+            for rows, kind in ((messages, MESSAGE), (calls, CALL), (results, RESULT))
+        )
+
+    return make
+
+
+def events(out):
+    rows = [r.asDict() for r in out.collect()]
+    return sorted(rows, key=lambda r: (r["turn"] is None, r["turn"], r["step"] is None, r["step"], r["kind"], str(r["call_id"])))
+
+
+def test_calls_come_after_what_they_refer_to(frames):
+    ref = '{"a": 1, "b": {"$ref": "%s"}}'
+    calls = [(1, 5, "c", "add", ref % "b"), (1, 1, "b", "add", ref % "a"), (1, 2, "a", "ping", "{}"),
+             (1, 1, "x", "add", ref % "y"), (1, 1, "y", "add", ref % "x"), (1, 1, "z", "add", ref % "none"),
+             (2, 1, "a", "ping", "{}"), (None, 1, "a", "ping", "{}")]
+    results = [(1, 3, "a", "ra"), (1, 0, "b", "rb"), (1, 9, "q", "?"), (1, 4, None, "?"), (None, 1, "a", None)]
+    got = events(format_tool_calls(*frames([(1, 0, "user", "hi")], calls, results), TOOLS))
+    in_1 = [(r["kind"], r["call_id"], r["turn"], r["status"]) for r in got if r["conv_id"] == 1]
+    order = [k[:2] for k in in_1 if k[3] == "linked"] + [k[:2] for k in in_1 if k[3] == "unanswered"]
+    assert order == [("call", "a"), ("result", "a"), ("call", "b"), ("result", "b"), ("call", "c")]
+    assert {k[1] for k in in_1 if k[3] == "unordered"} == {"x", "y", "z"}
+    assert {k[1] for k in in_1 if k[3] == "orphan"} == {"q", None}
+    other = [(r["conv_id"], r["kind"], r["status"]) for r in got if r["conv_id"] != 1]
+    assert sorted(other, key=str) == [(2, "call", "unanswered"), (None, "call", "linked"), (None, "result", "linked")]
+
+
+def test_arguments_are_validated(frames):
+    cases = {
+        '{"a": 1, "b": 2.5}': [], '{"b": 1, "a": -3, "note": "x"}': [], '{"a": "1", "b": 1}': ["a is not integer"],
+        '{"a": 1.5, "b": true}': ["a is not integer", "b is not number"], '{"a": null}': ["missing a", "missing b"],
+        '{"a": 1, "b": 1, "z": 0, "y": []}': ["unexpected y", "unexpected z"], "[1]": ["not an object"],
+        "no json": ["not an object"], None: ["not an object"], "": ["not an object"],
+    }
+    calls = [(1, i, f"c{i}", "add", text) for i, text in enumerate(cases)] + [(1, 99, "u", "nope", "{}"), (1, 98, "p", "ping", "{}")]
+    got = {r["turn"]: r["errors"] for r in events(format_tool_calls(*frames((), calls), TOOLS))}
+    assert [got[i] for i in range(len(cases))] == list(cases.values())
+    assert got[99] == ["unknown tool"] and got[98] == []
+
+
+def test_json_is_canonical(spark):
+    texts = ['{"b": [1, {"z": 0, "a": "é\\n"}], "a": null}', "[ ]", '"x"', "{", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r[0] for r in df.orderBy("i").select(canonical_json(df.t)).collect()]
+    assert got == ['{"a":null,"b":[1,{"a":"é\\n","z":0}]}', "[]", '"x"', None, None]
+
+
+def test_repeats_do_not_multiply(frames):
+    calls = [(1, 1, "a", "ping", "{}")] * 20
+    results = [(1, 2, "a", "r")] * 30
+    got = events(format_tool_calls(*frames([], calls, results), TOOLS))
+    assert len(got) == 50 and {r["status"] for r in got} == {"linked"}
+
+
+def test_turns_imply_calls_and_explicit_ones_stand(frames):
+    spelled = json.dumps({"tool_calls": [{"id": "t", "name": "reply", "arguments": {"turn": 7, "prompt": "p"}}]})
+    messages = [(1, 0, "system", "s"), (1, 1, "user", "q\n\"1\""), (1, 2, "assistant", "a"), (1, 3, "user", None),
+                (2, 0, "assistant", "alone"), (3, 0, "assistant", spelled), (3, 1, "tool", '{"tool_call_id":"t","content":"c"}'),
+                (3, 2, None, None), (None, None, None, None)]
+    got = events(format_conversations(frames(messages)[0]))
+    assert sum(r["kind"] == "message" for r in got) == len(messages)
+    rest = {(r["conv_id"], r["kind"], r["call_id"]): (r["status"], r["errors"], r["json"]) for r in got if r["kind"] != "message"}
+    assert rest == {
+        (1, "call", "call_1"): ("linked", [], '{"arguments":{"prompt":"q\\n\\"1\\"","turn":1},"id":"call_1","name":"reply"}'),
+        (1, "result", "call_1"): ("linked", [], '{"content":"a","tool_call_id":"call_1"}'),
+        (1, "call", "call_3"): ("unanswered", ["missing prompt"], '{"arguments":{"turn":3},"id":"call_3","name":"reply"}'),
+        (2, "result", "call_-1"): ("orphan", [], '{"content":"alone","tool_call_id":"call_-1"}'),
+        (3, "call", "t"): ("linked", [], '{"arguments":{"prompt":"p","turn":7},"id":"t","name":"reply"}'),
+        (3, "result", "t"): ("linked", [], '{"content":"c","tool_call_id":"t"}'),
+    }
+    assert format_conversations(frames()[0]).count() == 0

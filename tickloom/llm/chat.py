@@ -110,7 +110,7 @@ def implied_calls(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _places(calls: DataFrame, results: DataFrame) -> DataFrame:
-    """``(conv_id, call_id, call_turn, level, at)`` of the calls.
+    """``(conv_id, call_id, level, at, answered)`` of the calls, and their turns.
 
     ``level`` says how many results, one needing the other, a call waits for, and ``at`` the
     first turn at which all results that it needs are there. Level by level, calls whose
@@ -128,10 +128,10 @@ def _places(calls: DataFrame, results: DataFrame) -> DataFrame:
     )).alias("needed")).distinct()
     needs = waiting = store(needs, "chat-needs")
     turns = calls.groupBy(key).agg(F.min("turn").alias("call_turn"))
-    answers = results.groupBy(key).agg(F.min("turn").alias("result_turn"))
-    nodes = turns.alias("n").join(answers.alias("r"), same("n", "r"), "left").select("n.*", "result_turn")
+    answers = results.groupBy(key).agg(F.min("turn").alias("result_turn"), F.lit(True).alias("answered"))
+    nodes = turns.alias("n").join(answers.alias("r"), same("n", "r"), "left").select("n.*", "result_turn", "answered")
     first = nodes.alias("n").join(waiting.alias("w"), same("n", "w"), "left_anti").select(
-        *key, "call_turn", F.lit(0).alias("level"), F.col("call_turn").alias("at"), "result_turn"
+        *key, "call_turn", F.lit(0).alias("level"), F.col("call_turn").alias("at"), "result_turn", "answered"
     )
     if needs.isEmpty():
         return first
@@ -150,7 +150,7 @@ def _places(calls: DataFrame, results: DataFrame) -> DataFrame:
         freed = store(
             nodes.alias("n").join(ready.alias("f"), same("n", "f")).select(
                 "n.conv_id", "n.call_id", "call_turn", F.lit(level).alias("level"),
-                F.greatest("call_turn", "ready").alias("at"), "result_turn",
+                F.greatest("call_turn", "ready").alias("at"), "result_turn", "answered",
             ),
             "chat-free",
         )
@@ -158,7 +158,7 @@ def _places(calls: DataFrame, results: DataFrame) -> DataFrame:
             break
         waiting, done = still, store(done.union(freed), "chat-levels")
     left = nodes.alias("n").join(done.alias("d"), same("n", "d"), "left_anti").select(
-        *key, "call_turn", F.lit(None).cast("int").alias("level"), F.col("call_turn").alias("at"), "result_turn"
+        *key, "call_turn", F.lit(None).cast("int").alias("level"), F.col("call_turn").alias("at"), "result_turn", "answered"
     )
     return done.union(left)
 
@@ -185,8 +185,11 @@ def format_tool_calls(
     nothing, null texts are JSON nulls, arguments that are no JSON are an error. Null
     conversations are one conversation. Other columns are left out. No message, no row.
     """
+    messages = messages.select("conv_id", "turn", "role", "text")
+    calls = calls.select("conv_id", "turn", "call_id", "tool", "arguments")
+    results = results.select("conv_id", "turn", "call_id", "content")
     places = _places(calls, results).select(
-        F.col("conv_id").alias("p_conv"), F.col("call_id").alias("p_call"), "call_turn", "level", "at", "result_turn"
+        F.col("conv_id").alias("p_conv"), F.col("call_id").alias("p_call"), "level", "at", "answered"
     )
 
     def placed(rows: DataFrame) -> DataFrame:
@@ -203,7 +206,7 @@ def format_tool_calls(
         "conv_id", F.greatest("turn", "at").alias("turn"), (F.col("level") * 2).alias("step"),
         F.lit("call").alias("kind"), "call_id",
         F.when(F.col("p_call").isNotNull() & F.col("level").isNull(), "unordered")
-        .when(F.col("result_turn").isNotNull(), "linked").otherwise("unanswered").alias("status"),
+        .when(F.col("answered"), "linked").otherwise("unanswered").alias("status"),
         argument_errors(F.col("tool"), F.col("arguments"), tools).alias("errors"),
         F.to_json(
             F.struct(

@@ -11,7 +11,7 @@ from tickloom.llm.common import let
 # sentence or after eight words. All pieces keep their white space: together they are the text.
 _SECTIONS = r"(?<=\n\n)(?!\n)"
 _PARAGRAPHS = r"(?<=\n)"
-_PHRASES = r"(?:(?!\S*[.!?]\s)\S++\s*+){0,7}+\S++\s*+|\s++"
+_PHRASES = r"(?:(?!\S*[.!?]\s)\S++\s*+){0,7}\S++\s*+|\s++"
 _LEAF = 8  # hex digits of a phrase's digest that the fingerprint holds
 _ROOT = 64
 
@@ -108,9 +108,10 @@ def _first_ids(docs: DataFrame, bucket_rows: int) -> list[int]:
     least = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     n = min(MOST_BUCKETS, max(least, ids.count() // bucket_rows))
     shares = [i / n for i in range(1, n)]
-    cuts = ids.agg(F.percentile_approx("doc_id", shares, 20 * n)).first()[0] or []
-    bucket = _bucket(F.col("doc_id"), sorted(set(cuts)))
-    return sorted(r[0] for r in ids.groupBy(bucket).agg(F.min("doc_id").alias("first")).select("first").collect())
+    cuts = sorted(set(ids.agg(F.percentile_approx("doc_id", shares, 20 * n)).first()[0] or []))
+    placed = ids.select("doc_id", _bucket(F.col("doc_id"), cuts).alias("bucket"))
+    firsts = placed.groupBy("bucket").agg(F.min("doc_id").alias("first"))
+    return sorted(r["first"] for r in firsts.collect())
 
 
 def _bucket(doc_id: Column, cuts: list[int]) -> Column:
