@@ -12,8 +12,8 @@ MOST_EPOCHS = 3
 # Sampling weight of documents that a reader labelled good, bad, or not at all.
 GOOD, BAD, UNLABELLED = 2.0, 0.5, 1.0
 SEED = "mix-1"
-# Rows of a source that share one step of the key range, on average.
-STEP_ROWS = 50_000
+# Rows of the table that share one step of the key range, on average, and fewest steps.
+STEP_ROWS, LEAST_STEPS = 50_000, 256
 
 
 def n_words(text: Column) -> Column:
@@ -104,7 +104,7 @@ def mix_sources(
         sized.select("doc_id", "source", "size", sampling_key(F.col("doc_id"), weight, seed).alias("key")),
         "mix-sizes",
     )
-    steps = max(16, keyed.count() // step_rows)
+    steps = max(LEAST_STEPS, keyed.count() // step_rows)
     keyed = keyed.withColumn("step", F.floor((1 - F.exp(-F.col("key"))) * steps))
 
     sums = store(
