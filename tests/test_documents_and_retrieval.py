@@ -128,10 +128,10 @@ def brute_force(queries, docs, k):
     return found
 
 
-@pytest.mark.parametrize("max_shipped", [4096, 9])
-def test_topk_is_exact_on_both_paths(vectors, max_shipped):
+@pytest.mark.parametrize("blocks", [(1, None), (4, 9), (1, 1)])
+def test_topk_is_exact_for_any_blocks(vectors, blocks):
     queries = vectors.filter("doc_id < 30").withColumnRenamed("doc_id", "query_id")
-    hits = retrieval.topk_cosine(queries, vectors, k=5, max_shipped=max_shipped)
+    hits = retrieval.topk_cosine(queries, vectors, k=5, query_blocks=blocks[0], doc_blocks=blocks[1])
     got = {}
     for row in hits.orderBy("query_id", "rank").collect():
         got.setdefault(row.query_id, []).append(row.doc_id)
@@ -144,6 +144,17 @@ def test_topk_with_fewer_documents_than_k(vectors):
     assert retrieval.topk_cosine(queries.filter("false"), vectors).count() == 0
 
 
+def test_vectors_that_cannot_be_compared_take_no_part(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, [1.0, 0.0]), (2, [nan, 1.0]), (3, [inf, 1.0]), (4, [1.0, 0.0, 0.0]), (5, None), (6, []), (7, [0.5, 0.5]), (8, [1.0, None])]
+    docs = spark.createDataFrame(rows, "doc_id long, embedding array<float>")
+    queries = docs.withColumnRenamed("doc_id", "query_id")
+    hits = {(r.query_id, r.doc_id): round(r.score, 6) for r in retrieval.topk_cosine(queries, docs).collect()}
+    assert hits == {(1, 1): 1.0, (1, 7): 0.707107, (7, 1): 0.707107, (7, 7): 1.0, (4, 4): 1.0}
+    left_out = {r.doc_id: r.reason for r in retrieval.unusable_vectors(docs).collect()}
+    assert left_out == {2: "not finite", 3: "not finite", 5: "no vector", 6: "no vector", 8: "not finite"}
+
+
 def test_centroids(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [3.0, 4.0])], "label int, embedding array<float>")
     assert {r.label: r.embedding for r in retrieval.centroids(df, "label").collect()} == {
@@ -158,7 +169,7 @@ def test_retrieval_end_to_end(spark, summary, alerts, facts):
     path = scratch_path(spark, "collection")
     model = retrieval.ingest_docs(docs, path)
     retrieval.ingest_docs(docs, path)  # a rebuild replaces
-    collection = spark.read.parquet(path)
+    collection = retrieval.read_collection(spark, path)
     assert collection.count() == 4
     assert collection.filter("id = 'alert_NVDA'").first().metadata == {"symbol": "NVDA", "type": "volatility_alert"}
     assert len(collection.first().embedding) == retrieval.DIMENSIONS
@@ -166,7 +177,9 @@ def test_retrieval_end_to_end(spark, summary, alerts, facts):
     questions = spark.createDataFrame(
         [(1, "alert type of NVDA?"), (2, "regime of SPY"), (3, "  ")], "query_id int, question string"
     )
-    asked = retrieval.vectorize(model, questions.withColumnRenamed("question", "text"))
+    texts = questions.withColumnRenamed("question", "text")
+    asked = retrieval.vectorize(retrieval.load_vectorizer(spark, path), texts)
+    assert asked.collect() == retrieval.vectorize(model, texts).collect()
     stored = collection.withColumnRenamed("id", "doc_id")
     hits = retrieval.topk_cosine(asked, stored, k=2)
     first = {r.query_id: r.doc_id for r in hits.filter("rank = 1").collect()}
@@ -174,7 +187,7 @@ def test_retrieval_end_to_end(spark, summary, alerts, facts):
 
     prompts = {r.query_id: r for r in retrieval.build_prompts(questions, hits, stored).collect()}
     assert set(prompts) == {1, 2}
-    assert prompts[1].user_text.startswith("Here is the latest portfolio data:\n\nALERT — Symbol: NVDA")
+    assert prompts[1].user_text.startswith("Documents:\n\nALERT — Symbol: NVDA")
     assert prompts[1].user_text.endswith("\n\nQuestion: alert type of NVDA?")
     assert prompts[1].user_text.count(retrieval.CONTEXT_SEPARATOR) == 1
     assert prompts[1].fallback is None

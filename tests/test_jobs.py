@@ -10,10 +10,19 @@ from tickloom.operators.positions import portfolio_value
 from tickloom.session import scratch_path
 from tickloom.sources import kafka
 from tickloom.sources.lake import lake_scan, write_lake
-from tickloom.sources.positions import demo_positions, load_positions
+from tickloom.schemas import POSITION
+from tickloom.sources.positions import load_positions
 from tickloom.streaming.sinks import file_writer
 
 
+# The demo portfolio: symbol, shares held, average cost, volatility.
+DEMO_PORTFOLIO = [
+    ("AAPL", 500, 172.50, 0.015), ("MSFT", 300, 415.00, 0.012), ("NVDA", 150, 820.00, 0.028),
+    ("GOOGL", 200, 170.00, 0.014), ("META", 180, 490.00, 0.020), ("TSLA", 100, 195.00, 0.035),
+    ("SPY", 400, 510.00, 0.008), ("QQQ", 250, 440.00, 0.010),
+]
+
+
 @pytest.fixture(scope="module")
 def lake(spark, five_rows):
     path = scratch_path(spark, "lake")
@@ -46,14 +55,69 @@ def test_ask_job(spark, lake):
     run(spark, "marts", "--lake", lake, "--database", "marts_ask")
     questions, out = scratch_path(spark, "questions"), scratch_path(spark, "prompts")
     spark.createDataFrame([("volatility rank of TSLA?",), ("drawdown of NVDA",)], "value string").write.text(questions)
+    collection = scratch_path(spark, "collection")
+    run(spark, "ingest", "--database", "marts_ask", "--collection", collection)
     run(
-        spark, "ask", "--database", "marts_ask", "--collection", scratch_path(spark, "collection"),
-        "--questions", questions, "--hits", 2, "--out", out,
+        spark.newSession(), "ask", "--collection", collection, "--questions", questions, "--hits", 2, "--out", out,
     )
     prompts = spark.read.json(out).collect()
     assert len(prompts) == 2 and all("Question: " in p.user_text for p in prompts)
 
 
+def test_check_job_reports_and_fails(spark, lake, capsys):
+    run(spark, "marts", "--lake", lake, "--database", "marts_check")
+    out = scratch_path(spark, "data-tests")
+    run(spark, "check", "--database", "marts_check", "--out", out)
+    assert spark.read.parquet(out).where("failures > 0").count() == 0
+    broken = spark.table("marts_check.portfolio_summary").selectExpr("*").union(spark.table("marts_check.portfolio_summary"))
+    broken.write.saveAsTable("marts_check.broken")
+    spark.sql("CREATE OR REPLACE VIEW marts_check.portfolio_summary AS SELECT * FROM marts_check.broken")
+    with pytest.raises(SystemExit, match="data tests"):
+        run(spark, "check", "--database", "marts_check")
+
+
+def test_a_bad_refresh_leaves_the_published_mart(spark):
+    from tickloom.operators.quality import ContractError
+    from tickloom.plans.marts import publish_table
+    from tickloom.schemas import SUMMARY_CONTRACT
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS marts_safe")
+    kinds = {"string": "x", "bigint": 1, "double": 0.5}
+
+    def rows(*symbols):
+        made = [tuple(s if f.name == "symbol" else kinds.get(f.dataType.simpleString()) for f in SUMMARY_CONTRACT.schema) for s in symbols]
+        return spark.createDataFrame(made, SUMMARY_CONTRACT.schema)
+
+    def published():
+        return sorted(r.symbol for r in spark.table("marts_safe.portfolio_summary").collect())
+
+    publish_table(rows("A", "B"), SUMMARY_CONTRACT, "marts_safe")
+    with pytest.raises(ContractError):
+        publish_table(rows("C", "C"), SUMMARY_CONTRACT, "marts_safe")
+    assert published() == ["A", "B"]
+    with pytest.raises(Exception, match="must not be null"):
+        publish_table(rows("D", None), SUMMARY_CONTRACT, "marts_safe")
+    assert published() == ["A", "B"]
+    publish_table(rows("E"), SUMMARY_CONTRACT, "marts_safe")
+    publish_table(rows("F"), SUMMARY_CONTRACT, "marts_safe")
+    assert published() == ["F"]
+
+
+def test_positions_and_compact_jobs(spark, lake):
+    held, trades, out, target = (scratch_path(spark, n) for n in ("held", "trades", "valued", "compacted"))
+    spark.createDataFrame(DEMO_PORTFOLIO, POSITION).write.parquet(held)
+    spark.sql(
+        "SELECT 'BUY' AS event_type, 'SPY' AS symbol, 10L AS shares, 500.5D AS price, 'p' AS portfolio_id, "
+        "TIMESTAMP '2026-05-10 01:00:00' AS ts"
+    ).write.parquet(trades)
+    run(spark, "positions", "--trades", trades, "--positions", held, "--out", out)
+    event = json.loads(spark.read.parquet(f"{out}/events").first().value)
+    assert (event["symbol"], event["notional"], event["metadata"]["avg_cost"]) == ("SPY", 5005.0, 510.0)
+    assert spark.read.parquet(f"{out}/value").first().positions == 8
+    run(spark, "compact", "--lake", lake, "--target", target)
+    assert sorted(lake_scan(spark, target).collect()) == sorted(lake_scan(spark, lake).collect())
+
+
 def test_jobs_name_their_needs(capsys):
     with pytest.raises(SystemExit):
         jobs.parser().parse_args(["stream", "--servers", "host:9092"])
@@ -62,7 +126,7 @@ def test_jobs_name_their_needs(capsys):
 
 def test_positions(spark):
     path = scratch_path(spark, "positions")
-    demo_positions(spark).write.parquet(path)
+    spark.createDataFrame(DEMO_PORTFOLIO, POSITION).write.parquet(path)
     ticks = spark.createDataFrame([("SPY", 500.0, None)], "symbol string, price double, ts timestamp")
     row = portfolio_value(ticks, load_positions(spark, path)).first()
     cost = sum(s * c for s, c in [(500, 172.5), (300, 415), (150, 820), (200, 170), (180, 490), (100, 195), (250, 440)])

@@ -41,10 +41,21 @@ def window_direction(open_price: Column, close_price: Column) -> Column:
     return F.when(close_price >= open_price, "UP").otherwise("DOWN")
 
 
+def _utc_clock(ts: Column) -> Column:
+    """The UTC wall clock of an instant, whatever the session's time zone is."""
+    seconds = F.unix_micros(ts).cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(7,0)")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return epoch + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+
+
 def iso_utc(ts: Column) -> Column:
-    """ISO-8601 text of a UTC timestamp, with microseconds only where there are any."""
-    whole = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
-    micros = F.date_format(ts, "SSSSSS")
-    return F.concat(
-        whole, F.when(micros != "000000", F.concat(F.lit("."), micros)).otherwise(""), F.lit("+00:00")
-    )
+    """ISO-8601 text of an instant in UTC, with microseconds only where there are any."""
+    clock = F.regexp_replace(F.substring(_utc_clock(ts).cast("string"), 1, 19), " ", "T")
+    micros = F.pmod(F.unix_micros(ts), F.lit(1_000_000))
+    fraction = F.concat(F.lit("."), F.lpad(micros.cast("string"), 6, "0"))
+    return F.concat(clock, F.when(micros != 0, fraction).otherwise(""), F.lit("+00:00"))
+
+
+def utc_date(ts: Column) -> Column:
+    """The UTC date of an instant, whatever the session's time zone is."""
+    return F.to_date(_utc_clock(ts))

@@ -1,4 +1,5 @@
-"""Jobs for ``spark-submit``: stream ticks, build marts, refresh the mirror, report, retrieve.
+"""Jobs for ``spark-submit``: stream ticks, build and test marts, refresh the mirror, report,
+value positions, compact the lake, ingest documents and ask them.
 
 ``python -m tickloom.jobs <job> --help`` lists the options; submitted as a script it takes the
 same ones. The session takes master, memory and ``spark.checkpoint.dir`` from the cluster's
@@ -9,6 +10,7 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,14 +19,30 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from tickloom.operators import session_queries as asked
 from tickloom.operators.documents import render_docs
 from tickloom.operators.models import alerts_in_order
-from tickloom.operators.retrieval import build_prompts, ingest_docs, topk_cosine, vectorize
+from tickloom.operators.retrieval import (
+    build_prompts,
+    ingest_docs,
+    load_vectorizer,
+    read_collection,
+    topk_cosine,
+    vectorize,
+)
+from tickloom.operators.positions import portfolio_value, position_pnl
+from tickloom.operators.quality import contract_tests
 from tickloom.operators.windows import DEFAULT_WIDTH
 from tickloom.plans.marts import build_mart_tables, read_marts, serve_portfolio
-from tickloom.session import build_session
+from tickloom.schemas import (
+    ALERT_CONTRACT,
+    FACT_CONTRACT,
+    STAGING_CONTRACT,
+    SUMMARY_CONTRACT,
+)
+from tickloom.session import build_session, store
 from tickloom.sources.kafka import ALERT_TOPIC, TICK_TOPIC, topic_stream, topic_writer
-from tickloom.sources.lake import lake_scan, lake_stream, load_lake
+from tickloom.sources.lake import compact_lake, lake_scan, lake_stream, load_lake
 from tickloom.sources.mirror import mirror_refresh
-from tickloom.sources.ticks import alert_messages, decode_ticks, split_ticks
+from tickloom.sources.positions import load_positions
+from tickloom.sources.ticks import alert_messages, decode_ticks, encode_events, split_ticks
 from tickloom.streaming.drawdown import stream_drawdown
 from tickloom.streaming.sinks import FLUSH_INTERVAL, file_writer, lake_writer, start
 from tickloom.streaming.windows import DEFAULT_DELAY, stream_windows
@@ -45,7 +63,7 @@ def start_streams(
     Alerts follow the lake, so that ticks are windowed once. ``alert_writer`` turns alert
     messages and a checkpoint folder into a writer.
     """
-    good, bad = split_ticks(decode_ticks(messages.select("value")))
+    good, bad = split_ticks(decode_ticks(messages))
     windows = stream_windows(good, width, delay)
     to_lake = start(lake_writer(windows, lake, f"{checkpoints}/lake"), every=every)
     to_quarantine = start(file_writer(bad, quarantine, f"{checkpoints}/quarantine"), every=every)
@@ -93,20 +111,63 @@ def run_serve(spark: SparkSession, args: argparse.Namespace) -> None:
     alerts_in_order(marts.alerts).show(truncate=False)
 
 
-def run_ask(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Rebuild the document collection and write one prompt per line of ``--questions``."""
+def run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Rebuild the document collection, and the model of its vectors, from the marts."""
     marts = read_marts(spark, args.database)
-    docs = render_docs(marts.summary, marts.alerts, marts.facts)
-    model = ingest_docs(docs, args.collection)
-    stored = spark.read.parquet(args.collection).withColumnRenamed("id", "doc_id")
+    ingest_docs(render_docs(marts.summary, marts.alerts, marts.facts), args.collection)
+
+
+def run_ask(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Ask the stored collection: one prompt per line of ``--questions``."""
+    model = load_vectorizer(spark, args.collection)
+    stored = read_collection(spark, args.collection).withColumnRenamed("id", "doc_id")
     questions: DataFrame = spark.read.text(args.questions).select(
         F.xxhash64("value").alias("query_id"), F.col("value").alias("question")
     )
-    asked_vectors = vectorize(model, questions.withColumnRenamed("question", "text"))
+    texts = questions.withColumnRenamed("question", "text")
+    if model is None:  # an empty collection answers no question
+        asked_vectors = texts.withColumn("embedding", F.lit(None).cast("array<float>"))
+    else:
+        asked_vectors = vectorize(model, texts)
     hits = topk_cosine(asked_vectors, stored, args.hits)
     build_prompts(questions, hits, stored).write.mode("overwrite").json(args.out)
 
 
+def run_check(spark: SparkSession, args: argparse.Namespace) -> None:
+    """All data tests on the published marts; the job fails if a test does.
+
+    The report, one row per test, goes to ``--out`` if given, and what failed is printed.
+    """
+    marts = read_marts(spark, args.database)
+    relations = zip(
+        (marts.staged, marts.facts, marts.summary, marts.alerts),
+        (STAGING_CONTRACT, FACT_CONTRACT, SUMMARY_CONTRACT, ALERT_CONTRACT),
+        strict=True,
+    )
+    tests = [contract_tests(df, contract) for df, contract in relations]
+    report = store(reduce(DataFrame.unionByName, tests), "data-tests")
+    if args.out:
+        report.write.mode("overwrite").parquet(args.out)
+    failed = report.where("failures > 0")
+    if not failed.isEmpty():
+        failed.show(truncate=False)
+        raise SystemExit("data tests failed")
+
+
+def run_positions(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Trades valued against positions: enriched events as messages, and the market value."""
+    held = load_positions(spark, args.positions)
+    trades = spark.read.parquet(args.trades)
+    events = position_pnl(trades, held)
+    encode_events(events).write.mode("overwrite").parquet(f"{args.out}/events")
+    portfolio_value(trades, held).write.mode("overwrite").parquet(f"{args.out}/value")
+
+
+def run_compact(spark: SparkSession, args: argparse.Namespace) -> None:
+    """The lake rewritten with few, well-sized files per date at ``--target``."""
+    compact_lake(lake_scan(spark, args.lake), args.target)
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="tickloom.jobs", description=__doc__)
     jobs = top.add_subparsers(dest="job", required=True)
@@ -138,11 +199,15 @@ def parser() -> argparse.ArgumentParser:
     job("mirror", run_mirror, lake, ("--target", needed), fmt)
     job("report", run_report, lake, fmt, ("--out", {}))
     job("serve", run_serve, database, out)
+    collection = ("--collection", needed)
+    job("ingest", run_ingest, database, collection)
+    job("check", run_check, database, ("--out", {}))
+    job("positions", run_positions, ("--trades", needed), ("--positions", needed), out)
+    job("compact", run_compact, lake, ("--target", needed))
     job(
         "ask",
         run_ask,
-        database,
-        ("--collection", needed),
+        collection,
         ("--questions", needed),
         ("--hits", {"type": int, "default": 5}),
         out,

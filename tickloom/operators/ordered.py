@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickloom.functions.risk import utc_date
+
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], newest: Sequence[str]) -> DataFrame:
     """The row with the greatest ``newest`` columns per key; ties go to the greatest rest.
@@ -34,7 +36,7 @@ def running_max(
     What earlier blocks contribute is one number per block, carried over by a window on
     the per-block maxima.
     """
-    block = F.to_date(order) if block is None else block
+    block = utc_date(F.col(order)) if block is None else block
     blocked = df.withColumn("_block", block)
     history = Window.partitionBy(key).orderBy("_block")
     carried = (
@@ -62,9 +64,8 @@ def running_max(
 def _step(value: Column) -> Column:
     """A coarse, order-preserving step of a value: 16 steps per doubling, one for the rest."""
     lowest = F.lit(-(1 << 20))
-    step = F.when(F.isnan(value), F.lit(1 << 20)).when(
-        value > 0, F.floor(F.log2(value) * 16).cast("int")
-    )
+    beyond = F.isnan(value) | (value == float("inf"))
+    step = F.when(beyond, F.lit(1 << 20)).when(value > 0, F.floor(F.log2(value) * 16).cast("int"))
     return F.coalesce(step, lowest)
 
 

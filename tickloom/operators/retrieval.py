@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,24 +12,24 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from tickloom.sources import versioned
+
 # Vector width, hits per question, prompt texts.
 DIMENSIONS = 384
 HITS = 5
 CONTEXT_SEPARATOR = "\n\n---\n\n"
 SYSTEM_TEXT = (
-    "You are an intelligent portfolio risk assistant. The data is computed from live streams "
-    "using 5-minute VWAP windows. Answer clearly and concisely, with specific numbers from the "
-    "context. Flag any risk concerns directly. If asked about a symbol not in the portfolio, "
-    "say so. Always mention the volatility regime (HIGH/MEDIUM/LOW) when relevant."
+    "The documents below were rendered from risk tables: one summary and, where a rule fired, one "
+    "alert per symbol. Reply from them alone and quote the figures that support the reply. Give "
+    "a symbol's regime when its risk is the subject, and point out active alerts. When a symbol "
+    "is in no document, state that it is not held."
 )
-NO_DATA_TEXT = "No portfolio data found. Please run ingestion first."
-# Above this many query vectors, queries are split into blocks instead of sent to every task.
-MAX_SHIPPED_QUERIES = 4096
+NO_DATA_TEXT = "The document collection is empty; the ingest job has to run first."
 # Queries scored at a time, which bounds the score matrix of a batch.
 QUERY_SLICE = 256
 
@@ -53,19 +54,45 @@ def vectorize(model: PipelineModel, texts: DataFrame) -> DataFrame:
     return with_vector.select(*texts.columns, "embedding")
 
 
+_COLLECTION = T.StructType(
+    [
+        T.StructField("id", T.StringType()),
+        T.StructField("text", T.StringType()),
+        T.StructField("metadata", T.MapType(T.StringType(), T.StringType())),
+        T.StructField("embedding", T.ArrayType(T.FloatType())),
+        T.StructField("model", T.StringType()),
+    ]
+)
+
+
 def ingest_docs(docs: DataFrame, path: str) -> PipelineModel:
-    """Replace the document collection at ``path`` by ``docs`` with metadata and vectors."""
+    """Replace the document collection at ``path`` by ``docs`` with metadata and vectors.
+
+    The fitted model is stored beside the collection, whose rows name it, and the new version
+    becomes current when both are complete; until then readers have the old one.
+    """
     model = fit_vectorizer(docs)
+    model_path = f"{path}/models/{uuid.uuid4().hex}"
+    model.save(model_path)
     metadata = F.create_map(F.lit("symbol"), F.col("symbol"), F.lit("type"), F.col("type"))
-    (
-        vectorize(model, docs)
-        .select("id", "text", metadata.alias("metadata"), "embedding")
-        .write.mode("overwrite")
-        .parquet(path)
+    rows = vectorize(model, docs).select(
+        "id", "text", metadata.alias("metadata"), "embedding", F.lit(model_path).alias("model")
     )
+    versioned.publish(rows, f"{path}/documents")
     return model
 
 
+def read_collection(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of the collection at ``path``."""
+    return versioned.current(spark, f"{path}/documents", _COLLECTION).drop("model")
+
+
+def load_vectorizer(spark: SparkSession, path: str) -> PipelineModel | None:
+    """The model that the current version was made with; null for an empty collection."""
+    row = versioned.current(spark, f"{path}/documents", _COLLECTION).select("model").first()
+    return PipelineModel.load(row["model"]) if row else None
+
+
 def centroids(vectors: DataFrame, label: str, vector: str = "embedding") -> DataFrame:
     """Mean vector per label; each task sends one partial mean per label."""
     mean = Summarizer.mean(array_to_vector(F.col(vector).cast("array<double>")))
@@ -116,20 +143,43 @@ def _one_batch(table: pa.Table) -> pa.RecordBatch:
     return table.combine_chunks().to_batches()[0]
 
 
+def _finite(vector: str) -> Column:
+    def is_finite(x: Column) -> Column:
+        return x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
+
+    return F.forall(vector, is_finite)
+
+
+def unusable_vectors(vectors: DataFrame, vector: str = "embedding") -> DataFrame:
+    """The rows that a search leaves out, with ``reason``: ``no vector`` or ``not finite``."""
+    reason = F.when(F.size(F.coalesce(vector, F.array())) <= 0, "no vector").when(~_finite(vector), "not finite")
+    return vectors.withColumn("reason", reason).filter(F.col("reason").isNotNull())
+
+
 def topk_cosine(
-    queries: DataFrame, docs: DataFrame, k: int = HITS, max_shipped: int = MAX_SHIPPED_QUERIES
+    queries: DataFrame,
+    docs: DataFrame,
+    k: int = HITS,
+    query_blocks: int = 1,
+    doc_blocks: int | None = None,
 ) -> DataFrame:
     """The ``k`` nearest documents by cosine for each query, exactly.
 
-    ``queries`` has (query_id, embedding), ``docs`` has (doc_id, embedding) with unique ids;
-    rows without a vector cannot be found. Every batch of documents keeps only its own ``k``
-    best per query; a small window picks the final ones. A bounded set of queries is sent to
-    all tasks. A larger one is cut into blocks, and each block of queries meets each block of
-    documents in one task.
+    ``queries`` has (query_id, embedding), ``docs`` has (doc_id, embedding) with unique ids.
+    Vectors are compared with vectors of their own length; rows without a vector, or with a
+    component that is no finite number, take no part (``unusable_vectors`` lists them).
+
+    Ids are hashed into ``query_blocks`` and ``doc_blocks`` (as many as the session shuffles
+    with, unless given); each pair of blocks meets in one task and emits ``k`` rows per query,
+    of which a small window picks the final ones. A task holds one block of either kind, so the
+    numbers of blocks follow the sizes of the tables. Documents are shuffled once per block
+    of queries, and queries once per block of documents.
     """
-    has_vector = F.size(F.coalesce("embedding", F.array())) > 0
-    docs = docs.select("doc_id", "embedding").filter(has_vector)
-    queries = queries.select("query_id", "embedding").filter(has_vector)
+    if doc_blocks is None:
+        doc_blocks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    width = F.size("embedding")
+    docs = docs.select("doc_id", "embedding").filter((width > 0) & _finite("embedding"))
+    queries = queries.select("query_id", "embedding").filter((width > 0) & _finite("embedding"))
     hit = T.StructType(
         [
             T.StructField("query_id", queries.schema["query_id"].dataType),
@@ -138,44 +188,15 @@ def topk_cosine(
         ]
     )
     out = to_arrow_schema(hit)
-    shipped = queries.limit(max_shipped + 1).toArrow()
-    if shipped.num_rows > max_shipped:
-        candidates = _blockwise_candidates(queries, docs, k, max_shipped, hit)
-    elif shipped.num_rows == 0:
-        candidates = docs.sparkSession.createDataFrame([], hit)
-    else:
-        asked = _one_batch(shipped)
-        query_ids, query_rows = asked.column("query_id"), _unit_rows(asked.column("embedding"))
-
-        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if batch.num_rows:
-                    yield from _best_of_batch(query_ids, query_rows, batch, k, out)
-
-        candidates = docs.mapInArrow(score, hit)
-    ranking = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
-    return candidates.withColumn("rank", F.row_number().over(ranking)).filter(F.col("rank") <= k)
 
+    def block(key: str, blocks: int) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(blocks))
 
-def _blockwise_candidates(
-    queries: DataFrame, docs: DataFrame, k: int, block: int, hit: T.StructType
-) -> DataFrame:
-    """Per-block candidates for a query set too large to send to every task.
+    def each(blocks: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
 
-    Blocks come from hashes of the ids, which are unique, so all blocks are of a size; every
-    query meets every document in exactly one pair of blocks, and each pair emits ``k`` rows
-    per query.
-    """
-    n_queries, n_docs = queries.count(), docs.count()
-    query_blocks = -(-n_queries // block)
-    doc_blocks = max(1, -(-n_docs // (4 * block)))
-    out = to_arrow_schema(hit)
-    q = queries.withColumn(
-        "_q", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks))
-    ).withColumn("_d", F.explode(F.sequence(F.lit(0), F.lit(doc_blocks - 1))))
-    d = docs.withColumn("_d", F.pmod(F.xxhash64("doc_id"), F.lit(doc_blocks))).withColumn(
-        "_q", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))
-    )
+    q = queries.select("*", width.alias("_w"), block("query_id", query_blocks).alias("_q"), each(doc_blocks).alias("_d"))
+    d = docs.select("*", width.alias("_w"), block("doc_id", doc_blocks).alias("_d"), each(query_blocks).alias("_q"))
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
@@ -186,7 +207,10 @@ def _blockwise_candidates(
             list(_best_of_batch(asked.column("query_id"), rows, batch, k, out))
         )
 
-    return q.groupBy("_q", "_d").cogroup(d.groupBy("_q", "_d")).applyInArrow(score, hit)
+    meet = ["_w", "_q", "_d"]
+    candidates = q.groupBy(meet).cogroup(d.groupBy(meet)).applyInArrow(score, hit)
+    ranking = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
+    return candidates.withColumn("rank", F.row_number().over(ranking)).filter(F.col("rank") <= k)
 
 
 def build_prompts(
@@ -206,7 +230,7 @@ def build_prompts(
     )
     asked = questions.filter(F.trim("question") != "")
     user = F.concat(
-        F.lit("Here is the latest portfolio data:\n\n"),
+        F.lit("Documents:\n\n"),
         F.col("context"),
         F.lit("\n\nQuestion: "),
         F.col("question"),

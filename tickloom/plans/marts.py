@@ -44,12 +44,29 @@ def publish_files(df: DataFrame, contract: Contract, path: str) -> DataFrame:
 
 
 def publish_table(df: DataFrame, contract: Contract, database: str) -> DataFrame:
-    """Write a relation under its contract as a catalog table and return the stored one."""
+    """Publish a relation under its contract in the catalog and return the published one.
+
+    The name is a view on one of two tables. A refresh writes and checks the other one, and
+    only then moves the view: a null or repeated key leaves the old rows readable. A reader
+    that has lasted through two refreshes loses its table.
+    """
+    spark = df.sparkSession
     name = f"{database}.{contract.name}"
-    enforce(df, contract).write.mode("overwrite").saveAsTable(name)
-    stored = df.sparkSession.table(name)
-    require_unique(stored, contract)
-    return stored
+    slot = f"{name}__{'b' if _slot(spark, name) == 'a' else 'a'}"
+    enforce(df, contract).write.mode("overwrite").saveAsTable(slot)
+    require_unique(spark.table(slot), contract)
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('slot' = '{slot[-1]}') AS SELECT * FROM {slot}"
+    )
+    return spark.table(name)
+
+
+def _slot(spark: SparkSession, name: str) -> str | None:
+    """The slot that the published view reads; null before the first publication."""
+    if not spark.catalog.tableExists(name):
+        return None
+    rows = spark.sql(f"SHOW TBLPROPERTIES {name}").where("key = 'slot'").collect()
+    return rows[0]["value"] if rows else None
 
 
 def build_marts(lake: DataFrame, root: str) -> Marts:

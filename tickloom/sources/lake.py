@@ -8,8 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.functions.risk import utc_date
 from tickloom.schemas import WINDOW
 
+# Files that one batch of a stream over the lake reads at most.
+BATCH_FILES = 1000
+
 
 def lake_scan(
     spark: SparkSession,
@@ -32,10 +36,17 @@ def lake_scan(
     return lake
 
 
-def lake_stream(spark: SparkSession, path: str, schema: T.StructType = WINDOW) -> DataFrame:
-    """Windows as they arrive in a lake that a stream writes; each is read exactly once."""
+def lake_stream(
+    spark: SparkSession, path: str, schema: T.StructType = WINDOW, batch_files: int = BATCH_FILES
+) -> DataFrame:
+    """Windows as they arrive in a lake that a stream writes; each is read exactly once.
+
+    A batch reads ``batch_files`` files at most, also when it starts over a lake of years, so
+    what a stateful step gets of one symbol at once is bounded by the rows of so many files.
+    """
     with_date = T.StructType([*schema.fields, T.StructField("date", T.DateType())])
-    return spark.readStream.schema(with_date).parquet(path).select(*schema.fieldNames())
+    files = spark.readStream.schema(with_date).option("maxFilesPerTrigger", batch_files)
+    return files.parquet(path).select(*schema.fieldNames())
 
 
 def load_lake(spark: SparkSession, fmt: str, source: str) -> DataFrame:
@@ -49,7 +60,7 @@ def load_lake(spark: SparkSession, fmt: str, source: str) -> DataFrame:
 
 def with_date(windows: DataFrame) -> DataFrame:
     """Adds the partition column, the UTC date of the window start."""
-    return windows.withColumn("date", F.to_date("window_start"))
+    return windows.withColumn("date", utc_date(F.col("window_start")))
 
 
 def write_lake(windows: DataFrame, path: str, mode: str = "append") -> None:
@@ -69,6 +80,14 @@ def write_lake(windows: DataFrame, path: str, mode: str = "append") -> None:
     )
 
 
+def compact_lake(lake: DataFrame, path: str) -> None:
+    """All rows of ``lake`` into a lake of few, well-sized files per date at another ``path``.
+
+    What is at ``path`` already is replaced, so a failed run can be repeated.
+    """
+    write_lake(lake.drop("date"), path, mode="overwrite")
+
+
 def lake_union(existing: DataFrame, new: DataFrame) -> DataFrame:
     """Existing and new rows together; columns are matched by name."""
     return existing.unionByName(new)

@@ -9,32 +9,22 @@ from pyspark.sql import types as T
 from tickloom.sources import versioned
 
 
-def _size(lake: DataFrame) -> DataFrame:
-    """Rows and source files of a lake, counted without reading any column."""
-    return (
-        lake.groupBy(F.col("_metadata.file_path").alias("file"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(
-            F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("row_count"),
-            F.count(F.lit(1)).alias("files"),
-        )
-    )
-
-
 def mirror_refresh(lake: DataFrame, target: str, fmt: str = "parquet") -> dict:
-    """Replace the mirror by the rows of ``lake``; returns row and source-file counts.
+    """Replace the mirror by the rows of ``lake``; returns the rows and files that the mirror then holds.
 
     Parquet mirrors live at a path and are versioned there. Table formats bring their own
-    snapshots and are written through the catalog, with ``target`` as the table name.
+    snapshots and are written through the catalog, with ``target`` as the table name. The
+    lake may be files or a table; an empty one is refused.
     """
-    size = _size(lake).first().asDict()
-    if size["files"] == 0:
-        raise FileNotFoundError("the lake has no files to mirror")
+    if lake.isEmpty():
+        raise FileNotFoundError("the lake has no rows to mirror")
     if fmt == "parquet":
-        versioned.publish(lake, target, **size)
-    else:
-        lake.writeTo(target).using(fmt).createOrReplace()
-    return size
+        versioned.publish(lake, target)
+        log = versioned.history(lake.sparkSession, target)
+        newest = log.agg(*[F.max_by(c, "version").alias(c) for c in ("row_count", "files")])
+        return newest.first().asDict()
+    lake.writeTo(target).using(fmt).createOrReplace()
+    return {"row_count": lake.sparkSession.table(target).count(), "files": None}
 
 
 def mirror_log(spark: SparkSession, target: str) -> DataFrame:

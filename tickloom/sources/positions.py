@@ -6,22 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tickloom.schemas import POSITION
 
-# The demo portfolio (symbol, shares held, average cost, volatility).
-DEMO_PORTFOLIO = (
-    ("AAPL", 500, 172.50, 0.015),
-    ("MSFT", 300, 415.00, 0.012),
-    ("NVDA", 150, 820.00, 0.028),
-    ("GOOGL", 200, 170.00, 0.014),
-    ("META", 180, 490.00, 0.020),
-    ("TSLA", 100, 195.00, 0.035),
-    ("SPY", 400, 510.00, 0.008),
-    ("QQQ", 250, 440.00, 0.010),
-)
-
-
-def demo_positions(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(DEMO_PORTFOLIO), POSITION)
-
 
 def load_positions(spark: SparkSession, path: str) -> DataFrame:
     """Positions kept as Parquet in the same shape."""

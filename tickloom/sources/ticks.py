@@ -11,6 +11,10 @@ from tickloom.schemas import PORTFOLIO_EVENT, TICK_WIRE
 
 # Defaults of the normalised tick.
 UNKNOWN_EXCHANGE = "unknown"
+# Columns that decoding makes; all others came with the message.
+_TICK_COLUMNS = {
+    "symbol", "price", "size", "ts", "source", "exchange", "conditions", "reject_reason", "rejected_value",
+}
 
 
 def _number(text: Column) -> Column:
@@ -64,10 +68,15 @@ def decode_ticks(raw: DataFrame, value: str = "value") -> DataFrame:
 
 
 def split_ticks(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Usable ticks, and the quarantined messages with the reason."""
+    """Usable ticks, and the quarantined messages with the reason.
+
+    What came beside a message's value (its key, an event id) stays with a rejected one, so
+    that it can be traced and sent again.
+    """
     good = decoded.filter(F.col("reject_reason").isNull()).drop("reject_reason", "rejected_value")
+    context = [c for c in decoded.columns if c not in _TICK_COLUMNS]
     bad = decoded.filter(F.col("reject_reason").isNotNull()).select(
-        F.col("rejected_value").alias("value"), "reject_reason"
+        *context, F.col("rejected_value").alias("value"), "reject_reason"
     )
     return good, bad
 
@@ -82,14 +91,18 @@ def decode_events(raw: DataFrame, value: str = "value") -> DataFrame:
 
 
 def normalize_ticks(trades: DataFrame, source: str) -> DataFrame:
-    """Feed trades in the common tick shape: UTC time, float numbers, defaults filled in."""
+    """Feed trades in the common tick shape: UTC time, float numbers, defaults filled in.
+
+    Text that is no finite number or no time becomes null and never ends the job;
+    ``rejected_trades`` tells which trades that befalls.
+    """
     exchange = F.col("exchange") if "exchange" in trades.columns else F.lit(None)
     conditions = F.col("conditions") if "conditions" in trades.columns else F.lit(None)
     return trades.select(
         "symbol",
-        F.col("price").cast("double").alias("price"),
-        F.col("size").cast("double").alias("size"),
-        F.col("timestamp").cast("timestamp").alias("ts"),
+        _number(F.col("price")).alias("price"),
+        _number(F.col("size")).alias("size"),
+        F.col("timestamp").try_cast("timestamp").alias("ts"),
         F.lit(source).alias("source"),
         F.coalesce(exchange.cast("string"), F.lit(UNKNOWN_EXCHANGE)).alias("exchange"),
         F.coalesce(conditions.cast("array<string>"), F.array().cast("array<string>")).alias(
@@ -98,6 +111,17 @@ def normalize_ticks(trades: DataFrame, source: str) -> DataFrame:
     )
 
 
+def rejected_trades(trades: DataFrame) -> DataFrame:
+    """The trades that ``normalize_ticks`` cannot read, as they came, with ``reject_reason``."""
+    reason = (
+        F.when(F.col("symbol").isNull(), "no symbol")
+        .when(_number(F.col("price")).isNull(), "bad price")
+        .when(_number(F.col("size")).isNull(), "bad size")
+        .when(F.col("timestamp").try_cast("timestamp").isNull(), "bad timestamp")
+    )
+    return trades.withColumn("reject_reason", reason).filter(F.col("reject_reason").isNotNull())
+
+
 def keyed_json(df: DataFrame, key: str, *columns: Column | str) -> DataFrame:
     """(key, value) messages; columns that are null stay out of the JSON text."""
     return df.select(

@@ -47,12 +47,11 @@ def publish(
     df: DataFrame,
     target: str,
     check: Callable[[DataFrame], None] | None = None,
-    row_count: int | None = None,
-    files: int | None = None,
 ) -> DataFrame:
     """Replace the relation at ``target`` by ``df`` and return the stored version.
 
-    ``check`` sees the written rows and raises to keep the old version current.
+    ``check`` sees the written rows and raises to keep the old version current. The log counts
+    the rows and files that were written.
     """
     spark = df.sparkSession
     version, slot = _newest(spark, target)
@@ -61,12 +60,14 @@ def publish(
     stored = spark.read.schema(df.schema).parquet(f"{target}/{free}")
     if check:
         check(stored)
-    entry = spark.range(1).select(
+    by_file = stored.groupBy(F.col("_metadata.file_path")).agg(F.count(F.lit(1)).alias("n"))
+    size = by_file.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"), F.count(F.lit(1)).alias("files"))
+    entry = size.select(
         F.lit(version + 1).cast("bigint").alias("version"),
         F.lit(free).alias("slot"),
         F.current_timestamp().alias("committed_at"),
-        F.lit(row_count).cast("bigint").alias("row_count"),
-        F.lit(files).cast("bigint").alias("files"),
+        F.col("row_count").cast("bigint").alias("row_count"),
+        F.col("files").cast("bigint").alias("files"),
     )
     entry.coalesce(1).write.mode("append").parquet(f"{target}/log")
     return stored

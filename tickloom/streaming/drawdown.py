@@ -20,8 +20,9 @@ _TRACKED = T.StructType([*WINDOW.fields, T.StructField("vwap_high", T.DoubleType
 class SessionHigh(StatefulProcessor):
     """Adds the running maximum VWAP of the symbol to each closed window.
 
-    A symbol closes one window per window width, so its rows in a batch stay few; they are
-    put in time order before the state moves on.
+    A symbol's windows of one batch are put in time order before the state moves on. They are
+    few: a batch on an interval holds what closed in it, and ``lake_stream`` bounds the files
+    of a batch that catches up.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
