@@ -1,8 +1,10 @@
 import json
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 import pytest
+from pyspark.sql import functions as F
 
+from tickloom.functions.risk import iso_utc, utc_date
 from tickloom.operators.models import stream_highs
 from tickloom.operators.positions import portfolio_value, position_pnl
 from tickloom.schemas import TICK as TICK_SCHEMA
@@ -13,6 +15,7 @@ from tickloom.sources.ticks import (
     encode_events,
     encode_ticks,
     normalize_ticks,
+    rejected_trades,
     split_ticks,
 )
 
@@ -174,3 +177,28 @@ def test_every_window_is_sent_and_only_drawdowns_are_marked(spark, five_rows):
     assert "alert_type" not in first and "session_high" not in first
     assert (second["alert_type"], second["session_high"], second["drawdown_pct"]) == ("DRAWDOWN", 195.0, 10.0)
     assert first["window_start"] == "2026-05-10T05:10:00+00:00"
+
+
+def test_times_do_not_depend_on_the_session_zone(spark):
+    instants = [
+        datetime(2026, 5, 10, 2, 0, tzinfo=timezone.utc), datetime(2026, 3, 8, 7, 30, 0, 120, tzinfo=timezone.utc),
+        datetime(2026, 11, 1, 6, 30, tzinfo=timezone.utc), datetime(1969, 12, 31, 23, 59, 59, 999999, tzinfo=timezone.utc),
+    ]
+    micros = [int((t - datetime(1970, 1, 1, tzinfo=timezone.utc)) / timedelta(microseconds=1)) for t in instants]
+    found = []
+    try:
+        for zone in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            df = spark.createDataFrame([(m,) for m in micros], "m long").select(F.timestamp_micros("m").alias("ts"))
+            found.append([tuple(r) for r in df.select(iso_utc(F.col("ts")), utc_date(F.col("ts")).cast("string")).collect()])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert found[0] == found[1] == found[2] == [(t.isoformat(), str(t.date())) for t in instants]
+
+
+def test_bad_trades_are_rejected_and_never_thrown(spark):
+    rows = [("A", "1.5", "2", "2026-05-10T01:00:00Z"), ("A", "abc", "2", "2026-05-10T01:00:00Z"), (None, "1", "1", "2026-05-10T01:00:00Z"),
+            ("A", "1", "NaN", "2026-05-10T01:00:00Z"), ("A", "1", "1", "yesterday")]
+    trades = spark.createDataFrame(rows, "symbol string, price string, size string, timestamp string")
+    assert normalize_ticks(trades, "feed").where("symbol is null or price is null or size is null or ts is null").count() == 4
+    assert [r.reject_reason for r in rejected_trades(trades).collect()] == ["bad price", "no symbol", "bad size", "bad timestamp"]

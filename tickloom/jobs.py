@@ -42,42 +42,45 @@ from tickloom.sources.kafka import ALERT_TOPIC, TICK_TOPIC, topic_stream, topic_
 from tickloom.sources.lake import compact_lake, lake_scan, lake_stream, load_lake
 from tickloom.sources.mirror import mirror_refresh
 from tickloom.sources.positions import load_positions
-from tickloom.sources.ticks import alert_messages, decode_ticks, encode_events, split_ticks
+from tickloom.sources.ticks import alert_messages, decode_ticks, encode_events
+from tickloom.streaming.archive import archive_stream, archive_writer, rebuild_days
 from tickloom.streaming.drawdown import stream_drawdown
-from tickloom.streaming.sinks import FLUSH_INTERVAL, file_writer, lake_writer, start
+from tickloom.streaming.sinks import FLUSH_INTERVAL, lake_writer, start
 from tickloom.streaming.windows import DEFAULT_DELAY, stream_windows
 
 
 def start_streams(
     messages: DataFrame,
     lake: str,
-    quarantine: str,
+    archive: str,
     checkpoints: str,
     alert_writer: Callable[[DataFrame, str], DataStreamWriter],
     width: str = DEFAULT_WIDTH,
     delay: str = DEFAULT_DELAY,
     every: str = FLUSH_INTERVAL,
 ) -> list[StreamingQuery]:
-    """Tick messages into the lake and the quarantine, and the lake into the alert sink.
+    """Tick messages into the archive, the archive into the lake, the lake into the alert sink.
 
-    Alerts follow the lake, so that ticks are windowed once. ``alert_writer`` turns alert
-    messages and a checkpoint folder into a writer.
+    Each message is read and parsed once, and archived whether it can be used or not; rejected
+    ones lie there with the reason (``quarantined``), late ones for ``rebuild_days``. Ticks are
+    windowed once. ``alert_writer`` turns alert messages and a checkpoint folder into a writer.
     """
-    good, bad = split_ticks(decode_ticks(messages))
-    windows = stream_windows(good, width, delay)
+    spark = messages.sparkSession
+    decoded = decode_ticks(messages)
+    to_archive = start(archive_writer(decoded, archive, f"{checkpoints}/archive"), every=every)
+    windows = stream_windows(archive_stream(spark, archive, decoded.schema), width, delay)
     to_lake = start(lake_writer(windows, lake, f"{checkpoints}/lake"), every=every)
-    to_quarantine = start(file_writer(bad, quarantine, f"{checkpoints}/quarantine"), every=every)
-    alerts = alert_messages(stream_drawdown(lake_stream(messages.sparkSession, lake)))
+    alerts = alert_messages(stream_drawdown(lake_stream(spark, lake)))
     to_alerts = start(alert_writer(alerts, f"{checkpoints}/alerts"), every=every)
-    return [to_lake, to_quarantine, to_alerts]
+    return [to_archive, to_lake, to_alerts]
 
 
 def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Ticks from a topic into the lake, the alert topic and the quarantine."""
+    """Ticks from a topic into the archive, the lake and the alert topic."""
     start_streams(
         topic_stream(spark, args.servers, args.topic),
         args.lake,
-        args.quarantine,
+        args.archive,
         args.checkpoints,
         lambda alerts, state: topic_writer(alerts, args.servers, state, args.alert_topic),
         args.width,
@@ -86,8 +89,15 @@ def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
     spark.streams.awaitAnyTermination()
 
 
+def run_rebuild(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Windows of whole days from the archive, late ticks included, into a lake root of their own."""
+    schema = spark.read.parquet(args.archive).drop("rejected", "day").schema
+    rebuild_days(spark, args.archive, schema, args.target, args.first_day, args.last_day, args.width)
+
+
 def run_marts(spark: SparkSession, args: argparse.Namespace) -> None:
-    build_mart_tables(lake_scan(spark, args.lake), args.database)
+    """All marts from one or more lake roots, for instance the stream's and the rebuilt days'."""
+    build_mart_tables(lake_scan(spark, *args.lake), args.database)
 
 
 def run_mirror(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -187,14 +197,23 @@ def parser() -> argparse.ArgumentParser:
         run_stream,
         ("--servers", needed),
         lake,
-        ("--quarantine", needed),
+        ("--archive", needed),
         ("--checkpoints", needed),
         ("--topic", {"default": TICK_TOPIC}),
         ("--alert-topic", {"default": ALERT_TOPIC}),
         ("--width", {"default": DEFAULT_WIDTH}),
         ("--delay", {"default": DEFAULT_DELAY}),
     )
-    job("marts", run_marts, lake, database)
+    job("marts", run_marts, ("--lake", {"required": True, "nargs": "+"}), database)
+    job(
+        "rebuild",
+        run_rebuild,
+        ("--archive", needed),
+        ("--target", needed),
+        ("--first-day", needed),
+        ("--last-day", needed),
+        ("--width", {"default": DEFAULT_WIDTH}),
+    )
     fmt = ("--format", {"default": "parquet"})
     job("mirror", run_mirror, lake, ("--target", needed), fmt)
     job("report", run_report, lake, fmt, ("--out", {}))

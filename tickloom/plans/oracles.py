@@ -169,6 +169,8 @@ _CTES = {
             FROM (SELECT *, CASE WHEN json_valid(body) THEN CAST(body AS JSON) END AS j
                   FROM messages)
         )""",
+    "usable": "SELECT symbol, price, size, ts FROM decoded WHERE reject_reason IS NULL",
+    "rebuilt": _windows_of("usable", "5 MINUTES"),
     "docs": """
         SELECT 'summary_' || symbol AS id,
                'Symbol: ' || symbol || chr(10) || 'Volatility Regime: ' || volatility_regime
@@ -234,6 +236,8 @@ _NEEDS = {
     "series": ("summary",),
     "pnl": ("trades",),
     "decoded": ("messages",),
+    "usable": ("decoded",),
+    "rebuilt": ("usable",),
     "docs": ("summary", "alerts"),
 }
 
@@ -614,6 +618,14 @@ def oracles() -> dict[str, str]:
                WHERE reject_reason IS NOT NULL GROUP BY reject_reason""",
             "decoded",
         ),
+        "rejected_messages": _with(
+            r"""SELECT event_id, reject_reason, CASE WHEN body = 'not json' THEN body ELSE
+                    replace(regexp_replace(body, '("timestamp":"[^"]*)"', '\1+00:00"'),
+                            '}', ',"source":"events"}') END AS value
+               FROM decoded JOIN messages USING (event_id) WHERE reject_reason IS NOT NULL""",
+            "decoded",
+        ),
+        "rebuilt_windows": _with(f"SELECT {w} FROM rebuilt", "rebuilt"),
         "stream_windows": _with(f"SELECT {w} FROM closed", "closed"),
         "stream_alerts": _with(
             f"SELECT {w}, alert_type, session_high, drawdown_pct FROM closed", "closed"

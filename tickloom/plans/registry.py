@@ -24,8 +24,9 @@ from tickloom.schemas import (
 )
 from tickloom.session import prepare, scratch_path, store
 from tickloom.sources import inputs, lake, mirror, ticks
+from tickloom.streaming import archive
 from tickloom.streaming.drawdown import stream_drawdown
-from tickloom.streaming.sinks import replay
+from tickloom.streaming.sinks import replay, start
 from tickloom.streaming.windows import stream_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,8 +38,6 @@ QUESTIONS = (
     (3, "Which alerts are DRAWDOWN alerts?"),
     (4, "   "),
 )
-# Symbols drawn in the wide chart, as a dashboard would list them.
-CHART_SYMBOLS = ("click", "error", "purchase", "signup", "view")
 
 
 def naive(df: DataFrame) -> DataFrame:
@@ -66,6 +65,11 @@ def _on_marts(operator) -> Query:
     return lambda spark, folder: naive(operator(Workspace(spark, folder).marts()))
 
 
+def _symbols(summary: DataFrame) -> list[str]:
+    """All symbols, one column each in the wide chart; the summary has a row per symbol."""
+    return sorted(r.symbol for r in summary.select("symbol").collect())
+
+
 def _on_ticks(operator: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, folder: naive(operator(inputs.event_ticks(prepare(spark), folder)))
 
@@ -306,6 +310,28 @@ def _stream_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     return stored.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("messages"))
 
 
+def _archived(spark: SparkSession, folder: str) -> tuple[str, T.StructType]:
+    """The archive of all messages of the folder, as the stream writes it."""
+    messages = inputs.messages_of_events(inputs.event_stream(prepare(spark), folder))
+    decoded = ticks.decode_ticks(messages)
+    path, state = scratch_path(spark, "archive"), scratch_path(spark, "archive-state")
+    start(archive.archive_writer(decoded, path, state), once=True).awaitTermination()
+    return path, decoded.schema
+
+
+def _rejected_messages(spark: SparkSession, folder: str) -> DataFrame:
+    path, schema = _archived(spark, folder)
+    return archive.quarantined(spark, path, schema)
+
+
+def _rebuilt_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """All days built anew from the archive: no tick is too late for that."""
+    path, schema = _archived(spark, folder)
+    target = scratch_path(spark, "rebuilt")
+    archive.rebuild_days(spark, path, schema, target, "2000-01-01", "2100-01-01")
+    return naive(lake.lake_scan(spark, target).drop("date"))
+
+
 def _stream_alerts(spark: SparkSession, folder: str) -> DataFrame:
     stream = stream_windows(inputs.event_tick_stream(prepare(spark), folder))
     return naive(replay(stream_drawdown(stream), "stream-alerts"))
@@ -357,7 +383,7 @@ def registry() -> dict[str, Query]:
         "midpoint_series": _on_marts(lambda m: dashboard.midpoint_series(m.facts, m.summary)),
         "midpoint_wide": _on_marts(
             lambda m: dashboard.midpoint_wide(
-                dashboard.midpoint_series(m.facts, m.summary), CHART_SYMBOLS
+                dashboard.midpoint_series(m.facts, m.summary), _symbols(m.summary)
             )
         ),
         "value_percentiles": _on_ticks(
@@ -394,4 +420,6 @@ def registry() -> dict[str, Query]:
         "stream_windows": _stream_windows,
         "stream_alerts": _stream_alerts,
         "stream_quarantine": _stream_quarantine,
+        "rejected_messages": _rejected_messages,
+        "rebuilt_windows": _rebuilt_windows,
     }
