@@ -149,7 +149,7 @@ def test_other_lake_queries(five_rows):
         "AAPL": 2, "NVDA": 2, "TSLA": 1,
     }
     assert asked.latest_window(five_rows).count() == 3
-    assert [r.symbol for r in asked.volatility_trend(five_rows).collect()] == [
+    assert [r.symbol for r in asked.volatility_trend(five_rows).orderBy("symbol", "window_start").collect()] == [
         "AAPL", "AAPL", "NVDA", "NVDA", "TSLA",
     ]
 

@@ -95,14 +95,14 @@ def drawdown_vs_session(windows: DataFrame, threshold: float | None = DRAWDOWN_R
 
 
 def volatility_trend(windows: DataFrame) -> DataFrame:
-    """Every window's volatility, listed by symbol and time."""
+    """Every window's volatility; a listing orders it by symbol and time where it is shown."""
     return windows.select(
         "symbol",
         "window_start",
         F.round("vwap", 2).alias("vwap"),
         F.round("volatility", 6).alias("volatility"),
         "trade_count",
-    ).orderBy("symbol", "window_start")
+    )
 
 
 def windows_per_symbol(windows: DataFrame) -> DataFrame:

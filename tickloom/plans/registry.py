@@ -373,7 +373,9 @@ def registry() -> dict[str, Query]:
         "drawdown_vs_session": _on_lake(
             lambda w: asked.drawdown_vs_session(w).orderBy(F.desc("drawdown_pct"))
         ),
-        "volatility_trend": _on_lake(asked.volatility_trend),
+        "volatility_trend": _on_lake(
+            lambda w: asked.volatility_trend(w).orderBy("symbol", "window_start")
+        ),
         "stream_drawdown": _on_lake(lambda w: models.stream_highs(w.drop("date"))),
         # dashboard
         "kpi_totals": _on_marts(lambda m: dashboard.kpi_totals(m.summary, m.alerts)),

@@ -15,11 +15,20 @@ from tickloom.sources.lake import lake_scan, write_lake
 _BUILT: dict[tuple, object] = {}
 
 
+def _state(spark: SparkSession, folder: str) -> tuple:
+    """Names, times and sizes of the tables in a folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    tables = files.listStatus(path)
+    return tuple(sorted((t.getPath().getName(), t.getModificationTime(), t.getLen()) for t in tables))
+
+
 class Workspace:
     """What a deployment keeps on storage, for the ticks of one folder.
 
     Windows are written to a lake in the shared folder and marts are built from it, as in
-    production, so queries on them read stored tables. Paths are remembered per application.
+    production, so queries on them read stored tables. Paths are remembered per application
+    and state of the input: a table written anew is a new input.
     """
 
     def __init__(
@@ -33,7 +42,9 @@ class Workspace:
         self.folder = folder
         self.width = width
         self._ticks = ticks
-        self._key = (spark.sparkContext.applicationId, folder, width, ticks.__name__)
+        self._key = (
+            spark.sparkContext.applicationId, folder, _state(spark, folder), width, ticks.__name__
+        )
 
     def _once(self, name: str, build: Callable[[], object]):
         key = (*self._key, name)

@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_ROOTS: dict[str, str] = {}
+# Folders of applications, which go when their driver ends.
+_OWNED: set[str] = set()
 
 
 def build_session(app_name: str = "tickloom", **conf: str) -> SparkSession:
@@ -62,9 +64,18 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that no other run uses."""
-    app = spark.sparkContext.applicationId
-    return f"{shared_root(spark)}/tickloom/{app}/{name}-{uuid.uuid4().hex[:12]}"
+    """A path in the shared folder that no other run uses.
+
+    It lies in a folder of the application, which owns it: all of it goes when the driver ends.
+    """
+    folder = f"{shared_root(spark)}/tickloom/{spark.sparkContext.applicationId}"
+    if folder not in _OWNED:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _OWNED.add(folder)
+    return f"{folder}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
