@@ -24,7 +24,7 @@ from tickloom.llm.ngram_join import similar_documents
 from tickloom.llm.pii import find_pii, learn_pii, redacted
 
 # A document goes if its most probable language is less probable than this.
-LEAST_SCORE = 0.4
+LEAST_SCORE = 0.3
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 

@@ -26,14 +26,12 @@ def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     This cuts the lineage: later stages read files that all executors reach, so a lost
-    executor costs a re-read and no recomputation. The files go when the session ends;
+    executor costs a re-read and no recomputation. The files go when the application ends;
     ``drop_stored`` removes them earlier.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    hadoop_path, files = _hadoop(spark, path)
     df.write.parquet(path)
-    files.deleteOnExit(hadoop_path)
     stored = spark.read.schema(df.schema).parquet(path)
     stored._stored_path = path
     return stored
@@ -41,13 +39,9 @@ def store(df: DataFrame, name: str) -> DataFrame:
 
 def drop_stored(df: DataFrame) -> None:
     """Remove the files of a table that ``store`` returned and nothing reads any more."""
-    hadoop_path, files = _hadoop(df.sparkSession, df._stored_path)
-    files.delete(hadoop_path, True)
-
-
-def _hadoop(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df._stored_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

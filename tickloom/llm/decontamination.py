@@ -177,17 +177,24 @@ def find_contamination(
     state = docs.select(
         F.struct(*[docs[c] for c in (docs.columns if keep is None else keep)]).alias("doc"), "text"
     )
-    for number, items in enumerate(_blocks(benchmark, block_words)):
-        found = map_texts(state, _KIND, _finder(Phrases(items, window), window, shard_words))
+    blocks = _blocks(benchmark, block_words)
+    items, number = next(blocks), 0
+    while items is not None:
+        following = next(blocks, None)
+        # Texts come back from the tasks only if another block needs them.
+        kept = ["doc", *(["items", "spans"] if number else []), *(["text"] if following else [])]
+        found = map_texts(state, _KIND, _finder(Phrases(items, window), window, shard_words), kept)
         hit, ids, spans = F.col("n_hit"), F.col("items"), F.col("spans")
         if number:
             spans = _united(F.col("doc.spans"), spans)
             ids = F.array_sort(F.array_union("doc.items", "items"))
             hit = F.aggregate(spans, F.lit(0).cast("long"), lambda n, x: n + x["end_word"] - x["word"])
         state = found.select(
-            "doc.doc", "doc.text", "n_words", hit.alias("n_hit"), ids.alias("items"), spans.alias("spans")
+            "doc.doc", *(["doc.text"] if following else []), "n_words", hit.alias("n_hit"),
+            ids.alias("items"), spans.alias("spans"),
         )
-    return state.drop("text").withColumn(
+        items, number = following, number + 1
+    return state.withColumn(
         "contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * HIT_SHARE >= F.col("n_words"))
     )
 
