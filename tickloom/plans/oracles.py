@@ -79,6 +79,11 @@ _CTES = {
         SELECT * REPLACE (window_end - INTERVAL 1 MINUTE AS window_end,
                           trade_count - 1 AS trade_count)
         FROM windows WHERE trade_count > 1""",
+    "damaged": """
+        SELECT * REPLACE (CASE WHEN total_volume <> 0 THEN symbol END AS symbol,
+                          CASE WHEN trade_count <= 1 THEN vwap END AS vwap,
+                          -volatility AS volatility)
+        FROM fragments""",
     "facts": _facts_of("windows"),
     "daily_facts": _facts_of("daily"),
     "summary": f"""
@@ -227,6 +232,7 @@ _NEEDS = {
     "daily_latest": ("daily_facts",),
     "daily_alerts": ("daily_latest",),
     "fragments": ("windows",),
+    "damaged": ("fragments",),
     "facts": ("windows",),
     "summary": ("facts",),
     "latest": ("facts",),
@@ -340,6 +346,23 @@ def _dq_rows() -> str:
     return "\nUNION ALL\n".join(rows)
 
 
+def _damaged_rows() -> str:
+    tests = [
+        ("not_null", c, f"{c} IS NULL") for c in ("symbol", "window_start", "vwap", "trade_count")
+    ]
+    tests += [("vwap_positive", "vwap", "vwap <= 0"), ("volatility_not_negative", "volatility", "volatility < 0")]
+    rows = [
+        f"SELECT 'damaged_windows' AS relation, '{check}' AS \"check\", '{column}' AS column_name, "
+        f"count(*) FILTER (WHERE {bad}) AS failures FROM damaged"
+        for check, column, bad in tests
+    ]
+    rows.append(
+        "SELECT 'damaged_windows', 'unique', 'symbol,window_start', count(*) FROM "
+        "(SELECT symbol, window_start FROM damaged GROUP BY ALL HAVING count(*) > 1)"
+    )
+    return "\nUNION ALL\n".join(rows)
+
+
 def _contract_rows() -> str:
     text, number, whole, time = "string", "double", "bigint", "timestamp"
     promised = {
@@ -570,6 +593,14 @@ def oracles() -> dict[str, str]:
                        alert_type, session_high, drawdown_pct FROM tracked""",
             "tracked",
         ),
+        "dq_damaged": _with(_damaged_rows(), "damaged"),
+        "window_regimes": _with(
+            """SELECT symbol, CASE WHEN volatility / 1000 > 0.05 THEN 'HIGH'
+                                   WHEN volatility / 1000 > 0.015 THEN 'MEDIUM' ELSE 'LOW' END
+                              AS volatility_regime, count(*) AS windows
+               FROM windows GROUP BY ALL""",
+            "windows",
+        ),
         "dq_report": _with(_dq_rows(), "ticks", "summary", "alerts"),
         "contract_check": _with(_contract_rows(), "summary", "alerts"),
         "mirror_refresh": _with("SELECT count(*) AS row_count FROM windows", "windows"),

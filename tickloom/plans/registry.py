@@ -21,6 +21,7 @@ from tickloom.schemas import (
     STAGING_CONTRACT,
     SUMMARY_CONTRACT,
     WINDOW,
+    Contract,
 )
 from tickloom.session import prepare, scratch_path, store
 from tickloom.sources import inputs, lake, mirror, ticks
@@ -198,6 +199,25 @@ def _dq_report(spark: SparkSession, folder: str) -> DataFrame:
     return quality.dq_report(relations, inputs.event_ticks(spark, folder))
 
 
+def _damaged(windows: DataFrame) -> DataFrame:
+    """Lake rows that break the data tests: missing fields, negative values, repeated keys."""
+    rows = _late_fragments(windows.drop("date"))
+    broken = {
+        "symbol": F.when(F.col("total_volume") != 0, F.col("symbol")),
+        "vwap": F.when(F.col("trade_count") <= 1, F.col("vwap")),
+        "volatility": -F.col("volatility"),
+    }
+    return rows.select(*[broken.get(c, F.col(c)).alias(c) for c in rows.columns])
+
+
+DAMAGED_CONTRACT = Contract(
+    name="damaged_windows",
+    schema=WINDOW,
+    tested_not_null=STAGING_CONTRACT.tested_not_null,
+    key=("symbol", "window_start"),
+)
+
+
 def _contract_check(spark: SparkSession, folder: str) -> DataFrame:
     _, facts, summary, alerts = _relations(spark, folder)
     checks = [quality.contract_check(df, contract) for df, contract in (facts, summary, alerts)]
@@ -362,6 +382,11 @@ def registry() -> dict[str, Query]:
                 "symbol", volatility_regime(F.col("avg_volatility")).alias("volatility_regime")
             )
         ),
+        "window_regimes": _on_lake(
+            lambda w: w.groupBy(
+                "symbol", volatility_regime(F.col("volatility") / 1000).alias("volatility_regime")
+            ).agg(F.count(F.lit(1)).alias("windows"))
+        ),
         # session queries
         "session_summary": _on_lake(
             lambda w: asked.session_summary(w).orderBy(F.desc("avg_volatility"))
@@ -406,6 +431,7 @@ def registry() -> dict[str, Query]:
         # quality
         "dq_report": _dq_report,
         "contract_check": _contract_check,
+        "dq_damaged": _on_lake(lambda w: quality.contract_tests(_damaged(w), DAMAGED_CONTRACT)),
         # mirror
         "mirror_refresh": _mirror_refresh,
         "mirror_scan": _mirror_scan,
