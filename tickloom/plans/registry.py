@@ -264,7 +264,7 @@ def _docs(spark: SparkSession, folder: str) -> DataFrame:
 def _ingested(spark: SparkSession, folder: str):
     path = scratch_path(spark, "collection")
     model = retrieval.ingest_docs(_docs(spark, folder), path)
-    return model, spark.read.parquet(path)
+    return model, retrieval.read_collection(spark, path)
 
 
 def _ingest_docs(spark: SparkSession, folder: str) -> DataFrame:
