@@ -25,6 +25,8 @@ from tickloom.llm.pii import find_pii, learn_pii, redacted
 
 # A document goes if its most probable language is less probable than this.
 LEAST_SCORE = 0.3
+# Near copies share so much of their shingles of so many words: 4 of 5 at least.
+COPY_WORDS, COPY_ALIKE = 5, (4, 5)
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -41,7 +43,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Rows without a doc_id are in no group and stay.
     """
-    groups = similar_documents(docs)
+    groups = similar_documents(docs, COPY_WORDS, COPY_ALIKE)
     first = groups.where("doc_id = component_id").select("doc_id").distinct()
     kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return kept.union(docs.where("doc_id is null"))

@@ -3,7 +3,7 @@ import random
 import pytest
 
 import corpus_pipeline
-from llm_fixtures import SMALL
+from llm_fixtures import SMALL, documents  # noqa: F401
 from tickloom.llm.decontamination import words_of
 
 DOCUMENT = "doc_id long, text string, lang string, source string, n_chars long"
@@ -71,3 +71,37 @@ def test_each_stage_does_its_part_and_keeps_clean_documents(spark, planted):
     text = [r for r in docs.collect() if r.doc_id == 105]
     assert len(text) == 1 and (text[0].text.endswith("mail [EMAIL] now") or text[0].text.startswith("a repeated"))
     assert text[0].n_chars == len(text[0].text)
+
+
+def test_near_copies_are_those_of_five_words_and_four_fifths(spark, documents):
+    """Against brute force, with copies that 3 words and 0.9 would leave in."""
+    rng = random.Random(12)
+    rows = []
+    for group in range(25):
+        size = rng.choice([4, 9, 30, 60, 100, 100, 150, 400])
+        base = [f"g{group}w{i}" for i in range(size)]
+        rows.append(base)
+        for changes in (1, 2, 3, 4):
+            words = list(base)
+            for place in rng.sample(range(size), changes):
+                words[place] = f"x{rng.randrange(10**9)}"
+            rows.append(words)
+        rows.append(base[: size - size // 6])
+    rng.shuffle(rows)
+
+    def sets(words, k):
+        return {tuple(words[i : i + k]) for i in range(max(len(words) - k + 1, 1))}
+
+    def firsts(k, least):
+        found, label = [sets(w, k) for w in rows], list(range(len(rows)))
+        for a in range(len(rows)):
+            for b in range(a):
+                if len(found[a] & found[b]) >= least * len(found[a] | found[b]) - 1e-9 and label[a] != label[b]:
+                    low, high = sorted((label[a], label[b]))
+                    label = [low if x == high else x for x in label]
+        return set(label)
+
+    docs = documents(*[(i, " ".join(w)) for i, w in enumerate(rows)])
+    want = firsts(5, 0.8)
+    assert len(firsts(3, 0.9) - want) > 10
+    assert {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()} == want

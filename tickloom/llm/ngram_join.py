@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 from typing import NamedTuple
 
 import numpy as np
@@ -13,10 +14,9 @@ from pyspark.sql import functions as F
 from tickloom.llm.common import map_texts, store
 from tickloom.llm.components import components
 
+# What binds op8: two sets are alike if 10 * |A and B| >= 9 * |A or B|.
 SHINGLE_WORDS = 3
-# Two sets are alike if 10 * |A and B| >= 9 * |A or B|. Then |A xor B| <= (|A| + |B|) / 19.
 ALIKE = (9, 10)
-DIFFERENT = 19
 # Ratio of the ends of a size band.
 BAND = 1.5
 # Distinct words whose hashes a worker remembers before it starts anew.
@@ -69,28 +69,45 @@ class Band(NamedTuple):
         return self.different + 1 + self.spare
 
 
-def _bands() -> list[Band]:
-    first, out = 1, []
-    while first < 1 << 40:
-        following = max(first + 1, int(first * BAND))
-        different = 2 * (following - 1) // DIFFERENT
-        out.append(Band(first, different, 2 + different // 50))
-        first = following
-    return out
+class Likeness:
+    """Shingles of so many words, and how much of two sets must be shared for them to be alike.
+
+    With ``alike = (p, q)`` sets are alike if ``q * |A and B| >= p * |A or B|``. Then
+    ``(q + p) * |A xor B| <= (q - p) * (|A| + |B|)``.
+    """
+
+    def __init__(self, words: int = SHINGLE_WORDS, alike: tuple[int, int] = ALIKE):
+        if words < 1 or not 0 < alike[0] <= alike[1]:
+            raise ValueError(f"no likeness: {words} words, {alike[0]} of {alike[1]}")
+        self.words, self.alike = words, alike
+        self.differ = (alike[1] - alike[0], alike[1] + alike[0])
+
+    @cached_property
+    def bands(self) -> list[Band]:
+        first, out = 1, []
+        while first < 1 << 40:
+            following = max(first + 1, int(first * BAND))
+            different = 2 * (following - 1) * self.differ[0] // self.differ[1]
+            out.append(Band(first, different, 2 + different // 50))
+            first = following
+        return out
+
+    @cached_property
+    def firsts(self) -> np.ndarray:
+        return np.array([b.first for b in self.bands])
 
 
-BANDS = _bands()
-_FIRST = np.array([b.first for b in BANDS])
+OP8 = Likeness()
 
 
-def _block_keys(shingles: np.ndarray, number: int) -> np.ndarray:
+def _block_keys(shingles: np.ndarray, number: int, likeness: Likeness) -> np.ndarray:
     """A key per block of the parity sketch: equal keys mean equal band, block and parities.
 
     A shingle toggles one of 2**58 bits of its block, so the parities of a block are the few odd
     bits, written as the XOR of their hashes. Of alike sets, more blocks are the same than are
     spare: a set with no more empty blocks than that need not give the empty ones.
     """
-    band = BANDS[number]
+    band = likeness.bands[number]
     if not band.different:
         return np.empty(0, np.uint64)  # alike sets are equal there
     block = (shingles % _U(band.blocks)).astype(np.int64)
@@ -104,16 +121,18 @@ def _block_keys(shingles: np.ndarray, number: int) -> np.ndarray:
     return keys[block[starts]] if band.blocks - len(starts) <= band.spare else keys
 
 
-def block_keys(shingles: np.ndarray) -> np.ndarray:
-    """The keys of a set in its own band, and in the next one if an alike set may lie there."""
+def block_keys(shingles: np.ndarray, likeness: Likeness = OP8) -> np.ndarray:
+    """The keys of a set in its own band, and in each further one if an alike set may lie there."""
     n = len(shingles)
     if not n:
         return np.empty(0, np.uint64)
-    band = int(np.searchsorted(_FIRST, n, "right")) - 1
-    own = _block_keys(shingles, band)
-    if ALIKE[1] * n >= ALIKE[0] * BANDS[band + 1].first:
-        return np.concatenate((own, _block_keys(shingles, band + 1)))
-    return own
+    least, whole = likeness.alike
+    band = int(np.searchsorted(likeness.firsts, n, "right")) - 1
+    keys = [_block_keys(shingles, band, likeness)]
+    while band + 1 < len(likeness.bands) and whole * n >= least * likeness.bands[band + 1].first:
+        band += 1
+        keys.append(_block_keys(shingles, band, likeness))
+    return np.concatenate(keys)
 
 
 def set_id(shingles: np.ndarray) -> int:
@@ -129,15 +148,15 @@ def _parity_256(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def _sketcher():
+def _sketcher(likeness: Likeness):
     def work(batches: Iterator[list[bytes | None]]) -> Iterator[list[list]]:
         hash_of = _WordHashes().__getitem__
         with np.errstate(over="ignore"):
             for texts in batches:
                 columns: list[list] = [[], [], [], []]
                 for text in texts:
-                    s = shingle_set(text, hash_of)
-                    row = (len(s), set_id(s), _parity_256(s), block_keys(s).view(np.int64))
+                    s = shingle_set(text, hash_of, likeness.words)
+                    row = (len(s), set_id(s), _parity_256(s), block_keys(s, likeness).view(np.int64))
                     for column, value in zip(columns, row, strict=True):
                         column.append(value)
                 yield columns
@@ -145,35 +164,36 @@ def _sketcher():
     return work
 
 
-def _setter():
+def _setter(likeness: Likeness):
     def work(batches: Iterator[list[bytes | None]]) -> Iterator[list[list]]:
         hash_of = _WordHashes().__getitem__
         with np.errstate(over="ignore"):
             for texts in batches:
-                sets = [shingle_set(t, hash_of) for t in texts]
+                sets = [shingle_set(t, hash_of, likeness.words) for t in texts]
                 yield [[set_id(s) for s in sets], [s.view(np.int64) for s in sets]]
 
     return work
 
 
-def _may_be_alike(a: str, b: str) -> Column:
+def _may_be_alike(a: str, b: str, likeness: Likeness) -> Column:
     """Sizes and sketches allow it: the sketches' Hamming distance is at most |A xor B|."""
     n_a, n_b = F.col(f"{a}.n"), F.col(f"{b}.n")
     distance = sum(
         (F.bit_count(F.col(f"{a}.sketch")[i].bitwiseXOR(F.col(f"{b}.sketch")[i])) for i in range(4)),
         F.lit(0),
     )
-    sizes = F.greatest(n_a, n_b) * ALIKE[0] <= F.least(n_a, n_b) * ALIKE[1]
-    return sizes & (distance * DIFFERENT <= n_a + n_b)
+    sizes = F.greatest(n_a, n_b) * likeness.alike[0] <= F.least(n_a, n_b) * likeness.alike[1]
+    return sizes & (distance * likeness.differ[1] <= (n_a + n_b) * likeness.differ[0])
 
 
-def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _links(pairs: DataFrame, sets: DataFrame, likeness: Likeness) -> DataFrame:
     """The pairs ``(a, b)`` whose shingle sets are alike, by counting what they share."""
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("right"))
     shared = F.size(F.array_intersect("left", "right"))
     either = F.size("left") + F.size("right") - shared
-    return pairs.join(left, "a").join(right, "b").where(shared * ALIKE[1] >= either * ALIKE[0]).select("a", "b")
+    alike = shared * likeness.alike[1] >= either * likeness.alike[0]
+    return pairs.join(left, "a").join(right, "b").where(alike).select("a", "b")
 
 
 def _may_hold(ids: DataFrame, docs: DataFrame) -> DataFrame:
@@ -194,12 +214,14 @@ def _may_hold(ids: DataFrame, docs: DataFrame) -> DataFrame:
     return marked.where(F.getbit(byte.cast("bigint"), at % 8) == 1).select(*docs.columns)
 
 
-def similar_documents(docs: DataFrame) -> DataFrame:
+def similar_documents(
+    docs: DataFrame, words: int = SHINGLE_WORDS, alike: tuple[int, int] = ALIKE
+) -> DataFrame:
     """``(doc_id, n_shingles, component_id)``, one row per row of ``docs`` (``doc_id, text``).
 
-    Texts are compared as sets of 3-word shingles (A-Z lower-cased, words split at ASCII white
-    space; fewer words are one shingle). Two documents link when 10 times the shared shingles
-    reach 9 times the united ones. ``component_id`` is the smallest doc_id that links reach.
+    Texts are compared as sets of shingles of ``words`` words (A-Z lower-cased, words split at
+    ASCII white space; fewer words are one shingle). With ``alike = (p, q)`` two documents link
+    when q times the shared shingles reach p times the united ones. ``component_id`` is the smallest doc_id that links reach.
     Shingles and sets are told apart by 64-bit hashes.
 
     Null and empty texts have no shingles, link with nothing, and are their own component.
@@ -220,9 +242,10 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     4. Candidate pairs are verified on exact shingle sets; components come from distributed
        star contraction.
     """
+    likeness = Likeness(words, alike)
     kind = "n long, id long, sketch array<long>, keys array<long>"
     sketched = store(
-        map_texts(docs.select("doc_id", "text"), kind, _sketcher(), ["doc_id"]).select("doc.doc_id", "*").drop("doc"),
+        map_texts(docs.select("doc_id", "text"), kind, _sketcher(likeness), ["doc_id"]).select("doc.doc_id", "*").drop("doc"),
         "join-sketches",
     )
     held = sketched.where("n > 0 and doc_id is not null")
@@ -238,19 +261,19 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     readers = store(classes.join(ids, "id", "left_semi"), "join-readers")
     texts = _may_hold(readers.select(F.col("first_doc").alias("id")), docs.select("doc_id", "text"))
     with_text = texts.join(readers, F.col("doc_id") == F.col("first_doc")).select("id", "text")
-    sets = map_texts(with_text, "own_id long, shingles array<long>", _setter(), ["id"])
+    sets = map_texts(with_text, "own_id long, shingles array<long>", _setter(likeness), ["id"])
     sets = store(
         sets.where("doc.id = own_id").select("doc.id", "shingles").dropDuplicates(["id"]), "join-sets"
     )
 
     def verified(pairs: DataFrame) -> DataFrame:
-        return store(_links(pairs, sets), "join-links")
+        return store(_links(pairs, sets, likeness), "join-links")
 
     def allowed(pairs: DataFrame) -> DataFrame:
         a, b = facts.alias("fa"), facts.alias("fb")
         return (
             pairs.distinct().join(a, F.col("a") == F.col("fa.id")).join(b, F.col("b") == F.col("fb.id"))
-            .where(_may_be_alike("fa", "fb")).select("a", "b")
+            .where(_may_be_alike("fa", "fb", likeness)).select("a", "b")
         )
 
     links = verified(allowed(met.where("id > low").select(F.col("low").alias("a"), F.col("id").alias("b"))))
@@ -276,7 +299,7 @@ def similar_documents(docs: DataFrame) -> DataFrame:
             pairs = x.join(y, (
                 (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id"))
                 & (F.col("x.group") != F.col("y.group")) & (F.col("x.id") != F.col("x.low"))
-                & _may_be_alike("x", "y")
+                & _may_be_alike("x", "y", likeness)
             )).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
             new = verified(pairs.distinct())
         links = store(links.union(new), "join-links")
