@@ -64,6 +64,28 @@ def test_sample_leaves_out_held_and_unlabelled_documents(spark, documents):
     assert len(training_sample(docs, per_language=3)) == 7 and training_sample(docs, chars=2)[0][1] == b"te"
 
 
+def test_sample_is_bounded_and_not_filled_by_missing_or_repeated_ids(spark, documents, monkeypatch):
+    rows = [(None, f"no id {i}", "a", None) for i in range(400)] + [(i, f"text {i}", "a", None) for i in range(400)]
+    rows += [(i, "copy", "a", None) for i in range(1000, 1400)] + [(8, f"same id {i}", "b", None) for i in range(400)]
+    docs, collected = documents(*rows), []
+    assert docs.where(held_out(docs["doc_id"]) & (docs["doc_id"] == 8)).count() == 0
+    kind = type(docs)
+    collect = kind.collect
+
+    def counting(df):
+        found = collect(df)
+        collected.append(len(found))
+        return found
+
+    monkeypatch.setattr(kind, "collect", counting)
+    sample = training_sample(docs, per_language=100)
+    assert collected and max(collected) <= 200
+    assert len(sample) == len(set(sample)) == 200 and sum(lang == "a" for lang, _ in sample) == 100
+    without = sum(t.startswith(b"no id") for _, t in sample)
+    assert 30 < without < 85  # 400 of about 700 texts of the language
+    assert sample == training_sample(docs.repartition(7), per_language=100)
+
+
 def test_texts_without_letters_and_other_columns(spark, documents, model):
     long_word = "the" * 50_000
     rows = [(1, None, "en", "s"), (2, "", "en", "s"), (3, "123 !? 45", "en", "s"), (4, "漢字", "en", "s"),

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import map_texts
+from tickloom.operators.ordered import latest_per_key, newest_n_per_key
 
 UNDETERMINED = "und"
 # The training sample: documents of a language, and code points of each.
@@ -193,25 +194,20 @@ def training_sample(
 ) -> list[tuple[str, bytes]]:
     """Up to ``per_language`` labelled documents of each language, cut to ``chars`` code points.
 
-    Documents are taken in the order of a hash of their id. One count per language tells how
-    far in that order to read, so the driver gets a bounded number of rows, and no task
-    gathers a language.
+    Documents are taken in the order of a hash of their text, each text of a language once, so
+    that neither missing nor repeated ids fill the sample. The places in that order are cut to
+    ``per_language`` in every task and again after the shuffle; then the taken texts are cut to
+    one row each in the same way. The driver gets no more rows than that.
     """
     usable = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    place = (F.xxhash64("doc_id").bitwiseAND(0x7FFFFFFF) / 0x80000000).alias("place")
-    limit = F.lit(0.0)
-    for row in usable.groupBy("lang").count().collect():
-        share = (2 * per_language + 50) / row["count"]
-        limit = F.when(F.col("lang") == row["lang"], F.lit(share)).otherwise(limit)
-    rows = usable.select(place, "doc_id", "lang", F.substring("text", 1, chars).alias("text")).where(
-        F.col("place") < limit
-    ).collect()
-    taken: dict[str, list[bytes]] = {}
-    for row in sorted(rows, key=lambda r: (r.place, str(r.doc_id), r.lang, r.text)):
-        own = taken.setdefault(row.lang, [])
-        if len(own) < per_language:
-            own.append(row.text.encode())
-    return [(lang, text) for lang in sorted(taken) for text in taken[lang]]
+    placed = usable.select("lang", F.xxhash64("text").alias("place"), F.substring("text", 1, chars).alias("text"))
+    first = newest_n_per_key(placed.select("lang", "place").distinct(), "lang", ["place"], per_language, "number")
+    taken = F.lit(False)
+    for row in first.groupBy("lang").agg(F.min("place").alias("least")).collect():
+        taken = F.when(F.col("lang") == row["lang"], F.col("place") >= row["least"]).otherwise(taken)
+    rows = latest_per_key(placed.where(taken), ["lang", "place"], ["text"]).collect()
+    rows.sort(key=lambda r: (r.lang, -r.place))
+    return [(row.lang, row.text.encode()) for row in rows]
 
 
 def _identifier(model: LanguageModel):
