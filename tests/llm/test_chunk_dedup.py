@@ -2,7 +2,8 @@ import random
 
 import numpy as np
 
-from llm_fixtures import documents  # noqa: F401
+from llm_fixtures import SMALL, documents  # noqa: F401
+from tickloom.llm import chunk_dedup
 from tickloom.llm.chunk_dedup import LONGEST, REACH, chunk_ends, cut_repeats, gear_hashes, repeated_spans
 
 
@@ -77,3 +78,43 @@ def test_copies_nulls_repeats_and_cutting(spark, documents):
     assert long_text[100:900] not in cut[13]
     assert repeated_spans(docs.limit(0)).count() == 0
     assert repeated_spans(documents((1, "x" * 200_000))).count() <= 1
+
+
+def test_windows_of_equal_passages_meet_and_runs_take_few():
+    rng, powers = random.Random(5), chunk_dedup._Powers()
+    for words in (50, 51, 80):
+        for vocabulary in (2, 5, 5000):
+            for _ in range(60):
+                passage = " ".join(f"v{rng.randrange(vocabulary)}" for _ in range(words))
+                found = []
+                for _ in range(2):
+                    text = f"{prose(rng, rng.randrange(90))} {passage}  {prose(rng, rng.randrange(90))}".encode()
+                    at = text.index(passage.encode())
+                    starts, ends = chunk_dedup.window_places(as_bytes(text.decode()), powers)
+                    inside = (starts >= at) & (ends <= at + len(passage))
+                    found.append({text[a:b] for a, b in zip(starts[inside], ends[inside], strict=True)})
+                assert found[0] & found[1]
+    assert len(chunk_dedup.window_places(as_bytes("a " * 10_000), powers)[0]) < 500
+    assert len(chunk_dedup.window_places(as_bytes("a " * 49), powers)[0]) == 0
+
+
+def test_all_passages_of_51_words_of_the_table_are_found(spark, documents):
+    """Each in two documents of its own, between words that nothing else has."""
+    rng = random.Random(6)
+    texts = [r.text.split() for r in spark.read.parquet(f"{SMALL}/documents.parquet").orderBy("doc_id").collect() if r.text]
+    texts = [t for t in texts if len(t) >= 120 and len(set(t)) > len(t) / 3]
+    rows, passages = [], {}
+    for i in range(3000):
+        text = texts[i % len(texts)]
+        at = rng.randrange(len(text) - 51)
+        # A word of its own in the middle keeps one passage from repeating another.
+        passage = text[at : at + 51]
+        passage[25] = f"own{i}"
+        passages[3000 + i] = " ".join(passage)
+        rows += [(j, f"{prose(rng, 30)} {passages[3000 + i]} {prose(rng, 30)}") for j in (i, 3000 + i)]
+    spans = repeated_spans(documents(*rows)).where("doc_id >= 3000").collect()
+    assert {r.doc_id for r in spans} == set(passages)
+    text_of = dict(rows)
+    for r in spans:
+        part = text_of[r.doc_id][r.start : r.start + 40]
+        assert text_of[r.first_doc_id][r.first_start :].startswith(part[: r.end - r.start])

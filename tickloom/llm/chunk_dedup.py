@@ -17,11 +17,15 @@ REACH = 20
 LONGEST = 256
 # Neighbouring chunks that are compared as one.
 CHUNKS = 2
-# A repeated stretch counts if its chunks cover so many code points (about 20 words). Up to two
-# chunks of a passage lie across its ends, so passages of 50 words are found.
+# A repeated stretch counts if it covers so many code points (about 20 words), or a window below.
 LEAST = 120
+# Chunks across the ends of a passage are not shared, and any number of bytes may hold no end. So
+# windows of so many words are compared too: one at least of any FOUND_WORDS words that follow each other.
+WINDOW_WORDS, FOUND_WORDS = 24, 50
 
 _U = np.uint64
+# Digests of windows are never those of chunks.
+_WINDOW_SEED = 1
 # The gear: a fixed random number per byte.
 _GEAR = np.random.default_rng(20240229).integers(0, 1 << 63, 256, np.uint64) * _U(2) + _U(1)
 
@@ -89,9 +93,64 @@ def chunk_ends(data: np.ndarray) -> np.ndarray:
     return ends
 
 
+# Powers of an odd number, and of its inverse, modulo 2**64.
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+
+
+class _Powers:
+    """The first so many powers, made anew when a longer text needs more."""
+
+    def __init__(self) -> None:
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n:
+            size = max(n, 2 * len(self.up))
+            self.up, self.down = (
+                np.cumprod(np.array([1] + [b] * (size - 1), np.uint64), dtype=np.uint64) for b in (_BASE, _INVERSE)
+            )
+        return self.up[:n], self.down[:n]
+
+
+def window_places(data: np.ndarray, powers: _Powers) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends (exclusive) of the windows of ``WINDOW_WORDS`` words that are compared.
+
+    Words are split at ASCII white space. Of any ``FOUND_WORDS`` words in a row, a window with
+    the smallest hash among theirs is taken; of equal ones that which an earlier stretch of
+    words took, else the last. So equal stretches of that length have an equal window, and a
+    run of equal windows is taken only once in so many words.
+    """
+    none = np.empty(0, np.int64), np.empty(0, np.int64)
+    word = np.concatenate(([False], ~((data == 32) | ((data >= 9) & (data <= 13))), [False]))
+    starts, ends = np.flatnonzero(word[1:] & ~word[:-1]), np.flatnonzero(word[:-1] & ~word[1:])
+    if len(starts) < FOUND_WORDS:
+        return none
+    starts, ends = starts[: len(starts) - WINDOW_WORDS + 1], ends[WINDOW_WORDS - 1 :]
+    up, down = powers.of(len(data))
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_GEAR[data] * up, dtype=np.uint64)))
+    h = (total[ends] - total[starts]) * down[starts]
+    h = (h ^ (h >> _U(32))) * _U(0xD6E8FEB86659FD93)
+    h ^= h >> _U(32)
+    width = FOUND_WORDS - WINDOW_WORDS + 1
+    rows = np.lib.stride_tricks.sliding_window_view(h, width)
+    least = rows.min(axis=1)
+    last = (np.arange(len(rows)) + width - 1 - rows[:, ::-1].argmin(axis=1)).tolist()
+    # Where the least hash is another than one stretch of words before.
+    changes = [*(np.flatnonzero(least[1:] != least[:-1]) + 1).tolist(), len(rows)]
+    taken, at = [], 0
+    for change in changes:
+        while at < change:
+            taken.append(last[at])
+            at = last[at] + 1
+        at = change
+    taken = np.unique(np.array(taken, np.int64))
+    return starts[taken], ends[taken]
+
+
 def _chunker():
     def work(batches: Iterator[list[bytes | None]]) -> Iterator[list[list]]:
-        digest = xxhash.xxh3_64_intdigest
+        digest, powers = xxhash.xxh3_64_intdigest, _Powers()
         for texts in batches:
             digests, spans = [], []
             for text in texts:
@@ -102,11 +161,16 @@ def _chunker():
                     starts, stops = edges[:1], ends[-1:]
                 else:
                     starts, stops = edges[: len(ends) - CHUNKS + 1], edges[CHUNKS:]
+                from_, to = window_places(data, powers)
                 pairs = zip(starts.tolist(), stops.tolist(), strict=True)
-                found = np.fromiter((digest(text[a:b]) for a, b in pairs), np.uint64, len(starts))
+                windows = zip(from_.tolist(), to.tolist(), strict=True)
+                found = [digest(text[a:b]) for a, b in pairs]
+                found += [digest(text[a:b], _WINDOW_SEED) for a, b in windows]
+                starts, stops = np.concatenate((starts, from_)), np.concatenate((stops, to))
+                is_window = np.arange(len(starts)) >= len(starts) - len(from_)
                 place = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
-                digests.append(found.view(np.int64))
-                spans.append((place[starts] << 12) | (place[stops] - place[starts]))
+                digests.append(np.array(found, np.uint64).view(np.int64))
+                spans.append((place[starts] << 32) | (place[stops] - place[starts]) << 1 | is_window)
             yield [digests, spans]
 
     return work
@@ -117,16 +181,17 @@ def repeated_spans(docs: DataFrame, least: int = LEAST) -> DataFrame:
 
     Of all places of a stretch of text, the one in the smallest doc_id (null first), and there
     the earliest, is kept; a row per other place tells what to cut (code points, end
-    exclusive) and where the kept one is. Stretches are made of content-defined chunks, so
-    they may begin and end some words inside of what the documents share; those
-    covering less than ``least`` code points are left alone.
+    exclusive) and where the kept one is. Stretches are made of content-defined chunks and of
+    windows of 24 words, so they may begin and end some words inside of what the documents
+    share; those covering less than ``least`` code points and no window are left alone.
+    Any 50 words in a row (split at ASCII white space) that stood before have a window that did.
 
     Null and empty texts repeat nothing; a text shorter than two chunks is compared as a
     whole. A repeated row is the same document and repeats nothing; rows with one doc_id and
     different texts count as one document whose positions coincide. Other columns are left
     out. No document, no row.
 
-    The texts are read once; digests of neighbouring chunks meet in an aggregation that
+    The texts are read once; digests of neighbouring chunks and of windows meet in an aggregation that
     merges within the tasks first, so a passage in a third of all documents is one row a task.
     The places of the repeated digests come from an equi-join, which Spark splits where one
     digest has many places. Only then are places ordered, by document.
@@ -141,10 +206,11 @@ def repeated_spans(docs: DataFrame, least: int = LEAST) -> DataFrame:
     firsts = places.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     firsts = firsts.where(~F.col("first").eqNullSafe(F.col("last"))).select("digest", "first")
     again = places.join(firsts, "digest").where(~place.eqNullSafe(F.col("first"))).select(
-        "doc_id", F.shiftright("span", 12).alias("start"),
-        (F.shiftright("span", 12) + F.col("span").bitwiseAND(4095)).alias("end"),
+        "doc_id", F.shiftright("span", 32).alias("start"),
+        (F.shiftright("span", 32) + F.shiftright(F.col("span").bitwiseAND(0xFFFFFFFF), 1)).alias("end"),
+        F.col("span").bitwiseAND(1).alias("window"),
         F.col("first.doc_id").alias("first_doc_id"),
-        F.shiftright("first.span", 12).alias("first_start"),
+        F.shiftright("first.span", 32).alias("first_start"),
     )
     in_doc = Window.partitionBy("doc_id").orderBy("start", "end")
     before = F.max("end").over(in_doc.rowsBetween(Window.unboundedPreceding, -1))
@@ -152,11 +218,10 @@ def repeated_spans(docs: DataFrame, least: int = LEAST) -> DataFrame:
     stretches = again.withColumn("opens", opens).withColumn("stretch", F.sum("opens").over(in_doc))
     merged = stretches.groupBy("doc_id", "stretch").agg(
         F.min(F.struct("start", "end", "first_doc_id", "first_start")).alias("at"),
-        F.max("end").alias("end"),
-    )
-    return merged.select("doc_id", "at.start", "end", "at.first_doc_id", "at.first_start").where(
-        F.col("end") - F.col("start") >= least
+        F.max("end").alias("end"), F.max("window").alias("window"),
     )
+    counts = (F.col("end") - F.col("at.start") >= least) | (F.col("window") == 1)
+    return merged.where(counts).select("doc_id", "at.start", "end", "at.first_doc_id", "at.first_start")
 
 
 def cut_repeats(docs: DataFrame, spans: DataFrame) -> DataFrame:
