@@ -40,7 +40,7 @@ def test_query_matches_sql(spark, duck, name):
 
 
 def test_there_is_one_query_per_operator():
-    assert [int(n[2:].split("_")[0]) for n in registry()] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in registry()] == list(range(1, 14))
 
 
 def test_the_rest_imports_without_the_corpus_operators(tmp_path):

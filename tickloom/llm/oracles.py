@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tickloom.llm.divergence import LEAST_DOCS, SCALE, SMOOTHING, TOP
 from tickloom.llm.mixing import BAD, GOOD, SEED, UNLABELLED
 from tickloom.llm.url_filter import RULES
 
@@ -148,6 +149,39 @@ FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+_DIVERGENCE = f"""
+WITH d AS (
+    SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        regexp_extract_all({_lower("coalesce(text, '')")}, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w
+    FROM documents
+), t AS (SELECT doc, lang, source, unnest(w) AS term FROM d),
+kept AS (
+    SELECT lang, term, count(*) AS c FROM t GROUP BY lang, term HAVING count(DISTINCT doc) >= {LEAST_DOCS}
+), langs AS (SELECT lang, count(*) AS v, sum(c) AS n FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM d),
+counts AS (SELECT lang, source, term, count(*) AS c FROM t SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+sizes AS (
+    SELECT lang, source, coalesce(sum(c), 0) AS n FROM groups LEFT JOIN counts USING (lang, source) GROUP BY ALL
+), shares AS (
+    SELECT s.lang, s.source, k.term, coalesce(c.c, 0) AS c,
+        1 + {SCALE}::HUGEINT * (coalesce(c.c, 0) + {SMOOTHING}) // (s.n + {SMOOTHING} * l.v) AS p,
+        1 + {SCALE}::HUGEINT * (k.c + {SMOOTHING}) // (l.n + {SMOOTHING} * l.v) AS q
+    FROM sizes s JOIN kept k USING (lang) JOIN langs l USING (lang)
+        LEFT JOIN counts c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term
+), found AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(sum(abs(x.p - y.p)), 0)::BIGINT AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN shares x ON x.lang = a.lang AND x.source = a.source
+        LEFT JOIN shares y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+    GROUP BY ALL
+    UNION ALL
+    SELECT lang, source, 'term', term, (p - q)::BIGINT FROM shares WHERE c > 0 AND p > q
+)
+SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+FROM found QUALIFY part = 'pair' OR rank <= {TOP}
+"""
+
+
 def _fitting(column: str) -> str:
     ranked = sorted(RULES, key=lambda r: -len(r[1] + r[2]))
     cases = "".join(
@@ -219,4 +253,5 @@ def oracles() -> dict[str, str]:
         "op8_ngram_join": _JOIN,
         "op9_url_filter": _URLS,
         "op10_decontamination": _CONTAMINATION,
+        "op11_source_divergence": _DIVERGENCE,
     }

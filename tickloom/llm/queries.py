@@ -11,6 +11,7 @@ from tickloom.llm.chat import format_conversations
 from tickloom.llm.chunk_dedup import repeated_spans
 from tickloom.llm.common import table
 from tickloom.llm.decontamination import find_contamination
+from tickloom.llm.divergence import divergence_audit
 from tickloom.llm.fingerprints import fingerprint_edits
 from tickloom.llm.language_id import held_out, identify_languages, learn_languages, training_sample
 from tickloom.llm.mixing import mix_sources
@@ -18,6 +19,7 @@ from tickloom.llm.ngram_join import similar_documents
 from tickloom.llm.pii import KINDS, count_of, find_pii, learn_pii, written
 from tickloom.llm.token_counts import count_tokens, read_vocabulary
 from tickloom.llm.url_filter import judge_urls
+from tickloom.llm.whitening import whiten_embeddings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,6 +87,14 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence_audit(table(spark, folder, "documents"))
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whiten_embeddings(table(spark, folder, "embeddings"))
+
+
 def registry() -> dict[str, Query]:
     return {
         "op1_chat_format": op1_chat_format,
@@ -97,4 +107,6 @@ def registry() -> dict[str, Query]:
         "op8_ngram_join": op8_ngram_join,
         "op9_url_filter": op9_url_filter,
         "op10_decontamination": op10_decontamination,
+        "op11_source_divergence": op11_source_divergence,
+        "op12_whitening": op12_whitening,
     }
