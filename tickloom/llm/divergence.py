@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import store
+from tickloom.llm.common import store, terms_of
 
 # What binds op11: documents of a language that a kept term is in, counts added to each term,
 # shares written as whole numbers of 1 / SCALE, ranks of the terms.
@@ -25,20 +25,11 @@ MERGERS = 16
 # Terms that are held against the retained ones at a time.
 CHUNK = 512
 
-# A-Z to lower case; what is no ASCII letter, but ASCII, to a space. Bytes beyond ASCII stay.
-_TERM_BYTES = bytes(
-    b | 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
-)
 _COUNTED = "lang string, source string, term string, count long, docs long"
 _GROUP = ["lang", "source"]
 _STANDING = "lang string, source string, term string, count long, lang_count long"
 
 
-def terms_of(text: bytes) -> list[bytes]:
-    """Runs of ASCII letters and characters beyond ASCII, A-Z lower-cased."""
-    return text.translate(_TERM_BYTES).split()
-
-
 def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Occurrences and documents per group and term, as far as a task has room for them."""
     counts: dict[tuple, tuple[Counter, Counter]] = {}

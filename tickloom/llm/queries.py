@@ -18,6 +18,7 @@ from tickloom.llm.mixing import mix_sources
 from tickloom.llm.ngram_join import similar_documents
 from tickloom.llm.pii import KINDS, count_of, find_pii, learn_pii, written
 from tickloom.llm.token_counts import count_tokens, read_vocabulary
+from tickloom.llm.toxicity import learn_toxicity, score_toxicity
 from tickloom.llm.url_filter import judge_urls
 from tickloom.llm.whitening import whiten_embeddings
 
@@ -95,6 +96,12 @@ def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whiten_embeddings(table(spark, folder, "embeddings"))
 
 
+def op13_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = score_toxicity(docs, learn_toxicity(docs, table(spark, folder, "labels")), ["doc_id"])
+    return found.select("doc.doc_id", held_out(F.col("doc.doc_id")).alias("held_out"), "score", "predicted")
+
+
 def registry() -> dict[str, Query]:
     return {
         "op1_chat_format": op1_chat_format,
@@ -109,4 +116,5 @@ def registry() -> dict[str, Query]:
         "op10_decontamination": op10_decontamination,
         "op11_source_divergence": op11_source_divergence,
         "op12_whitening": op12_whitening,
+        "op13_toxicity": op13_toxicity,
     }

@@ -52,25 +52,31 @@ def secular_roots(d: np.ndarray, z: np.ndarray) -> tuple[np.ndarray, np.ndarray]
         second[m - 1] = max(m - 2, 0)
         p, s = poles[rows, second], squares[origin]
         x = (low + high) / 2
+        open_ = rows
         for _ in range(_ROUNDS):
-            terms = squares / (poles - x[:, None])
+            at, own_pole, own_p, own_s = x[open_], origin[open_], p[open_], s[open_]
+            terms = squares / (poles[open_] - at[:, None])
             value = 1 + terms.sum(axis=1)
-            low, high = np.where(value < 0, x, low), np.where(value < 0, high, x)
-            own = terms[rows, origin]
+            # Rounding of the sum hides the rest.
+            going = np.abs(value) > 4 * _EPS * (1 + np.abs(terms).sum(axis=1))
+            if not going.any():
+                break
+            open_, at, own_pole, own_p, own_s = (v[going] for v in (open_, at, own_pole, own_p, own_s))
+            terms, value = terms[going], value[going]
+            low[open_], high[open_] = np.where(value < 0, at, low[open_]), np.where(value < 0, high[open_], at)
+            here = np.arange(len(open_))
+            own = terms[here, own_pole]
             slopes = terms * terms / squares
-            rest, slope = value - own, slopes.sum(axis=1) - slopes[rows, origin]
-            away = p - x
+            rest, slope = value - own, slopes.sum(axis=1) - slopes[here, own_pole]
+            away = own_p - at
             a, b = rest - slope * away, slope * away * away
-            half = (a * p + s + b) / 2
-            root = np.sqrt(np.maximum(half * half - a * s * p, 0))
+            half = (a * own_p + own_s + b) / 2
+            root = np.sqrt(np.maximum(half * half - a * own_s * own_p, 0))
             q = half + np.where(half >= 0, root, -root)
-            first, other = s * p / q, q / a
-            new = np.where((first > low) & (first < high), first, other)
-            new = np.where((new > low) & (new < high), new, (low + high) / 2)
-            done = np.abs(new - x) <= 2 * _EPS * np.abs(new)
-            x = new
-            if done.all():
-                break
+            first, other = own_s * own_p / q, q / a
+            least, most = low[open_], high[open_]
+            new = np.where((first > least) & (first < most), first, other)
+            x[open_] = np.where((new > least) & (new < most), new, (least + most) / 2)
     return d[origin] + x, x[:, None] - poles
 
 
