@@ -154,4 +154,4 @@ def test_the_query_finds_toxic_documents(spark):
     assert len(got) == spark.read.parquet(f"{folder}/documents.parquet").count()
     told = [(r["predicted"], labels[r["doc_id"]]) for r in got if r["held_out"] and r["doc_id"] in labels]
     assert all(r["held_out"] == is_held_out(r["doc_id"]) for r in got)
-    assert np.mean([p for p, y in told if y]) > 0.9 and np.mean([p for p, y in told if not y]) < 0.03
+    assert np.mean([p for p, y in told if y]) > 0.8 and np.mean([p for p, y in told if not y]) < 0.03

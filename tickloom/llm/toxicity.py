@@ -28,8 +28,8 @@ NEAR = 0.05
 TOXIC_FROM = 0.3
 # One in so many examples calibrates and is no neighbour.
 CALIBRATES = 4
-# Terms of which chance may make so many seem to tell the labels apart.
-CHANCE = 1.0
+# How often chance may make a term of the vocabulary seem to tell the labels apart.
+CHANCE = 0.01
 # Examples are near copies if they agree in one of BANDS pairs of minimum hashes of five words.
 BANDS = 4
 # Distinct vectors whose scores a worker remembers.
@@ -191,7 +191,8 @@ class ToxicityModel:
         self.place = {w.encode(): i for i, w in enumerate(words)}
         self.words, self.idf, self.default = words, np.asarray(idf, float), default
         self.label_weights = np.asarray(weights, float)
-        own = [e for e in examples if e.terms]
+        # Alike examples side by side, so that a block's largest weights are near to those of each.
+        own = sorted((e for e in examples if e.terms), key=self._heaviest)
         self.labels = np.array([e.toxic for e in own], np.int64)
         self.ids = [e.doc_id for e in own]
         self.index = BlockMaxIndex([(e.terms, self._weighed(e.terms, e.counts)) for e in own], len(words))
@@ -209,6 +210,11 @@ class ToxicityModel:
     def _weighed(self, terms: list[int], counts: list[int]) -> np.ndarray:
         return (1 + np.log(counts)) * self.idf[terms]
 
+    def _heaviest(self, example: Example) -> list[int]:
+        """The terms by falling weight."""
+        order = np.argsort(-self._weighed(example.terms, example.counts), kind="stable")
+        return [example.terms[i] for i in order]
+
     def _vote(self, terms: list[int], counts: list[int]) -> tuple[float | None, list[tuple]]:
         """The share of label 1 among the neighbours, by nearness, and the nearest of them."""
         found, near = self.index.nearest(terms, self._weighed(terms, counts), NEIGHBOURS)
@@ -311,7 +317,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, keep: list[str] | None
 
     A text that is null, empty, or without any of the terms has no neighbour: its score is the
     share of toxic documents among such examples, or among all labelled texts if there is none, or 0
-    without labels. Equally near examples count by the hash of their text. Repeated documents
+    without labels. Equally near examples count in the order of their heaviest terms, then by the hash of their text. Repeated documents
     get equal rows; very long texts count whole. Other columns have no influence. No document,
     no row. Rows are streamed and nothing is shuffled.
     """
