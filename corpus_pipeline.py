@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import store, table
+from tickloom.llm.common import drop_stored, store, table
 from tickloom.llm.decontamination import find_contamination
 from tickloom.llm.language_id import (
     UNDETERMINED,
@@ -41,12 +41,19 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of similar documents the one with the smallest doc_id stays, once.
 
-    Rows without a doc_id are in no group and stay.
+    A row is known by its doc_id and text together: different texts with one doc_id, or without
+    any, are rows of their own, and equal rows are one. Of equal ids the text with the smaller
+    hash stays. Null and empty texts, and texts without words, are in no group and stay, once per
+    doc_id. Very long texts count whole, other columns have no influence, no document gives none.
     """
-    groups = similar_documents(docs, COPY_WORDS, COPY_ALIKE)
-    first = groups.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.union(docs.where("doc_id is null"))
+    row = F.xxhash64(docs["doc_id"], docs["text"])
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), row.alias("row"))
+    texts = rows.select(F.col("row").alias("doc_id"), F.col("doc.text").alias("text"))
+    groups = similar_documents(texts, COPY_WORDS, COPY_ALIKE).select(F.col("doc_id").alias("row"), "component_id")
+    ids = rows.select("row", F.col("doc.doc_id").alias("doc_id")).distinct()
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+    first = groups.distinct().join(ids, "row").groupBy("component_id").agg(F.min(order).alias("first"))
+    return rows.dropDuplicates(["row"]).join(first.select("first.row"), "row", "left_semi").select("doc.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -88,7 +95,11 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The mix; what a stage has stored goes when the next one is done."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = store(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+        if before:
+            drop_stored(before)
+        before = docs
     return docs
