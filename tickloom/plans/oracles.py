@@ -6,6 +6,9 @@ spelled out on decimals, because engines disagree on doubles that sit exactly ha
 
 from __future__ import annotations
 
+from tickloom.operators.nearest import BITS, STEPS, TABLES, hash_planes
+from tickloom.operators.retrieval import CONTEXT_SEPARATOR, HITS, NO_DATA_TEXT, SYSTEM_TEXT
+
 
 def _r(x: str, n: int) -> str:
     """``x`` rounded half away from zero to ``n`` decimals, as a double.
@@ -138,7 +141,7 @@ _CTES = {
         FROM lineitem""",
     "pnl": f"""
         SELECT event_type, symbol, shares, portfolio_id, ts,
-               {_r("shares * unit", 2)} AS notional,
+               {_r("unit", 2)} AS price, {_r("shares * unit", 2)} AS notional,
                p_retailprice AS avg_cost, CAST(p_size AS BIGINT) AS total_shares,
                {_r("(unit - p_retailprice) * p_size", 2)} AS unrealized_pnl,
                {_r("(unit / nullif(p_retailprice, 0) - 1) * 100", 2)} AS pnl_pct
@@ -264,6 +267,43 @@ def _with(final: str, *parts: str) -> str:
     return f"WITH {ctes}\n{final}" if ctes else final
 
 
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _near_vectors(width: int = 64) -> str:
+    """The same planes, buckets and probes; every query of the given vectors meets ``HITS`` at least."""
+    planes = hash_planes(width).tolist()
+    return f"""
+        WITH planes AS (
+            SELECT i // {BITS} AS tab, i % {BITS} AS bit, CAST(plane AS DOUBLE[]) AS plane
+            FROM (SELECT unnest(range({TABLES * BITS})) AS i, unnest({planes}) AS plane)
+        ), v AS (
+            SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e,
+                   [floor(CAST(c AS DOUBLE) * {STEPS}) FOR c IN embedding] AS x
+            FROM embeddings
+        ), codes AS (
+            SELECT vec_id, tab,
+                   CAST(sum(CASE WHEN list_dot_product(x, plane) >= 0 THEN 1 << bit ELSE 0 END) AS BIGINT) AS code
+            FROM v, planes GROUP BY vec_id, tab
+        ), asked AS (SELECT * FROM codes WHERE vec_id % 50 = 0),
+        probes AS (
+            SELECT vec_id, tab, code FROM asked
+            UNION ALL
+            SELECT vec_id, tab, xor(code, CAST(1 AS BIGINT) << b)
+            FROM asked, (SELECT unnest(range({BITS}))::INTEGER AS b)
+        ), pairs AS (
+            SELECT DISTINCT p.vec_id AS query_id, c.vec_id AS doc_id
+            FROM probes p JOIN codes c ON c.tab = p.tab AND c.code = p.code
+        ), scored AS (
+            SELECT query_id, doc_id, round(list_cosine_similarity(q.e, d.e), 9) AS score
+            FROM pairs JOIN v q ON q.vec_id = query_id JOIN v d ON d.vec_id = doc_id
+        )
+        SELECT query_id, doc_id, round(score, 6) AS score,
+               CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+        FROM scored QUALIFY rank <= {HITS}"""
+
+
 _WINDOW_COLUMNS = (
     "symbol, window_start, window_end, vwap, min_price, max_price, volatility, price_range, "
     "trade_count, total_volume"
@@ -569,6 +609,16 @@ def oracles() -> dict[str, str]:
                 ) ON symbol = p_partkey""",
             "trades",
         ),
+        "live_pnl": _with("SELECT * FROM pnl", "pnl"),
+        "live_portfolio_value": _with(
+            f"""SELECT count(*) AS positions,
+                       {_r("sum(coalesce(last_unit, p_retailprice) * p_size)", 2)} AS market_value
+                FROM part LEFT JOIN (
+                    SELECT symbol, last(unit ORDER BY ts, unit) AS last_unit
+                    FROM trades GROUP BY symbol
+                ) ON symbol = p_partkey""",
+            "trades",
+        ),
         "decode_ticks": _with("SELECT * FROM decoded", "decoded"),
         "quarantined_ticks": _with(
             """SELECT reject_reason, count(*) AS messages FROM decoded
@@ -642,6 +692,21 @@ def oracles() -> dict[str, str]:
                ) WHERE rank <= 5""",
             "centers",
         ),
+        "approximate_topk": _near_vectors(),
+        "prompt_texts": _with(
+            f"""SELECT query_id, question,
+                       CASE WHEN context IS NOT NULL THEN {_text(SYSTEM_TEXT)} END AS system_text,
+                       {_text("Documents:" + chr(10) * 2)} || context
+                       || {_text(chr(10) * 2 + "Question: ")} || question AS user_text,
+                       CASE WHEN context IS NULL THEN {_text(NO_DATA_TEXT)} END AS fallback
+                FROM (VALUES (1, 'click'), (2, 'no such symbol'), (3, '   '), (4, 'purchase')) q(query_id, question)
+                LEFT JOIN (
+                    SELECT symbol, string_agg(text, {_text(CONTEXT_SEPARATOR)} ORDER BY id) AS context
+                    FROM docs GROUP BY symbol
+                ) ON symbol = question
+                WHERE trim(question) <> ''""",
+            "docs",
+        ),
         "tag_risk_tokens": _TOKENS.format(id="doc_id", source="documents"),
         "tag_document_tokens": _with(_TOKENS.format(id="id", source="docs"), "docs"),
         "stream_quarantine": _with(
@@ -658,6 +723,12 @@ def oracles() -> dict[str, str]:
         ),
         "rebuilt_windows": _with(f"SELECT {w} FROM rebuilt", "rebuilt"),
         "stream_windows": _with(f"SELECT {w} FROM closed", "closed"),
+        "stream_lake": _with(
+            f"SELECT {w}, strftime(window_start, '%Y-%m-%d') AS date FROM closed", "closed"
+        ),
+        "stored_highs": _with("SELECT symbol, max(vwap) AS vwap_high FROM windows GROUP BY symbol", "windows"),
+        "mart_tables": _with("SELECT * FROM facts", "facts"),
+        "table_lake": _with(_scan_summary(), "windows"),
         "stream_alerts": _with(
             f"SELECT {w}, alert_type, session_high, drawdown_pct FROM closed", "closed"
         ),

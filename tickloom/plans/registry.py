@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.functions.risk import volatility_regime
 from tickloom.operators import dashboard, documents, models, positions, quality, retrieval
 from tickloom.operators import session_queries as asked
+from tickloom.operators.nearest import approximate_topk
 from tickloom.operators.windows import vwap_windows, window_open_close
-from tickloom.plans.marts import serve_portfolio
+from tickloom.plans.marts import build_mart_tables, read_marts, serve_portfolio
 from tickloom.plans.workspace import Workspace
 from tickloom.schemas import (
     ALERT_CONTRACT,
@@ -25,9 +26,9 @@ from tickloom.schemas import (
 )
 from tickloom.session import prepare, scratch_path, store
 from tickloom.sources import inputs, lake, mirror, ticks
-from tickloom.streaming import archive
+from tickloom.streaming import archive, live
 from tickloom.streaming.drawdown import stream_drawdown
-from tickloom.streaming.sinks import replay, start
+from tickloom.streaming.sinks import file_writer, lake_writer, replay, start
 from tickloom.streaming.windows import stream_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +42,10 @@ QUESTIONS = (
 )
 
 
+# Symbols asked for; the documents grow with the input.
+SYMBOLS_ASKED = ((1, "click"), (2, "no such symbol"), (3, "   "), (4, "purchase"))
+
+
 def naive(df: DataFrame) -> DataFrame:
     """Timestamps as UTC wall clock, the form the SQL check compares."""
     return df.select(
@@ -171,8 +176,7 @@ def _pnl(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _decode_events(spark: SparkSession, folder: str) -> DataFrame:
-    decoded = ticks.decode_events(ticks.encode_events(_pnl(spark, folder)))
-    return naive(decoded.drop("price"))
+    return naive(ticks.decode_events(ticks.encode_events(_pnl(spark, folder))))
 
 
 def _portfolio_value(spark: SparkSession, folder: str) -> DataFrame:
@@ -181,6 +185,49 @@ def _portfolio_value(spark: SparkSession, folder: str) -> DataFrame:
     return positions.portfolio_value(trades, inputs.part_positions(spark, folder))
 
 
+def _live_pnl(spark: SparkSession, folder: str) -> DataFrame:
+    """The trades as a stream; each batch meets the positions as they are read then."""
+    spark = prepare(spark)
+    path, state = scratch_path(spark, "live-pnl"), scratch_path(spark, "live-pnl-state")
+    stream = inputs.lineitem_trade_stream(spark, folder)
+    writer = live.live_pnl_writer(stream, lambda: inputs.part_positions(spark, folder), path, state)
+    start(writer, once=True).awaitTermination()
+    return naive(live.published(spark, path, _pnl(spark, folder).schema).drop(live.BATCH))
+
+
+def _live_portfolio_value(spark: SparkSession, folder: str) -> DataFrame:
+    spark = prepare(spark)
+    path, state = scratch_path(spark, "live-prices"), scratch_path(spark, "live-prices-state")
+    stream = inputs.lineitem_trade_stream(spark, folder)
+    start(live.live_prices_writer(stream, path, state), once=True).awaitTermination()
+    return live.live_portfolio_value(spark, path, inputs.part_positions(spark, folder))
+
+
+# --- catalog ----------------------------------------------------------------------------
+
+
+def _database(spark: SparkSession) -> str:
+    """A database of this call, whose tables lie in the shared folder."""
+    path = scratch_path(prepare(spark), "catalog")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{path}'")
+    return name
+
+
+def _mart_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """Marts published as catalog tables, and read back by name."""
+    database = _database(spark)
+    build_mart_tables(Workspace(spark, folder).lake(), database)
+    return naive(read_marts(spark, database).facts)
+
+
+def _table_lake(spark: SparkSession, folder: str) -> DataFrame:
+    """The lake behind a table name."""
+    table = f"{_database(spark)}.lake"
+    Workspace(spark, folder).lake().write.partitionBy("date").saveAsTable(table)
+    return naive(asked.scan_summary(lake.load_lake(spark, "table", table)))
+
+
 # --- quality ----------------------------------------------------------------------------
 
 
@@ -296,6 +343,24 @@ def _topk_cosine(spark: SparkSession, folder: str) -> DataFrame:
     return hits.withColumn("score", F.round("score", 6))
 
 
+def _approximate_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector whose id is divisible by 50, against all vectors."""
+    docs = inputs.table(spark, folder, "embeddings").withColumnRenamed("vec_id", "doc_id")
+    queries = docs.filter("doc_id % 50 = 0").withColumnRenamed("doc_id", "query_id")
+    return approximate_topk(queries, docs).withColumn("score", F.round("score", 6))
+
+
+def _prompt_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Prompts over the documents of the symbol that is asked for; one question has none, one is empty."""
+    questions = spark.createDataFrame(list(SYMBOLS_ASKED), "query_id bigint, question string")
+    docs = _docs(spark, folder).withColumnRenamed("id", "doc_id")
+    by_id = Window.partitionBy("query_id").orderBy("doc_id")
+    hits = questions.join(docs, F.col("question") == F.col("symbol")).select(
+        "query_id", "doc_id", F.row_number().over(by_id).alias("rank")
+    )
+    return retrieval.build_prompts(questions, hits.filter(F.col("rank") <= retrieval.HITS), docs)
+
+
 def _tag_risk_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return documents.tag_risk_tokens(inputs.table(spark, folder, "documents"), "doc_id")
 
@@ -348,7 +413,7 @@ def _rebuilt_windows(spark: SparkSession, folder: str) -> DataFrame:
     """All days built anew from the archive: no tick is too late for that."""
     path, schema = _archived(spark, folder)
     target = scratch_path(spark, "rebuilt")
-    archive.rebuild_days(spark, path, schema, target, "2000-01-01", "2100-01-01")
+    archive.rebuild_days(spark, path, schema, target, *archive.archived_range(spark, path, schema))
     return naive(lake.lake_scan(spark, target).drop("date"))
 
 
@@ -357,6 +422,23 @@ def _stream_alerts(spark: SparkSession, folder: str) -> DataFrame:
     return naive(replay(stream_drawdown(stream), "stream-alerts"))
 
 
+def _stream_lake(spark: SparkSession, folder: str) -> DataFrame:
+    """Closed windows as the stream writes them into the lake, read back."""
+    stream = stream_windows(inputs.event_tick_stream(prepare(spark), folder))
+    path, state = scratch_path(spark, "stream-lake"), scratch_path(spark, "stream-lake-state")
+    start(lake_writer(stream, path, state), once=True).awaitTermination()
+    return naive(_scanned(lake.lake_scan(spark, path)))
+
+
+def _stored_highs(spark: SparkSession, folder: str) -> DataFrame:
+    """Session highs out of the state of a stream over the lake."""
+    workspace = Workspace(spark, folder)
+    path, state = scratch_path(spark, "tracked"), scratch_path(spark, "tracked-state")
+    tracked = stream_drawdown(lake.lake_stream(spark, workspace.lake_path()))
+    start(file_writer(tracked, path, state), once=True).awaitTermination()
+    return live.stored_highs(spark, state)
+
+
 def registry() -> dict[str, Query]:
     return {
         # windows
@@ -419,8 +501,10 @@ def registry() -> dict[str, Query]:
             )
         ),
         # positions
-        "position_pnl": lambda spark, folder: naive(_pnl(spark, folder).drop("price")),
+        "position_pnl": lambda spark, folder: naive(_pnl(spark, folder)),
         "portfolio_value": _portfolio_value,
+        "live_pnl": _live_pnl,
+        "live_portfolio_value": _live_portfolio_value,
         # messages
         "decode_ticks": _decode_ticks,
         "quarantined_ticks": _quarantine,
@@ -432,6 +516,9 @@ def registry() -> dict[str, Query]:
         "dq_report": _dq_report,
         "contract_check": _contract_check,
         "dq_damaged": _on_lake(lambda w: quality.contract_tests(_damaged(w), DAMAGED_CONTRACT)),
+        # catalog
+        "mart_tables": _mart_tables,
+        "table_lake": _table_lake,
         # mirror
         "mirror_refresh": _mirror_refresh,
         "mirror_scan": _mirror_scan,
@@ -440,6 +527,8 @@ def registry() -> dict[str, Query]:
         "render_docs": _docs,
         "ingest_docs": _ingest_docs,
         "topk_cosine": _topk_cosine,
+        "approximate_topk": _approximate_topk,
+        "prompt_texts": _prompt_texts,
         "build_prompts": _build_prompts,
         "tag_risk_tokens": _tag_risk_tokens,
         "tag_document_tokens": _tag_document_tokens,
@@ -447,6 +536,8 @@ def registry() -> dict[str, Query]:
         # streams
         "stream_windows": _stream_windows,
         "stream_alerts": _stream_alerts,
+        "stream_lake": _stream_lake,
+        "stored_highs": _stored_highs,
         "stream_quarantine": _stream_quarantine,
         "rejected_messages": _rejected_messages,
         "rebuilt_windows": _rebuilt_windows,

@@ -25,12 +25,15 @@ def event_ticks(spark: SparkSession, folder: str) -> DataFrame:
     return ticks_of_events(table(spark, folder, "events"))
 
 
+def _file_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    schema = table(spark, folder, name).schema
+    files = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    return files.parquet(folder)
+
+
 def event_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The ``events`` table as a file stream."""
-    schema = table(spark, folder, "events").schema
-    return (
-        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
-    )
+    return _file_stream(spark, folder, "events")
 
 
 def event_tick_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -58,9 +61,9 @@ def part_positions(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def lineitem_trades(spark: SparkSession, folder: str) -> DataFrame:
-    """One trade event per line item, by part."""
-    return table(spark, folder, "lineitem").select(
+def trades_of_lines(lines: DataFrame) -> DataFrame:
+    """One trade event per line item, by part; batch or streaming."""
+    return lines.select(
         F.when(F.col("l_returnflag") == "R", "SELL").otherwise("BUY").alias("event_type"),
         F.col("l_partkey").alias("symbol"),
         F.col("l_quantity").cast("bigint").alias("shares"),
@@ -70,6 +73,15 @@ def lineitem_trades(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def lineitem_trades(spark: SparkSession, folder: str) -> DataFrame:
+    return trades_of_lines(table(spark, folder, "lineitem"))
+
+
+def lineitem_trade_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The same trades as a file stream."""
+    return trades_of_lines(_file_stream(spark, folder, "lineitem"))
+
+
 def event_messages(spark: SparkSession, folder: str) -> DataFrame:
     return messages_of_events(table(spark, folder, "events"))
 

@@ -50,6 +50,13 @@ def archived_ticks(spark: SparkSession, path: str, schema: T.StructType, first_d
     return rows.filter(days & ~F.col("rejected")).drop("rejected", "day", "reject_reason", "rejected_value")
 
 
+def archived_range(spark: SparkSession, path: str, schema: T.StructType) -> tuple[str, str]:
+    """The first and the last day of usable ticks, by the folders' names; ``NO_DAY`` twice without any."""
+    days = spark.read.schema(_with_partitions(schema)).parquet(path).filter("NOT rejected")
+    row = days.agg(F.min("day").alias("first"), F.max("day").alias("last")).first()
+    return (str(row["first"]), str(row["last"])) if row["first"] else (NO_DAY, NO_DAY)
+
+
 def quarantined(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The rejected messages with their text and reason."""
     rows = spark.read.schema(_with_partitions(schema)).parquet(path).filter("rejected")
