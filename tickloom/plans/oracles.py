@@ -723,6 +723,7 @@ def oracles() -> dict[str, str]:
         ),
         "rebuilt_windows": _with(f"SELECT {w} FROM rebuilt", "rebuilt"),
         "stream_windows": _with(f"SELECT {w} FROM closed", "closed"),
+        "stream_silent_windows": _with(f"SELECT {w} FROM windows", "windows"),
         "stream_lake": _with(
             f"SELECT {w}, strftime(window_start, '%Y-%m-%d') AS date FROM closed", "closed"
         ),

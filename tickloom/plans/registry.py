@@ -29,6 +29,7 @@ from tickloom.sources import inputs, lake, mirror, ticks
 from tickloom.streaming import archive, live
 from tickloom.streaming.drawdown import stream_drawdown
 from tickloom.streaming.sinks import file_writer, lake_writer, replay, start
+from tickloom.streaming.silent import replay_until_silent, stream_silent_windows
 from tickloom.streaming.windows import stream_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -430,6 +431,12 @@ def _stream_lake(spark: SparkSession, folder: str) -> DataFrame:
     return naive(_scanned(lake.lake_scan(spark, path)))
 
 
+def _stream_silent_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """All windows: the last ones close because their symbols fall silent."""
+    stream = stream_silent_windows(inputs.event_tick_stream(prepare(spark), folder), idle="5 seconds")
+    return naive(replay_until_silent(stream, "silent-windows", "5 seconds"))
+
+
 def _stored_highs(spark: SparkSession, folder: str) -> DataFrame:
     """Session highs out of the state of a stream over the lake."""
     workspace = Workspace(spark, folder)
@@ -536,6 +543,7 @@ def registry() -> dict[str, Query]:
         # streams
         "stream_windows": _stream_windows,
         "stream_alerts": _stream_alerts,
+        "stream_silent_windows": _stream_silent_windows,
         "stream_lake": _stream_lake,
         "stored_highs": _stored_highs,
         "stream_quarantine": _stream_quarantine,
