@@ -28,8 +28,8 @@ MAP_BITS = 1 << 23
 DEALT, PER_BUCKET, AT_ONCE = 1_000_000, 1_000_000, 4_000_000
 # Bytes of a block key besides its bucket.
 KEY_BYTES = 5
-# Shingle sets that a task remembers while it verifies pairs.
-SETS = 64
+# Shingles of the sets that a task remembers while it verifies pairs.
+SETS = 4_000_000
 
 _U = np.uint64
 _ONE = _U(1)
@@ -381,12 +381,16 @@ def _verifier(likeness: Likeness):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hash_of = _WordHashes().__getitem__
         known: dict[int, np.ndarray] = {}
+        held = 0
 
         def set_of(own: int, text: bytes) -> np.ndarray:
+            nonlocal held
             if own not in known:
-                if len(known) >= SETS:
+                if held >= SETS:
                     known.clear()
+                    held = 0
                 known[own] = shingle_set(text, hash_of, likeness.words)
+                held += len(known[own])
             return known[own]
 
         with np.errstate(over="ignore"):
