@@ -23,18 +23,31 @@ from tickloom.llm.mixing import mix_sources
 from tickloom.llm.ngram_join import similar_documents
 from tickloom.llm.pii import find_pii, learn_pii, redacted
 
-# A document goes if its most probable language is less probable than this.
-LEAST_SCORE = 0.3
+# A document goes if its most probable language is hardly more probable than chance makes it: by
+# less than this share of what is left above 1 / languages (0.3 with four languages).
+ABOVE_CHANCE = 1 / 15
 # Near copies share so much of their shingles of so many words: 4 of 5 at least.
 COPY_WORDS, COPY_ALIKE = 5, (4, 5)
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def least_score(languages: int) -> float:
+    """The largest of n mean probabilities is 1 / n at least, so what is unclear depends on n."""
+    chance = 1 / max(languages, 1)
+    return chance + ABOVE_CHANCE * (1 - chance)
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters, or of no clear language, go."""
-    found = identify_languages(docs, learn_languages(training_sample(docs)))
-    known = (F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_SCORE)
+    """Documents without letters, or of no clear language, go.
+
+    That takes null and empty texts, and all documents if none has a language to learn from.
+    Rows are judged each by its text alone: repeated rows, null ids and equal ids change
+    nothing, very long texts count whole, other columns come along.
+    """
+    model = learn_languages(training_sample(docs))
+    found = identify_languages(docs, model)
+    known = (F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least_score(len(model.languages)))
     return found.where(known).select("doc.*")
 
 
@@ -57,13 +70,22 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that benchmark passages contaminate go."""
+    """Documents that benchmark passages contaminate go.
+
+    Null and empty texts hold no passage and stay; rows are judged each by its text alone, so
+    repeated rows, null ids and equal ids change nothing. Very long texts are searched whole.
+    Without benchmark items every document stays. Other columns come along.
+    """
     found = find_contamination(docs, table(spark, sf_dir, "benchmark"))
     return found.where(~F.col("contaminated")).select("doc.*")
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data becomes ``[KIND]``; ``n_chars`` follows the text."""
+    """Personal data becomes ``[KIND]``; ``n_chars`` follows the text.
+
+    No row goes: null texts stay null, empty ones empty, repeated rows are redacted alike, whatever
+    their ids. Very long texts are read whole. Other columns come along unchanged.
+    """
     found = find_pii(docs, learn_pii(docs))
     text = redacted(F.col("doc.text"), F.col("spans"))
     return found.withColumn("clean", text).select(
@@ -77,7 +99,12 @@ def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What the mix takes: a row per document with a word taken, and how many words."""
+    """What the mix takes: a row per document with a word taken, and how many words.
+
+    Null and empty texts have no word and no row. A null source is a source, the last. Repeated
+    rows and null ids count each; of equal draws the smaller doc_id comes first. Columns other
+    than ``doc_id``, ``text`` and ``source`` have no influence; without documents there is no row.
+    """
     taken = mix_sources(docs, table(spark, sf_dir, "labels")).where("taken > 0")
     return taken.select("doc_id", "source", "size", "source_size", "target", "taken")
 
