@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tickloom.operators.dashboard import value_percentiles
-from tickloom.operators.ordered import latest_per_key, newest_n_per_key, rank_desc, running_max
+from tickloom.operators.ordered import latest_per_key, newest_n_per_key, positions, rank_desc, running_max
 
 START = datetime(2026, 1, 1)
 
@@ -125,3 +125,17 @@ def test_percentiles_skip_null_values_and_keep_the_null_group(spark):
     df = spark.createDataFrame(rows, "g string, v double")
     got = {r.g: (r.row_count, r.p50) for r in value_percentiles(df, "g", "v", (50,)).collect()}
     assert got == {"a": (2, 2.0), None: (2, 6.0)}
+
+
+def test_positions_are_those_of_one_sorted_list(spark):
+    rng = random.Random(8)
+    rows = [(f"s{rng.randrange(40)}", rng.choice([None, 1.0, 2.0, rng.random()]), i % 50) for i in range(4000)]
+    df = spark.createDataFrame(rows, "symbol string, value double, n long").repartition(9)
+    for parts in ("1", "8"):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", parts == "1")
+        got = positions(df, [("value", True), ("symbol", False)], "position").collect()
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        want = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[0], r[2]))
+        assert [r["position"] for r in sorted(got, key=lambda r: r["position"])] == list(range(1, 4001))
+        assert [tuple(r)[:3] for r in sorted(got, key=lambda r: r["position"])] == want
+    assert positions(df.limit(0), [("value", True)], "position").count() == 0

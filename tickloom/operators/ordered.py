@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.risk import utc_date
+from tickloom.session import store
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], newest: Sequence[str]) -> DataFrame:
@@ -113,3 +114,21 @@ def newest_n_per_key(df: DataFrame, key: str, newest: Sequence[str], n: int, out
     """The ``n`` newest rows per key, numbered from 1; each task keeps ``n`` before the shuffle."""
     recent = Window.partitionBy(key).orderBy(*[F.desc(c) for c in newest])
     return df.withColumn(out, F.row_number().over(recent)).filter(F.col(out) <= n)
+
+
+def positions(df: DataFrame, order: Sequence[tuple[str, bool]], out: str) -> DataFrame:
+    """``df`` with the place of each row in a global order, from 1; ``order`` is (column, descending).
+
+    Ties go by the remaining columns. Rows are dealt out by ranges of the order and stored; a row's
+    place is its number within its range and the rows of all ranges before. What one task
+    orders is a range, or one number per range. Nulls come first upwards and last downwards.
+    """
+    rest = [(c, False) for c in df.columns if c not in dict(order)]
+    keys = [F.desc(c) if down else F.asc(c) for c, down in (*order, *rest)]
+    ranged = store(df.repartitionByRange(*keys).withColumn("_range", F.spark_partition_id()), "positions")
+    counts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("_range").orderBy(*keys)
+    numbered = ranged.withColumn("_number", F.row_number().over(inside)).join(offsets, "_range")
+    return numbered.withColumn(out, F.col("_before") + F.col("_number")).select(*df.columns, out)

@@ -13,6 +13,7 @@ from tickloom.operators.models import (
     volatility_alerts,
     vwap_facts,
 )
+from tickloom.operators.ordered import positions
 from tickloom.operators.quality import enforce, require_unique
 from tickloom.schemas import (
     ALERT_CONTRACT,
@@ -109,6 +110,10 @@ def current_marts(spark: SparkSession, root: str) -> Marts:
     )
 
 
+SUMMARY_ORDER = (("avg_volatility", True), ("symbol", False))
+ALERT_ORDER = (("drawdown_pct", True), ("volatility", True), ("symbol", False))
+
+
 def serve_portfolio(summary: DataFrame, alerts: DataFrame) -> DataFrame:
     """Both marts as one JSON record per row, tagged with the list it belongs to.
 
@@ -123,3 +128,12 @@ def serve_portfolio(summary: DataFrame, alerts: DataFrame) -> DataFrame:
         )
 
     return records(summary, "portfolio").unionByName(records(alerts, "alerts"))
+
+
+def serve_in_order(summary: DataFrame, alerts: DataFrame) -> DataFrame:
+    """The records with their ``position`` in their list, as a column: files and joins keep no order."""
+    places = positions(summary, SUMMARY_ORDER, "position").select(F.lit("portfolio").alias("section"), "symbol", "position")
+    places = places.unionByName(
+        positions(alerts, ALERT_ORDER, "position").select(F.lit("alerts").alias("section"), "symbol", "position")
+    )
+    return serve_portfolio(summary, alerts).join(places, ["section", "symbol"])

@@ -678,6 +678,22 @@ def oracles() -> dict[str, str]:
             "summary",
             "alerts",
         ),
+        "serve_in_order": _with(
+            """SELECT 'portfolio' AS section, symbol,
+                      row_number() OVER (ORDER BY avg_volatility DESC NULLS LAST, symbol) AS position
+               FROM summary
+               UNION ALL
+               SELECT 'alerts', symbol, row_number() OVER (
+                   ORDER BY drawdown_pct DESC NULLS LAST, volatility DESC NULLS LAST, symbol) FROM alerts""",
+            "summary",
+            "alerts",
+        ),
+        "supplier_order": _with(
+            """SELECT symbol, alert_time, drawdown_pct, volatility, row_number() OVER (
+                   ORDER BY drawdown_pct DESC NULLS LAST, volatility DESC NULLS LAST, symbol) AS position
+               FROM daily_alerts""",
+            "daily_alerts",
+        ),
         "topk_cosine": _with(
             """SELECT query_id, doc_id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank
                FROM (

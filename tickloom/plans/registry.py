@@ -12,8 +12,9 @@ from tickloom.functions.risk import volatility_regime
 from tickloom.operators import dashboard, documents, models, positions, quality, retrieval
 from tickloom.operators import session_queries as asked
 from tickloom.operators.nearest import approximate_topk
+from tickloom.operators.ordered import positions as in_order
 from tickloom.operators.windows import vwap_windows, window_open_close
-from tickloom.plans.marts import build_mart_tables, read_marts, serve_portfolio
+from tickloom.plans.marts import ALERT_ORDER, build_mart_tables, read_marts, serve_in_order, serve_portfolio
 from tickloom.plans.workspace import Workspace
 from tickloom.schemas import (
     ALERT_CONTRACT,
@@ -540,6 +541,12 @@ def registry() -> dict[str, Query]:
         "tag_risk_tokens": _tag_risk_tokens,
         "tag_document_tokens": _tag_document_tokens,
         "serve_portfolio": _serve_portfolio,
+        "serve_in_order": _on_marts(
+            lambda m: serve_in_order(m.summary, m.alerts).select("section", "symbol", "position")
+        ),
+        "supplier_order": lambda spark, folder: in_order(
+            _supplier_alerts(spark, folder), ALERT_ORDER, "position"
+        ).select("symbol", "alert_time", "drawdown_pct", "volatility", "position"),
         # streams
         "stream_windows": _stream_windows,
         "stream_alerts": _stream_alerts,
