@@ -138,6 +138,15 @@ def test_topk_is_exact_for_any_blocks(vectors, blocks):
     assert got == brute_force(queries, vectors, 5)
 
 
+def test_blocks_follow_the_size_of_the_table(vectors):
+    width = vectors.selectExpr("sum(size(embedding)) * 8").first()[0]
+    assert retrieval.block_count(vectors, width) == 1 and retrieval.block_count(vectors, width // 3) >= 3
+    assert retrieval.block_count(vectors.filter("false")) == 1
+    queries = vectors.filter("doc_id < 6").withColumnRenamed("doc_id", "query_id")
+    small = {tuple(r) for r in retrieval.topk_cosine(queries, vectors, block_bytes=64).collect()}
+    assert small == {tuple(r) for r in retrieval.topk_cosine(queries, vectors).collect()}
+
+
 def test_topk_with_fewer_documents_than_k(vectors):
     queries = vectors.filter("doc_id = 1").withColumnRenamed("doc_id", "query_id")
     assert retrieval.topk_cosine(queries, vectors.filter("doc_id < 3")).count() == 3

@@ -139,7 +139,7 @@ def run_ask(spark: SparkSession, args: argparse.Namespace) -> None:
         asked_vectors = texts.withColumn("embedding", F.lit(None).cast("array<float>"))
     else:
         asked_vectors = vectorize(model, texts)
-    hits = topk_cosine(asked_vectors, stored, args.hits)
+    hits = topk_cosine(asked_vectors, stored, args.hits, args.query_blocks, args.doc_blocks)
     build_prompts(questions, hits, stored).write.mode("overwrite").json(args.out)
 
 
@@ -229,6 +229,8 @@ def parser() -> argparse.ArgumentParser:
         collection,
         ("--questions", needed),
         ("--hits", {"type": int, "default": 5}),
+        ("--query-blocks", {"type": int, "help": "by the number of questions, unless given"}),
+        ("--doc-blocks", {"type": int, "help": "by the size of the collection, unless given"}),
         out,
     )
     return top

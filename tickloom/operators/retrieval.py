@@ -32,6 +32,8 @@ SYSTEM_TEXT = (
 NO_DATA_TEXT = "The document collection is empty; the ingest job has to run first."
 # Queries scored at a time, which bounds the score matrix of a batch.
 QUERY_SLICE = 256
+# Bytes of vectors that one block of a search holds, on average.
+BLOCK_BYTES = 64 << 20
 
 
 def fit_vectorizer(docs: DataFrame, text: str = "text", width: int = DIMENSIONS) -> PipelineModel:
@@ -156,12 +158,19 @@ def unusable_vectors(vectors: DataFrame, vector: str = "embedding") -> DataFrame
     return vectors.withColumn("reason", reason).filter(F.col("reason").isNotNull())
 
 
+def block_count(vectors: DataFrame, block_bytes: int = BLOCK_BYTES) -> int:
+    """Blocks for the table's vectors, from their number and total width, as doubles."""
+    size = vectors.agg(F.sum(F.greatest(F.size("embedding"), F.lit(0)).cast("bigint") * 8)).first()[0]
+    return max(1, -(-(size or 0) // block_bytes))
+
+
 def topk_cosine(
     queries: DataFrame,
     docs: DataFrame,
     k: int = HITS,
-    query_blocks: int = 1,
+    query_blocks: int | None = None,
     doc_blocks: int | None = None,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """The ``k`` nearest documents by cosine for each query, exactly.
 
@@ -169,14 +178,17 @@ def topk_cosine(
     Vectors are compared with vectors of their own length; rows without a vector, or with a
     component that is no finite number, take no part (``unusable_vectors`` lists them).
 
-    Ids are hashed into ``query_blocks`` and ``doc_blocks`` (as many as the session shuffles
-    with, unless given); each pair of blocks meets in one task and emits ``k`` rows per query,
-    of which a small window picks the final ones. A task holds one block of either kind, so the
-    numbers of blocks follow the sizes of the tables. Documents are shuffled once per block
-    of queries, and queries once per block of documents.
+    Ids are hashed into ``query_blocks`` and ``doc_blocks``; each pair of blocks meets in one task
+    and emits ``k`` rows per query, of which a small window picks the final ones. A task holds
+    one block of either kind. Unless given, the numbers of blocks follow the tables' sizes, one
+    per ``block_bytes`` of vectors, and at least as many of documents as the session shuffles
+    with. Documents are shuffled once per block of queries, and queries once per block of documents.
     """
+    if query_blocks is None:
+        query_blocks = block_count(queries, block_bytes)
     if doc_blocks is None:
-        doc_blocks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        doc_blocks = max(partitions, block_count(docs, block_bytes))
     width = F.size("embedding")
     docs = docs.select("doc_id", "embedding").filter((width > 0) & _finite("embedding"))
     queries = queries.select("query_id", "embedding").filter((width > 0) & _finite("embedding"))
