@@ -48,4 +48,5 @@ def test_the_rest_imports_without_the_corpus_operators(tmp_path):
     shutil.copy(HERE / "__spark_entry__.py", tmp_path)
     program = "import __spark_entry__ as e; print(any(n.startswith('op') or n == 'pipeline' for n in e.queries()), len(e.oracle_sql()))"
     done = subprocess.run([sys.executable, "-c", program], cwd=tmp_path, capture_output=True, text=True, timeout=120)
-    assert done.stdout.startswith("False 5"), done.stderr[-1000:]
+    found, count = done.stdout.split() or ("", 0)
+    assert found == "False" and int(count) >= 58, done.stderr[-1000:]
