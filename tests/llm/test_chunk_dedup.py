@@ -118,3 +118,45 @@ def test_all_passages_of_51_words_of_the_table_are_found(spark, documents):
     for r in spans:
         part = text_of[r.doc_id][r.start : r.start + 40]
         assert text_of[r.first_doc_id][r.first_start :].startswith(part[: r.end - r.start])
+
+
+def test_documents_are_known_by_id_and_text(spark, documents):
+    rng = random.Random(7)
+    for doc_id in (None, 7):
+        shared, clean = prose(rng, 300), prose(rng, 300)
+        texts = [f"{prose(rng, 40)} {shared}", f"{shared} {prose(rng, 60)}", clean]
+        docs = documents(*[(doc_id, t) for t in texts], (doc_id, texts[0]), (1, ""), extra=True)
+        spans = repeated_spans(docs)
+        (span,) = spans.collect()
+        assert span.doc_id == span.first_doc_id == doc_id and span.text_hash != span.first_text_hash
+        cut = cut_repeats(docs, spans)
+        assert cut.columns == docs.columns
+        left = sorted(r.text for r in cut.collect())
+        assert len(left) == 5 and clean in left and sum(len(shared) > len(t) > 0 for t in left) in (1, 2)
+        # The kept place stays, the other one goes.
+        assert any(shared in t for t in left) and not all(shared in t for t in left if t not in ("", clean))
+
+
+def test_both_stretches_of_a_row_hold_the_same_text(spark, documents):
+    rng = random.Random(8)
+    x, y, z, w = (prose(rng, 120) for _ in range(4))
+    texts = {1: f"{x} {y}", 2: f"{y} {z}", 3: f"{x} {y} {z}", 4: f"{z} {w} {y}", 5: f"{y} {y}", 6: f"{w} {x}"}
+    docs = documents(*texts.items())
+    spans = repeated_spans(docs)
+    rows = spans.collect()
+    for r in rows:
+        first = texts[r.first_doc_id][r.first_start : r.first_start + r.end - r.start]
+        assert texts[r.doc_id][r.start : r.end] == first and len(first) == r.end - r.start
+    assert {(r.doc_id, r.first_doc_id) for r in rows} >= {(3, 1), (3, 2), (4, 2), (4, 1), (6, 4), (6, 1)}
+    left = {r.doc_id: r.text for r in cut_repeats(docs, spans).collect()}
+    assert left[1] == texts[1] and len(left[3]) < 150
+    assert all(part not in left[i] for i in (3, 4, 6) for part in (x[100:-100], y[100:-100]))
+
+
+def test_rows_of_the_table_hold_equal_texts(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    rows = repeated_spans(docs).collect()
+    assert rows
+    for r in rows:
+        assert texts[r.doc_id][r.start : r.end] == texts[r.first_doc_id][r.first_start : r.first_start + r.end - r.start]

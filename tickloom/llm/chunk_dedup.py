@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import map_texts, store
@@ -176,67 +176,106 @@ def _chunker():
     return work
 
 
-def repeated_spans(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """``(doc_id, start, end, first_doc_id, first_start)``: stretches that stood before.
+# A document is known by its id and its text together: ids may be null, or repeat.
+_DOC, _FIRST = ("doc_id", "text_hash"), ("first_doc_id", "first_text_hash")
+
+
+def _numbered(spans: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """``spans`` with the number of the stretch, of touching or overlapping spans of equal keys, that each is in."""
+    in_order = Window.partitionBy(*keys).orderBy("start", "end")
+    before = F.max("end").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.when(before.isNull() | (F.col("start") > before), 1).otherwise(0)
+    return spans.withColumn("opens", opens).withColumn(name, F.sum("opens").over(in_order)).drop("opens")
 
-    Of all places of a stretch of text, the one in the smallest doc_id (null first), and there
-    the earliest, is kept; a row per other place tells what to cut (code points, end
-    exclusive) and where the kept one is. Stretches are made of content-defined chunks and of
-    windows of 24 words, so they may begin and end some words inside of what the documents
-    share; those covering less than ``least`` code points and no window are left alone.
+
+def repeated_spans(docs: DataFrame, least: int = LEAST) -> DataFrame:
+    """``(doc_id, start, end, first_doc_id, first_start, text_hash, first_text_hash)``: what stood before.
+
+    Of all places of a stretch of text, the one in the smallest doc_id (null first), of equal ids in
+    the smaller hash of the text, and there the earliest, is kept; a row per other place tells
+    what to cut (code points, end exclusive) and where the kept one is. The two stretches of a row
+    hold the same text; where parts of a passage are kept in different documents there is a
+    row for each, and these may overlap. In a run, where like follows like within a document, the place
+    named is the one just before, so that a run is one row. Stretches are made of content-defined chunks and of windows
+    of 24 words, so they may begin and end some words inside of what the documents share; what covers,
+    with the stretches it touches, less than ``least`` code points and no window is left alone.
     Any 50 words in a row (split at ASCII white space) that stood before have a window that did.
 
     Null and empty texts repeat nothing; a text shorter than two chunks is compared as a
-    whole. A repeated row is the same document and repeats nothing; rows with one doc_id and
-    different texts count as one document whose positions coincide. Other columns are left
-    out. No document, no row.
+    whole. A document is known by its doc_id and text together: a repeated row, also one without
+    an id, is the same document and repeats nothing; different texts with one doc_id, or without
+    any, are documents of their own. Other columns are left out. No document, no row.
 
     The texts are read once; digests of neighbouring chunks and of windows meet in an aggregation that
     merges within the tasks first, so a passage in a third of all documents is one row a task.
     The places of the repeated digests come from an equi-join, which Spark splits where one
     digest has many places. Only then are places ordered, by document.
     """
-    chunks = map_texts(docs.select("doc_id", "text"), "digests array<long>, spans array<long>", _chunker(), ["doc_id"])
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    chunks = map_texts(texts, "digests array<long>, spans array<long>", _chunker(), list(_DOC))
     # Stored as short arrays, one row a document: the texts are not read again for the join.
-    chunks = store(chunks.select("doc.doc_id", "digests", "spans"), "chunks")
-    places = chunks.select("doc_id", F.explode(F.arrays_zip("digests", "spans")).alias("c")).select(
-        "doc_id", F.col("c.digests").alias("digest"), F.col("c.spans").alias("span")
+    chunks = store(chunks.select("doc.*", "digests", "spans"), "chunks")
+    places = chunks.select(*_DOC, F.explode(F.arrays_zip("digests", "spans")).alias("c")).select(
+        *_DOC, F.col("c.digests").alias("digest"), F.col("c.spans").alias("span")
     )
-    place = F.struct("doc_id", "span")
-    firsts = places.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    firsts = firsts.where(~F.col("first").eqNullSafe(F.col("last"))).select("digest", "first")
-    again = places.join(firsts, "digest").where(~place.eqNullSafe(F.col("first"))).select(
-        "doc_id", F.shiftright("span", 32).alias("start"),
+    place = F.struct(*_DOC, "span")
+    firsts = places.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+    again = places.join(firsts.where("n > 1").drop("n"), "digest").where(~place.eqNullSafe(F.col("first"))).select(
+        *_DOC, "digest", F.shiftright("span", 32).alias("start"),
         (F.shiftright("span", 32) + F.shiftright(F.col("span").bitwiseAND(0xFFFFFFFF), 1)).alias("end"),
         F.col("span").bitwiseAND(1).alias("window"),
-        F.col("first.doc_id").alias("first_doc_id"),
+        F.col("first.doc_id").alias("first_doc_id"), F.col("first.text_hash").alias("first_text_hash"),
         F.shiftright("first.span", 32).alias("first_start"),
     )
-    in_doc = Window.partitionBy("doc_id").orderBy("start", "end")
-    before = F.max("end").over(in_doc.rowsBetween(Window.unboundedPreceding, -1))
-    opens = F.when(before.isNull() | (F.col("start") > before), 1).otherwise(0)
-    stretches = again.withColumn("opens", opens).withColumn("stretch", F.sum("opens").over(in_doc))
-    merged = stretches.groupBy("doc_id", "stretch").agg(
-        F.min(F.struct("start", "end", "first_doc_id", "first_start")).alias("at"),
-        F.max("end").alias("end"), F.max("window").alias("window"),
+    # All that follows keeps to a document: one shuffle.
+    again = again.repartition(*_DOC)
+    inside = F.col("doc_id").eqNullSafe(F.col("first_doc_id")) & (F.col("text_hash") == F.col("first_text_hash"))
+    like = Window.partitionBy(*_DOC, "digest").orderBy("start")
+    before = F.coalesce(F.lag("start").over(like), "first_start")
+    in_run = inside & (F.col("start") - before <= F.col("end") - F.col("start"))
+    again = again.withColumn("shift", F.when(in_run, before).otherwise(F.col("first_start")) - F.col("start"))
+    # Spans kept at one distance in one document are one stretch there as well.
+    same = [*_DOC, *_FIRST, "shift"]
+    pieces = _numbered(again, same, "piece").groupBy(*same, "piece").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), F.max("window").alias("window")
+    )
+    whole = Window.partitionBy(*_DOC, "stretch")
+    size = F.max("end").over(whole) - F.min("start").over(whole)
+    judged = _numbered(pieces, list(_DOC), "stretch").withColumn(
+        "counts", (size >= least) | (F.max("window").over(whole) == 1)
+    )
+    return judged.where("counts").select(
+        "doc_id", "start", "end", "first_doc_id", (F.col("start") + F.col("shift")).alias("first_start"),
+        "text_hash", "first_text_hash",
     )
-    counts = (F.col("end") - F.col("at.start") >= least) | (F.col("window") == 1)
-    return merged.where(counts).select("doc_id", "at.start", "end", "at.first_doc_id", "at.first_start")
 
 
 def cut_repeats(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """``docs`` with the ``spans`` of ``repeated_spans`` cut out of ``text``."""
-    per_doc = spans.groupBy(F.col("doc_id").alias("span_doc_id")).agg(
-        F.array_sort(F.collect_list(F.struct("start", "end"))).alias("cuts")
+    """``docs`` with the ``spans`` of ``repeated_spans`` cut out of ``text``.
+
+    Spans are cut from the rows with their doc_id (null too) and text; overlapping ones are cut
+    once. All rows stay: null and empty texts as they are, a text that is cut whole becomes empty,
+    repeated rows are cut alike. Texts of any length are cut whole, other columns come along
+    under whatever names. No document, no row; without spans every text stays.
+    """
+    cuts = _numbered(spans.select(*_DOC, "start", "end"), list(_DOC), "stretch").groupBy(*_DOC, "stretch").agg(
+        F.min("start").alias("start"), F.max("end").alias("end")
     )
-    from_zero = F.concat(F.array(F.lit(0).cast("long")), F.transform("cuts", lambda c: c["end"]))
-    to_end = F.concat(
-        F.transform("cuts", lambda c: c["start"]), F.array(F.length("text").cast("long"))
+    per_doc = cuts.groupBy(*_DOC).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("cuts"))
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("doc")
+    rows = docs.select(row, docs["doc_id"], F.xxhash64(docs["text"]).alias("text_hash"))
+    known = rows["doc_id"].eqNullSafe(per_doc["doc_id"]) & (rows["text_hash"] == per_doc["text_hash"])
+    text = F.when(F.col("cuts").isNull(), F.col("doc.text")).otherwise(_without(F.col("doc.text"), F.col("cuts")))
+    return rows.join(per_doc, known, "left").select(
+        *[text.alias("text") if c == "text" else F.col(f"doc.`{c}`").alias(c) for c in docs.columns]
     )
+
+
+def _without(text: Column, cuts: Column) -> Column:
+    """``text`` without the ``cuts``, which are in order and apart."""
+    from_zero = F.concat(F.array(F.lit(0).cast("long")), F.transform(cuts, lambda c: c["end"]))
+    to_end = F.concat(F.transform(cuts, lambda c: c["start"]), F.array(F.length(text).cast("long")))
     pieces = F.zip_with(
-        from_zero, to_end,
-        lambda a, b: F.substring(F.col("text"), a.cast("int") + 1, (b - a).cast("int")),
+        from_zero, to_end, lambda a, b: F.substring(text, a.cast("int") + 1, (b - a).cast("int"))
     )
-    text = F.when(F.col("cuts").isNull(), F.col("text")).otherwise(F.array_join(pieces, ""))
-    joined = docs.join(per_doc, docs["doc_id"].eqNullSafe(per_doc["span_doc_id"]), "left")
-    return joined.select(*[text.alias("text") if c == "text" else docs[c] for c in docs.columns])
+    return F.array_join(pieces, "")
