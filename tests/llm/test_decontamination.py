@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from llm_fixtures import documents  # noqa: F401
-from tickloom.llm.decontamination import find_contamination, without_spans, words_of
+from tickloom.llm.decontamination import _blocks, find_contamination, without_spans, words_of
 
 PHRASE = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
 
@@ -39,6 +39,14 @@ def test_hits_equal_brute_force_for_any_shard_and_block(spark, documents):
         assert flags[3] and not flags[0] and not flags[8] and flags[9]
 
 
+def test_items_of_many_blocks_are_numbered_once(spark):
+    items = [(i, f"Alpha-{i} beta é{i}") for i in range(50)] + [(3, "Alpha-3 beta é3")] * 20 + [(None, "x"), (60, None)]
+    blocks, count = _blocks(spark.createDataFrame(items, "item_id long, text string"), 20)
+    rows = blocks.collect()
+    assert count == 10 and len(rows) == 50 and {r.block for r in rows} <= set(range(count))
+    assert all(r.n_words == len(words_of(bytes(r.text))) == 4 for r in rows)
+
+
 def test_empty_tables(spark, documents):
     bench = spark.createDataFrame([], "item_id long, text string")
     rows = find_contamination(documents((1, "a b")), bench).collect()

@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import map_texts
+from tickloom.llm.common import drop_stored, map_texts, store
 from tickloom.llm.fm_index import FmIndex
 
 WINDOW = 13
@@ -27,6 +27,8 @@ _KIND = (
 # Bytes of a word: digits, letters and all of UTF-8 beyond ASCII. Others separate words.
 _IS_WORD = [48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 or b >= 128 for b in range(256)]
 _FOLD = bytes((b + 32 if 65 <= b <= 90 else b) if _IS_WORD[b] else 32 for b in range(256))
+# The same as a pattern over code points.
+_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _IS_WORD_BYTE = np.array(_IS_WORD, np.int8)
 # Symbols of an index: its end, a run of words that no phrase holds, then the phrases' words.
 _OTHER = 1
@@ -170,19 +172,21 @@ def find_contamination(
 
     Each task indexes its documents in shards of ``shard_words`` words: a suffix order, its
     wavelet matrix for ranks, and sampled positions. All phrases are searched backwards in each
-    shard. Nothing is shuffled; memory follows the shard and not the table. Phrases go to
-    the tasks in blocks of ``block_words`` words; if there are more, each block is a pass of its
-    own over the rows, and spans and items of the passes are united.
+    shard. No document is shuffled; memory follows the shard and not the table. Phrases go to
+    the tasks in blocks of about ``block_words`` words, which are numbered by a hash of the item in a
+    stored table; the driver hands on one block at a time. If there are more, each block is a pass
+    of its own over the rows, stored before the next, and spans and items of the passes are united.
     """
     state = docs.select(
         F.struct(*[docs[c] for c in (docs.columns if keep is None else keep)]).alias("doc"), "text"
     )
-    blocks = _blocks(benchmark, block_words)
-    items, number = next(blocks), 0
-    while items is not None:
-        following = next(blocks, None)
+    blocks, count = _blocks(benchmark, block_words)
+    stored = None
+    for number in range(count):
+        items = [(r["item_id"], bytes(r["text"])) for r in blocks.where(F.col("block") == number).collect()]
+        more = number + 1 < count
         # Texts come back from the tasks only if another block needs them.
-        kept = ["doc", *(["items", "spans"] if number else []), *(["text"] if following else [])]
+        kept = ["doc", *(["items", "spans"] if number else []), *(["text"] if more else [])]
         found = map_texts(state, _KIND, _finder(Phrases(items, window), window, shard_words), kept)
         hit, ids, spans = F.col("n_hit"), F.col("items"), F.col("spans")
         if number:
@@ -190,28 +194,34 @@ def find_contamination(
             ids = F.array_sort(F.array_union("doc.items", "items"))
             hit = F.aggregate(spans, F.lit(0).cast("long"), lambda n, x: n + x["end_word"] - x["word"])
         state = found.select(
-            "doc.doc", *(["doc.text"] if following else []), "n_words", hit.alias("n_hit"),
+            "doc.doc", *(["doc.text"] if more else []), "n_words", hit.alias("n_hit"),
             ids.alias("items"), spans.alias("spans"),
         )
-        items, number = following, number + 1
+        if more:
+            state, before = store(state, "searched"), stored
+            if before:
+                drop_stored(before)
+            stored = state
     return state.withColumn(
         "contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * HIT_SHARE >= F.col("n_words"))
     )
 
 
-def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple[str, bytes]]]:
-    """The items in blocks of bounded size; the driver holds one at a time."""
-    block, size = [], 0
+def _blocks(benchmark: DataFrame, block_words: int) -> tuple[DataFrame, int]:
+    """``(item_id, text, block)`` of the distinct items, stored, and the number of blocks (1 at least)."""
     rows = benchmark.where("item_id is not null and text is not null").select(
-        F.col("item_id").cast("string"), F.col("text").cast("binary")
-    )
-    for item_id, text in rows.toLocalIterator():
-        block.append((item_id, bytes(text)))
-        size += len(words_of(block[-1][1]))
-        if size >= block_words:
-            yield block
-            block, size = [], 0
-    yield block
+        F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("binary").alias("text"),
+        F.regexp_count("text", F.lit(_WORD)).alias("n_words"),
+    ).distinct()
+    items = store(rows, "benchmark-items")
+    words = items.agg(F.sum("n_words")).first()[0] or 0
+    count = max(-(-words // block_words), 1)
+    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(count))
+    if count == 1:
+        return items.withColumn("block", block), 1
+    # Dealt by block and written in that order, so that a block is read from few row groups.
+    blocks = items.withColumn("block", block).repartition("block").sortWithinPartitions("block")
+    return store(blocks, "benchmark-blocks"), count
 
 
 def _united(left: Column, right: Column) -> Column:
