@@ -218,21 +218,22 @@ def repeated_spans(docs: DataFrame, least: int = LEAST) -> DataFrame:
     places = chunks.select(*_DOC, F.explode(F.arrays_zip("digests", "spans")).alias("c")).select(
         *_DOC, F.col("c.digests").alias("digest"), F.col("c.spans").alias("span")
     )
-    place = F.struct(*_DOC, "span")
+    # The length follows from the digest.
+    place = F.struct(*_DOC, F.shiftright("span", 32).alias("start"))
     firsts = places.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+    inside = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
     again = places.join(firsts.where("n > 1").drop("n"), "digest").where(~place.eqNullSafe(F.col("first"))).select(
-        *_DOC, "digest", F.shiftright("span", 32).alias("start"),
+        *_DOC, F.when(inside, F.col("digest")).alias("own_digest"), F.shiftright("span", 32).alias("start"),
         (F.shiftright("span", 32) + F.shiftright(F.col("span").bitwiseAND(0xFFFFFFFF), 1)).alias("end"),
         F.col("span").bitwiseAND(1).alias("window"),
         F.col("first.doc_id").alias("first_doc_id"), F.col("first.text_hash").alias("first_text_hash"),
-        F.shiftright("first.span", 32).alias("first_start"),
+        F.col("first.start").alias("first_start"),
     )
     # All that follows keeps to a document: one shuffle.
     again = again.repartition(*_DOC)
-    inside = F.col("doc_id").eqNullSafe(F.col("first_doc_id")) & (F.col("text_hash") == F.col("first_text_hash"))
-    like = Window.partitionBy(*_DOC, "digest").orderBy("start")
+    like = Window.partitionBy(*_DOC, "own_digest").orderBy("start")
     before = F.coalesce(F.lag("start").over(like), "first_start")
-    in_run = inside & (F.col("start") - before <= F.col("end") - F.col("start"))
+    in_run = F.col("own_digest").isNotNull() & (F.col("start") - before <= F.col("end") - F.col("start"))
     again = again.withColumn("shift", F.when(in_run, before).otherwise(F.col("first_start")) - F.col("start"))
     # Spans kept at one distance in one document are one stretch there as well.
     same = [*_DOC, *_FIRST, "shift"]
