@@ -1,3 +1,5 @@
+from collections import Counter
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -16,7 +18,7 @@ from tickloom.schemas import FACT_CONTRACT, STAGING_CONTRACT, SUMMARY_CONTRACT
 from tickloom.session import scratch_path, shared_root
 from tickloom.sources.lake import lake_scan, lake_union, load_lake, write_lake
 from tickloom.sources import versioned
-from tickloom.sources.mirror import mirror_log, mirror_parity, mirror_refresh, mirror_scan
+from tickloom.sources.mirror import mirror_log, mirror_parity, mirror_refresh, mirror_scan, unequal_buckets
 
 
 @pytest.fixture(scope="module")
@@ -141,6 +143,48 @@ def test_parity_counts_copies(spark):
     assert mirror_parity(one, two).first().asDict() == {"only_in_lake": 2, "only_in_mirror": 1}
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_equal_sides_shuffle_no_row(spark):
+    one = spark.createDataFrame([(f"S{i % 9}", float(i), i % 5) for i in range(1000)], MIRROR)
+    two = one.orderBy(F.desc("vwap")).select(*reversed(one.columns))
+    by = F.col("symbol")
+    assert unequal_buckets(one, two, by).isEmpty()
+    same, other = mirror_parity(one, two, by), mirror_parity(one, one.limit(999), by)
+    assert same.first().asDict() == {"only_in_lake": 0, "only_in_mirror": 0}
+    assert "Aggregate" not in plan_of(same) and "Aggregate" in plan_of(other)
+    assert other.first().asDict() == {"only_in_lake": 1, "only_in_mirror": 0}
+
+
+def test_differences_are_found_from_the_top(spark):
+    rows = [(f"S{i % 9}", float(i), i) for i in range(1000)]
+    one = spark.createDataFrame(rows, MIRROR)
+    # One value changed, one row missing, one row twice, in three parts.
+    other = [("S1", -1.0, 1), *rows[2:17], rows[17], *rows[17:500], *rows[501:], rows[0]]
+    two = spark.createDataFrame(other, MIRROR)
+    found = unequal_buckets(one, two, F.col("symbol"), 64).collect()
+    assert {r.part for r in found} == {"S1", "S8", f"S{500 % 9}"} and 3 <= len(found) <= 4
+    want = Counter(rows) - Counter(other), Counter(other) - Counter(rows)
+    for by in (None, F.col("symbol")):
+        got = mirror_parity(one, two, by).first()
+        assert tuple(got) == tuple(sum(w.values()) for w in want) == (2, 2)
+
+
+def test_parity_tells_nulls_apart_and_takes_empty_sides(spark):
+    schema = "a string, b string, part string"
+    one = spark.createDataFrame([("x", None, None), (None, "y", None), (None, None, "p")], schema)
+    two = spark.createDataFrame([(None, "x", None), (None, "y", None), (None, None, "p")], schema)
+    for by in (None, F.col("part")):
+        assert tuple(mirror_parity(one, two, by).first()) == (1, 1)
+        assert tuple(mirror_parity(one, two.limit(0), by).first()) == (3, 0)
+        assert tuple(mirror_parity(one.limit(0), two.limit(0), by).first()) == (0, 0)
+    nan = spark.createDataFrame([("A", float("nan"), 1), ("B", 0.0, 1)], MIRROR)
+    zero = spark.createDataFrame([("B", -0.0, 1), ("A", float("nan"), 1)], MIRROR)
+    assert tuple(mirror_parity(nan, zero).first()) == (0, 0)
+
+
 def test_empty_lake_is_refused(spark):
     empty = scratch_path(spark, "empty")
     spark.sparkContext._jvm.java.io.File(empty).mkdirs()

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.functions.risk import volatility_regime
+from tickloom.functions.risk import utc_date, volatility_regime
 from tickloom.operators import dashboard, documents, models, positions, quality, retrieval
 from tickloom.operators import session_queries as asked
 from tickloom.operators.nearest import approximate_topk
@@ -297,8 +297,9 @@ def _mirror_parity(spark: SparkSession, folder: str) -> DataFrame:
     windows, _, target = _mirror(spark, folder)
     windows = windows.drop("date")
     copy = mirror.mirror_scan(spark, target, Workspace(spark, folder).lake().schema).drop("date")
-    fresh = mirror.mirror_parity(windows, copy).withColumn("lake", F.lit("mirrored"))
-    grown = mirror.mirror_parity(_late_fragments(windows), copy)
+    day = utc_date(F.col("window_start"))
+    fresh = mirror.mirror_parity(windows, copy, day).withColumn("lake", F.lit("mirrored"))
+    grown = mirror.mirror_parity(_late_fragments(windows), copy, day)
     return fresh.unionByName(grown.withColumn("lake", F.lit("grown")))
 
 
