@@ -599,6 +599,14 @@ def oracles() -> dict[str, str]:
                 FROM ticks GROUP BY symbol""",
             "ticks",
         ),
+        "stored_percentiles": _with(
+            f"""SELECT symbol, count(*) AS row_count,
+                       {_r("quantile_cont(price, 0.5)", 6)} AS p50,
+                       {_r("quantile_cont(price, 0.95)", 6)} AS p95,
+                       {_r("quantile_cont(price, 0.99)", 6)} AS p99
+                FROM ticks GROUP BY symbol""",
+            "ticks",
+        ),
         "position_pnl": _with("SELECT * FROM pnl", "pnl"),
         "portfolio_value": _with(
             f"""SELECT count(*) AS positions,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.functions.risk import utc_date, volatility_regime
-from tickloom.operators import dashboard, documents, models, positions, quality, retrieval
+from tickloom.operators import dashboard, documents, models, percentiles, positions, quality, retrieval
 from tickloom.operators import session_queries as asked
 from tickloom.operators.nearest import approximate_topk
 from tickloom.operators.ordered import positions as in_order
@@ -162,6 +162,13 @@ def _normalize_ticks(spark: SparkSession, folder: str) -> DataFrame:
     return naive(normal.withColumn("conditions", F.size("conditions")))
 
 
+def _stored_percentiles(ticks: DataFrame) -> DataFrame:
+    """Percentiles per symbol from sketches kept per symbol and UTC day."""
+    sketches = store(percentiles.value_sketches(ticks, ["symbol", utc_date(F.col("ts")).alias("day")], "price"), "sketches")
+    found = percentiles.exact_percentiles(ticks, sketches, "symbol", "price")
+    return found.select("symbol", "row_count", *[F.round(p, 6).alias(p) for p in ("p50", "p95", "p99")])
+
+
 def _alert_messages(spark: SparkSession, folder: str) -> DataFrame:
     marked = models.stream_highs(Workspace(spark, folder).lake().drop("date"))
     message = F.from_json("value", ALERT_MESSAGE)
@@ -509,6 +516,7 @@ def registry() -> dict[str, Query]:
                 "symbol", "row_count", *[F.round(p, 6).alias(p) for p in ("p50", "p95", "p99")]
             )
         ),
+        "stored_percentiles": _on_ticks(_stored_percentiles),
         # positions
         "position_pnl": lambda spark, folder: naive(_pnl(spark, folder)),
         "portfolio_value": _portfolio_value,
