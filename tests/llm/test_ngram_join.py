@@ -1,9 +1,12 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from llm_fixtures import documents  # noqa: F401
+from tickloom.llm import ngram_join
+from tickloom.llm.common import python_batches, store
 from tickloom.llm.components import components
 from tickloom.llm.ngram_join import block_keys, shingle_set, similar_documents
 
@@ -85,6 +88,44 @@ def test_short_texts_are_one_shingle():
     assert len(shingle_set(None, hash_of)) == 0
 
 
+def test_python_tasks_get_and_give_small_batches(spark, documents, monkeypatch):
+    key, sizes = "spark.sql.execution.arrow.maxBytesPerBatch", {}
+
+    def noted(df, name):
+        sizes.setdefault(name, set()).add(df.sparkSession.conf.get(key))
+        return store(df, name)
+
+    before = spark.conf.get(key)
+    monkeypatch.setattr(ngram_join, "store", noted)
+    similar_documents(documents(*near_copies(3))).count()
+    for name in ("join-sketches", "join-keys", "join-texts", "join-links"):
+        assert str(ngram_join.BATCH_BYTES) in sizes[name]
+    assert sizes["join-texts"] == sizes["join-links"] == {str(ngram_join.BATCH_BYTES)}
+    assert spark.conf.get(key) == before
+
+    def lengths(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    rows = spark.range(0, 3000, 1, 1).selectExpr("repeat('x', 1000) AS text").mapInArrow(lengths, "n long")
+    with python_batches(spark, 100_000):
+        assert max(r.n for r in rows.collect()) < 200_000
+
+
+def test_what_has_met_is_given_in_parts(monkeypatch):
+    keys = np.arange(1000, dtype="<u8").view(np.uint8).reshape(-1, 8)[:, : ngram_join.KEY_BYTES].tobytes()
+    column = [pa.array([7, 7]), pa.array([np.array([i], "<i8").tobytes() for i in (1, 2)])]
+    column += [pa.array([np.array([1000], "<u4").tobytes()] * 2), pa.array([keys] * 2)]
+    dealt = pa.RecordBatch.from_arrays(column, ["bucket", "sets", "counts", "keys"])
+    # Of keys with the same holders one is given; in parts, each is.
+    monkeypatch.setattr(ngram_join, "AT_ONCE", 1000)
+    whole = pa.Table.from_batches(ngram_join._meeting([dealt])).to_pylist()
+    monkeypatch.setattr(ngram_join, "MET_ROWS", 64)
+    parts = list(ngram_join._meeting([dealt]))
+    assert max(p.num_rows for p in parts) <= 64
+    assert pa.Table.from_batches(parts).to_pylist() == whole and len(whole) == 2000
+
+
 def test_components_of_chains_stars_and_loops(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, i) for i in range(101, 130)] + [(7, 7), (200, 200), (None, 3)]
     df = spark.createDataFrame(edges + edges[:5], "a long, b long")

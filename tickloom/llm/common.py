@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import string
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,6 +45,25 @@ def drop_stored(df: DataFrame) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def python_batches(spark: SparkSession, size: int) -> Iterator[None]:
+    """Spark hands Python tasks about ``size`` bytes of rows at once in what is run inside.
+
+    Both ends hold a batch several times over, as buffers, Arrow arrays and Python objects, for
+    each task of an executor. The session's own size holds again afterwards.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with the value computed once per row, however often the body uses it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import drop_stored, map_texts, store
+from tickloom.llm.common import drop_stored, map_texts, python_batches, store
 from tickloom.llm.components import components
 
 # What binds op8: two sets are alike if 10 * |A and B| >= 9 * |A or B|.
@@ -30,6 +30,8 @@ DEALT, PER_BUCKET, AT_ONCE = 1_000_000, 1_000_000, 4_000_000
 KEY_BYTES = 5
 # Shingles of the sets that a task remembers while it verifies pairs.
 SETS = 4_000_000
+# Bytes that Python tasks get at once, and rows that they give at once of what has met.
+BATCH_BYTES, MET_ROWS = 4 << 20, 100_000
 
 _U = np.uint64
 _ONE = _U(1)
@@ -334,8 +336,9 @@ def _meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def given(bucket: _Bucket | None, last: bool) -> Iterator[pa.RecordBatch]:
         rows = bucket.met(last) if bucket else None
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(r, pa.int64()) for r in rows], names)
+        for start in range(0, len(rows[0]) if rows else 0, MET_ROWS):
+            part = [pa.array(r[start : start + MET_ROWS], pa.int64()) for r in rows]
+            yield pa.RecordBatch.from_arrays(part, names)
 
     bucket = None
     with np.errstate(over="ignore"):
@@ -415,6 +418,12 @@ def _links(pairs: DataFrame, texts: DataFrame, likeness: Likeness) -> DataFrame:
     return both.select("a", "b", "left", "right").mapInArrow(_verifier(likeness), "a long, b long")
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """``store`` for tables that Python tasks make from texts or packed keys."""
+    with python_batches(df.sparkSession, BATCH_BYTES):
+        return store(df, name)
+
+
 def _may_hold(ids: DataFrame, rows: DataFrame, column: str) -> DataFrame:
     """``rows`` without most whose ``column`` is not among ``ids`` (column ``id``); all others stay.
 
@@ -466,13 +475,13 @@ def similar_documents(
     likeness = Likeness(words, alike)
     docs = docs.select("doc_id", "text")
     kind = "n long, id long, sketch array<long>"
-    sketched = store(
+    sketched = _stored(
         map_texts(docs, kind, _sketcher(likeness), ["doc_id"]).select("doc.doc_id", "*").drop("doc"),
         "join-sketches",
     )
     held = sketched.where("n > 0 and doc_id is not null")
     shingles = held.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    met = store(_met(docs.where("doc_id is not null"), shingles, likeness), "join-keys")
+    met = _stored(_met(docs.where("doc_id is not null"), shingles, likeness), "join-keys")
 
     classes = held.groupBy("id").agg(F.min("doc_id").alias("first_doc"))
     ids = store(met.select("id").distinct(), "join-ids")
@@ -482,7 +491,7 @@ def similar_documents(
     readers = store(classes.join(ids, "id", "left_semi"), "join-readers")
     first_texts = _may_hold(readers.select(F.col("first_doc").alias("id")), docs, "doc_id")
     with_text = first_texts.join(readers, F.col("doc_id") == F.col("first_doc")).dropDuplicates(["doc_id", "id", "text"])
-    texts = store(
+    texts = _stored(
         with_text.select("id", F.col("text").cast("binary").alias("text"))
         .mapInArrow(_own_text(likeness), "id long, text binary").select("id", F.col("text").cast("string").alias("text")),
         "join-texts",
@@ -493,7 +502,7 @@ def similar_documents(
     def verified(pairs: DataFrame, before: DataFrame | None = None) -> DataFrame:
         asked = store(pairs, "join-pairs")
         new = _links(asked, texts, likeness)
-        links = store(before.union(new) if before else new, "join-links")
+        links = _stored(before.union(new) if before else new, "join-links")
         for table in (asked, before):
             if table:
                 drop_stored(table)
