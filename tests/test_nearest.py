@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tickloom.operators import nearest
 from tickloom.operators.nearest import approximate_topk, candidate_pairs, hash_planes, recall
 from tickloom.operators.retrieval import topk_cosine
 
@@ -72,6 +73,45 @@ def test_odd_vectors(spark):
     assert recall(approximate_topk(queries, none), topk_cosine(queries, none)).first()["recall"] is None
 
 
+def ranked(df):
+    return sorted((r.query_id, r["rank"], r.doc_id, r.score) for r in df.collect())
+
+
+def test_only_the_best_leave_a_bucket_and_parts_change_nothing(spark):
+    """Near vectors share their buckets; pairs used to leave them all, with both vectors."""
+    docs = frame(spark, clustered(2000, clusters=2)).repartition(4)
+    queries = every_50th(docs)
+    met = candidate_pairs(queries, docs).count()
+    rows = [t.withColumn("_row", F.monotonically_increasing_id()).localCheckpoint() for t in (queries, docs)]
+    left = nearest._met_best(*rows, 3, nearest.TABLES, nearest.BITS, nearest.SEED, nearest.BLOCK_BYTES)
+    assert left.count() <= 40 * 3 * nearest.TABLES * (nearest.BITS + 1) < met / 5
+    assert left.select("query_id", "doc_id").exceptAll(candidate_pairs(queries, docs)).count() == 0
+    whole = ranked(approximate_topk(queries, docs))
+    assert len(whole) == 200
+    assert ranked(approximate_topk(queries, docs, block_bytes=24 * 8 * 50)) == whole
+
+
+def test_repeated_ids_and_null_ids(spark):
+    rows = [(1, [1.0, 0.1]), (1, [1.0, 0.1]), (1, [-1.0, 0.1]), (2, [1.0, 0.2]), (None, [1.0, 0.3])]
+    queries = frame(spark, [(7, [1.0, 0.0])] * 2, "query_id")
+    got = ranked(approximate_topk(queries, frame(spark, rows), k=6))
+    # Each row of the query meets each row of an id that any row of it meets.
+    assert [(r, d) for _, r, d, _ in got] == [(1, 1), (2, 1), (3, 1), (4, 1), (5, 2), (6, 2)]
+
+
+@pytest.mark.parametrize("k", [1, 5, 300])
+def test_best_rows_equal_a_full_sort(monkeypatch, k):
+    monkeypatch.setattr(nearest, "QUERY_SLICE", 16)
+    monkeypatch.setattr(nearest, "DOC_SLICE", 64)
+    rng = np.random.default_rng(5)
+    queries, docs = rng.integers(-2, 3, (40, 3)).astype(float), rng.integers(-2, 3, (700, 3)).astype(float)
+    scores = np.round(queries @ docs.T, 9)
+    expected = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+    asked, found, values = (np.concatenate(c) for c in zip(*nearest._best_rows(queries, docs, k)))
+    assert (asked == np.repeat(np.arange(40), k)).all() and (found == expected.ravel()).all()
+    assert (values == np.take_along_axis(scores, expected, 1).ravel()).all()
+
+
 def test_planes_are_the_same_everywhere():
     assert (hash_planes(5, 2, 3) == hash_planes(5, 2, 3)).all() and set(hash_planes(64).ravel()) == {-1, 1}
 
