@@ -132,3 +132,46 @@ def test_components_of_chains_stars_and_loops(spark):
     got = {r.node: r.component for r in components(df).collect()}
     assert got == {i: 1 for i in range(1, 41)} | {i: 100 for i in range(100, 130)} | {200: 200}
     assert components(df.limit(0)).count() == 0
+
+
+def test_sketches_are_never_further_apart_than_sets():
+    rng = np.random.default_rng(5)
+    for likeness in (ngram_join.OP8, ngram_join.Likeness(5, (4, 5))):
+        for n in (1, 40, 900, 1500, 6000):
+            a = np.unique(rng.integers(0, 1 << 63, n, np.uint64))
+            b = np.unique(np.concatenate((a[n // 8 :], rng.integers(0, 1 << 63, n // 6, np.uint64))))
+            x, y = (ngram_join.parity_sketch(s, likeness) for s in (a, b))
+            short = min(len(x), len(y))
+            x, y = (np.bitwise_xor.reduce(s.reshape(-1, short), axis=0) for s in (x, y))
+            apart = len(np.setxor1d(a, b))
+            assert int(np.bitwise_count((x ^ y).view(np.uint64)).sum()) <= apart
+            fold = ngram_join._folded(x) ^ ngram_join._folded(y)
+            assert int(np.bitwise_count(fold.view(np.uint64)).sum()) <= apart
+
+
+@pytest.mark.parametrize("size", [300, 900, 3000])
+def test_families_below_the_threshold_are_not_verified_pairwise(spark, documents, monkeypatch, size):
+    """Any two edits of a text have a likeness of about 0.7, where 0.8 are asked for; one has a near copy."""
+    rng = random.Random(size)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(size)]
+    rows = []
+    for k in range(40):
+        words = list(base)
+        for place in rng.sample(range(size // 5), size // 50):
+            words[5 * place] = f"e{k}x{place}"
+        rows.append((k, " ".join(words)))
+    twin = rows[7][1].split()
+    twin[1] = "twin"
+    rows.append((99, " ".join(twin)))
+    asked = []
+
+    def noted(df, name):
+        kept = store(df, name)
+        if name == "join-pairs":
+            asked.append(kept.count())
+        return kept
+
+    monkeypatch.setattr(ngram_join, "store", noted)
+    got = {r.doc_id: r.component_id for r in similar_documents(documents(*rows), 5, (4, 5)).collect()}
+    assert got == {k: k for k in range(40)} | {99: 7}
+    assert sum(asked) <= 20

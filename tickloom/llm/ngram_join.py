@@ -30,6 +30,8 @@ DEALT, PER_BUCKET, AT_ONCE = 1_000_000, 1_000_000, 4_000_000
 KEY_BYTES = 5
 # Shingles of the sets that a task remembers while it verifies pairs.
 SETS = 4_000_000
+# Bits of a set's sketch: the least and the most, and at least so many for each shingle that may differ.
+LEAST_BITS, MOST_BITS, BITS_EACH = 1024, 1 << 24, 8
 # Bytes that Python tasks get at once, and rows that they give at once of what has met.
 BATCH_BYTES, MET_ROWS = 4 << 20, 100_000
 
@@ -159,20 +161,33 @@ def set_id(shingles: np.ndarray) -> int:
     return int(_mixed(both + _U(len(shingles))).view(np.int64)[0])
 
 
-def _parity_256(shingles: np.ndarray) -> np.ndarray:
-    odd = np.bincount(((shingles >> _U(40)) & _U(255)).astype(np.int64), minlength=256) & 1
+def parity_sketch(shingles: np.ndarray, likeness: Likeness = OP8) -> np.ndarray:
+    """The parities of how many shingles hit each bit, in words of 64; the larger the set, the more.
+
+    The number of bits is a power of two. The XOR of its halves is the sketch in half as many.
+    """
+    bits = LEAST_BITS
+    while bits < min(MOST_BITS, BITS_EACH * (2 * len(shingles) * likeness.differ[0] // likeness.differ[1])):
+        bits *= 2
+    odd = np.bincount(((shingles >> _U(40)) & _U(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def _folded(sketch: np.ndarray) -> np.ndarray:
+    """The same sketch in the least number of bits."""
+    return np.bitwise_xor.reduce(sketch.reshape(-1, LEAST_BITS // 64), axis=0)
+
+
 def _sketcher(likeness: Likeness):
     def work(batches: Iterator[list[bytes | None]]) -> Iterator[list[list]]:
         hash_of = _WordHashes().__getitem__
         with np.errstate(over="ignore"):
             for texts in batches:
-                columns: list[list] = [[], [], []]
+                columns: list[list] = [[], [], [], []]
                 for text in texts:
                     s = shingle_set(text, hash_of, likeness.words)
-                    row = (len(s), set_id(s), _parity_256(s))
+                    sketch = parity_sketch(s, likeness)
+                    row = (len(s), set_id(s), sketch, _folded(sketch))
                     for column, value in zip(columns, row, strict=True):
                         column.append(value)
                 yield columns
@@ -366,15 +381,41 @@ def _met(docs: DataFrame, shingles: int, likeness: Likeness) -> DataFrame:
     return by_bucket.mapInArrow(_meeting, "key long, id long, low long, high long")
 
 
+def _half(sketch: Column) -> Column:
+    """The same sketch in half as many bits."""
+    words = (F.size(sketch) / 2).cast("int")
+    return F.zip_with(
+        F.slice(sketch, F.lit(1), words), F.slice(sketch, words + 1, words), lambda x, y: x.bitwiseXOR(y)
+    )
+
+
 def _may_be_alike(a: str, b: str, likeness: Likeness) -> Column:
-    """Sizes and sketches allow it: the sketches' Hamming distance is at most |A xor B|."""
+    """Sizes and sketches allow it: the sketches' Hamming distance is at most |A xor B|.
+
+    The folded sketches are compared first, which is quick; of pairs that pass, sketches of as many
+    bits are, or the half of one that has twice the other's.
+    """
+    def distance(x: Column, y: Column) -> Column:
+        return F.aggregate(
+            F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda d, n: d + n
+        )
+
     n_a, n_b = F.col(f"{a}.n"), F.col(f"{b}.n")
-    distance = sum(
-        (F.bit_count(F.col(f"{a}.sketch")[i].bitwiseXOR(F.col(f"{b}.sketch")[i])) for i in range(4)),
+    x, y = F.col(f"{a}.sketch"), F.col(f"{b}.sketch")
+    folded = sum(
+        (F.bit_count(F.col(f"{a}.fold")[i].bitwiseXOR(F.col(f"{b}.fold")[i])) for i in range(LEAST_BITS // 64)),
         F.lit(0),
     )
+    apart = (
+        F.when((F.size(x) == F.size(y)) & (F.size(x) == LEAST_BITS // 64), 0)  # nothing is folded
+        .when(F.size(x) == F.size(y), distance(x, y))
+        .when(F.size(x) == 2 * F.size(y), distance(F.col(f"{a}.half"), y))
+        .when(F.size(y) == 2 * F.size(x), distance(x, F.col(f"{b}.half")))
+        .otherwise(0)
+    )
     sizes = F.greatest(n_a, n_b) * likeness.alike[0] <= F.least(n_a, n_b) * likeness.alike[1]
-    return sizes & (distance * likeness.differ[1] <= (n_a + n_b) * likeness.differ[0])
+    allowed = (n_a + n_b) * likeness.differ[0]
+    return sizes & (folded * likeness.differ[1] <= allowed) & (apart * likeness.differ[1] <= allowed)
 
 
 def _verifier(likeness: Likeness):
@@ -474,7 +515,7 @@ def similar_documents(
     """
     likeness = Likeness(words, alike)
     docs = docs.select("doc_id", "text")
-    kind = "n long, id long, sketch array<long>"
+    kind = "n long, id long, sketch array<long>, fold array<long>"
     sketched = _stored(
         map_texts(docs, kind, _sketcher(likeness), ["doc_id"]).select("doc.doc_id", "*").drop("doc"),
         "join-sketches",
@@ -486,7 +527,8 @@ def similar_documents(
     classes = held.groupBy("id").agg(F.min("doc_id").alias("first_doc"))
     ids = store(met.select("id").distinct(), "join-ids")
     facts = store(
-        held.select("id", "n", "sketch").join(ids, "id", "left_semi").dropDuplicates(["id"]), "join-facts"
+        held.select("id", "n", "sketch", "fold").join(ids, "id", "left_semi").dropDuplicates(["id"])
+        .withColumn("half", _half(F.col("sketch"))), "join-facts"
     )
     readers = store(classes.join(ids, "id", "left_semi"), "join-readers")
     first_texts = _may_hold(readers.select(F.col("first_doc").alias("id")), docs, "doc_id")
@@ -536,14 +578,20 @@ def similar_documents(
             drop_stored(met)
             met = rest
         else:
-            left = left.join(facts, "id")
-            x, y = left.alias("x"), left.alias("y")
+            # Pairs have most of their keys in common, and most of these have one smallest holder.
+            by_low = store(
+                left.where("id <> low").groupBy("low", "id", "group").agg(F.collect_set("key").alias("keys")),
+                "join-lows",
+            )
+            rows = by_low.join(facts, "id")
+            x, y = rows.alias("x"), rows.alias("y")
             pairs = x.join(y, (
-                (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id"))
-                & (F.col("x.group") != F.col("y.group")) & (F.col("x.id") != F.col("x.low"))
-                & _may_be_alike("x", "y", likeness)
+                (F.col("x.low") == F.col("y.low")) & (F.col("x.id") < F.col("y.id"))
+                & (F.col("x.group") != F.col("y.group")) & _may_be_alike("x", "y", likeness)
+                & F.arrays_overlap("x.keys", "y.keys")
             )).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
             links = verified(pairs.distinct(), links)
+            drop_stored(by_low)
         drop_stored(groups)
     for table in (met, facts, texts):
         drop_stored(table)
